@@ -1,0 +1,2 @@
+"""No stream operators: every feed this library covers arrives as complete files,
+so the roll-ups in :mod:`plumeworks.operators` are batch group-bys."""
