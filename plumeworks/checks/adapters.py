@@ -63,7 +63,9 @@ FEEDS: dict[str, tuple[str, str | None, dict[str, str]]] = {
     "fx_sites": ("nation", None, {
         "site_id": "CAST(n_nationkey AS BIGINT)",
         "site_lat": "4.5e1+(n_nationkey%5)*2e0",
-        "site_lon": "-1.22e2+(n_nationkey%7)*2.5e0",
+        # off the fires' meridians: with equal longitudes the bearing is exactly 0, and whether a wind
+        # of 45 degrees is within the sector would hang on the order in which its mean was summed
+        "site_lon": "-1.22e2+(n_nationkey%7)*2.5e0+1.3e-2",
     }),
     "fx_site_era5": ("lineitem", "day(l_shipdate) <> 29", {
         "site_id": "l_suppkey % 25",

@@ -7,11 +7,9 @@ from pyspark.sql.types import StructType
 
 from ..functions.calendar import calendar_parts
 from ..functions.levels import exceeds
-from ..functions.names import numeric_columns
 from ..operators import daily as D
 from ..operators import events as E
 from ..operators import patterns as P
-from ..operators import scoring as SC
 from ..operators import spine as S
 from ..operators.ordering import forward_fill
 from ..operators.stats import drop_all_null, exact_medians, moments, zscore
@@ -21,11 +19,11 @@ from ..session import new_path
 from .adapters import END, START, feed
 from .feed_queries import fire_features
 from .registry import OPTIONS, feeds, master_table, query, ready_table
-from .sql import FEATURES, FIRE
+from .sql import FEATURES, FIRE, kind
 
 
 def _spec(columns, counts=True):
-    return " ".join(f"{c}:{'i' if counts and c.endswith('_count') else 'd'}" for c in columns)
+    return " ".join(f"{c}:{'e' if not counts and kind(c) == 'i' else kind(c)}" for c in columns)
 
 
 # ---- integration ----
@@ -37,7 +35,7 @@ def _(spark, sf):
     return S.fill_fire(S.date_spine(spark, START, END), fire, OPTIONS.radius_km)
 
 
-@query("master_daily", "date:t pm25:d wx_temp_mean_c:d era5_wind_from_deg:d fire_count:i",
+@query("master_daily", "date:t pm25:e wx_temp_mean_c:e era5_wind_from_deg:e fire_count:i",
        "SELECT s.date, p.pm25, w.wx_temp_mean_c, e.era5_wind_from_deg, f.fire_count FROM spine s LEFT JOIN pm25_day p ON p.date=s.date "
        "LEFT JOIN weather_day w ON w.date=s.date LEFT JOIN era5_day e ON e.date=s.date LEFT JOIN fire_day f ON f.date=s.date")
 def _(spark, sf):
@@ -55,12 +53,12 @@ def _(spark, sf):
     )
 
 
-@query("master_features", "date:t pm25:d " + _spec(FEATURES), "SELECT * FROM master")
+@query("master_features", "date:t pm25:e " + _spec(FEATURES), "SELECT * FROM master")
 def _(spark, sf):
     return master_features(feeds(spark, sf), OPTIONS)
 
 
-@query("master_zero_fill", "date:t pm25:d " + _spec(FIRE),
+@query("master_zero_fill", "date:t pm25:e " + _spec(FIRE),
        "SELECT s.date, p.pm25, " + ", ".join(
            f"coalesce(f.{c}, max(f.{c}) OVER (), 500e0) AS {c}" if c.endswith("nearest_km") else f"coalesce(f.{c},0) AS {c}" for c in FIRE
        ) + " FROM spine s LEFT JOIN pm25_day p ON p.date=s.date LEFT JOIN (SELECT * FROM fire_day WHERE "
@@ -71,13 +69,13 @@ def _(spark, sf):
     return S.fill_master(S.join_master(S.date_spine(spark, START, END), [pm25, fire]))
 
 
-@query("forward_fill", "date:t pm25:d " + _spec(FEATURES), "SELECT * FROM ffilled")
+@query("forward_fill", "date:t pm25:e " + _spec(FEATURES), "SELECT * FROM ffilled")
 def _(spark, sf):
     rows = master_table(spark, sf).filter("pm25 IS NOT NULL")
     return forward_fill(rows, FEATURES)
 
 
-@query("forward_fill_blocks", "date:t pm25:d " + _spec(FEATURES), "SELECT * FROM ffilled")
+@query("forward_fill_blocks", "date:t pm25:e " + _spec(FEATURES), "SELECT * FROM ffilled")
 def _(spark, sf):
     rows = master_table(spark, sf).filter("pm25 IS NOT NULL")
     return forward_fill(rows, FEATURES, block=F.trunc("date", "month"))
@@ -89,14 +87,14 @@ def _(spark, sf):
     return exact_medians(forward_fill(rows, FEATURES), FEATURES)
 
 
-@query("median_price_by_site", "site_id:i pm25:d",
+@query("median_price_by_site", "site_id:i pm25:e",
        "SELECT site_id, median(CAST(value AS DOUBLE)) AS pm25 FROM fx_site_pm25 GROUP BY 1")
 def _(spark, sf):
     rows = feed(spark, sf, "fx_site_pm25").select("site_id", F.col("value").cast("double").alias("pm25"))
     return exact_medians(rows, ["pm25"], keys=("site_id",))
 
 
-@query("model_ready", "date:t pm25:d split:s " + _spec(FEATURES, counts=False), "SELECT * FROM ready_split")
+@query("model_ready", "date:t pm25:e split:s " + _spec(FEATURES, counts=False), "SELECT * FROM ready_split")
 def _(spark, sf):
     return model_ready(master_features(feeds(spark, sf), OPTIONS), OPTIONS)
 
@@ -108,7 +106,7 @@ def _(spark, sf):
     return split.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
-@query("train_val_union", "date:t pm25:d", "SELECT * FROM ready_split WHERE split IN ('train','val')")
+@query("train_val_union", "date:t pm25:e", "SELECT * FROM ready_split WHERE split IN ('train','val')")
 def _(spark, sf):
     train, val, _ = S.splits(ready_table(spark, sf))
     return train.unionByName(val)
@@ -120,9 +118,6 @@ def _(spark, sf):
     return moments(ready_table(spark, sf), FEATURES)
 
 
-_Z = [c for c in FEATURES if c != "wx_precip_max_mm"]
-
-
 def _zsql(source, columns, part=""):
     return ", ".join(
         f"({c}-avg({c}) OVER ({part}))/CASE WHEN stddev_pop({c}) OVER ({part})=0 THEN 1e0 ELSE stddev_pop({c}) OVER ({part}) END AS z_{c}"
@@ -158,14 +153,14 @@ _PATTERN = ("avg(pm25) AS pm25_mean, stddev_samp(pm25) AS pm25_std, max(pm25) AS
 _MONTHLY = f"SELECT month(date) AS month, {_PATTERN}, min(strftime(date,'%b')) AS month_name FROM pm25_all GROUP BY 1"
 _YEARLY = (f"SELECT year(date) AS year, {_PATTERN}, min(pm25) AS pm25_min, "
            "CAST(sum(CASE WHEN pm25>=25e0 THEN 1 ELSE 0 END) AS DOUBLE)/count(*) AS high_pollution_ratio FROM pm25_all GROUP BY 1")
-_PSPEC = "pm25_mean:d pm25_std:d pm25_max:d high_pollution_days:i total_days:i"
+_PSPEC = "pm25_mean:e pm25_std:e pm25_max:e high_pollution_days:i total_days:i"
 
 
 def _pm25(spark, sf):
     return D.pm25_daily(feed(spark, sf, "fx_pm25"))
 
 
-@query("event_filter", "date:t pm25:d", "SELECT * FROM pm25_all WHERE pm25>=25e0")
+@query("event_filter", "date:t pm25:e", "SELECT * FROM pm25_all WHERE pm25>=25e0")
 def _(spark, sf):
     return P.high_days(_pm25(spark, sf))
 
@@ -175,7 +170,7 @@ def _(spark, sf):
     return P.monthly_patterns(_pm25(spark, sf))
 
 
-@query("yearly_patterns", f"year:i {_PSPEC} pm25_min:d high_pollution_ratio:d", _YEARLY)
+@query("yearly_patterns", f"year:i {_PSPEC} pm25_min:e high_pollution_ratio:e", _YEARLY)
 def _(spark, sf):
     return P.yearly_patterns(_pm25(spark, sf))
 
@@ -189,7 +184,7 @@ def _(spark, sf):
 _SEASON = "CASE WHEN month(date) IN (12,1,2) THEN 'Winter' WHEN month(date)<=5 THEN 'Spring' WHEN month(date)<=8 THEN 'Summer' ELSE 'Fall' END"
 
 
-@query("seasonal_means", "season:s pm25_mean:d", f"SELECT {_SEASON} AS season, avg(pm25) AS pm25_mean FROM pm25_all GROUP BY 1")
+@query("seasonal_means", "season:s pm25_mean:e", f"SELECT {_SEASON} AS season, avg(pm25) AS pm25_mean FROM pm25_all GROUP BY 1")
 def _(spark, sf):
     return P.seasonal_means(_pm25(spark, sf))
 
@@ -217,13 +212,13 @@ def _(spark, sf):
     return P.trend_label(P.yearly_patterns(_pm25(spark, sf)))
 
 
-@query("month_year_heatmap", "month:i " + " ".join(f"{y}:d" for y in range(1995, 2002)),
+@query("month_year_heatmap", "month:i " + " ".join(f"{y}:e" for y in range(1995, 2002)),
        "SELECT month(date) AS month, " + ", ".join(f'avg(pm25) FILTER (WHERE year(date)={y}) AS "{y}"' for y in range(1995, 2002)) + " FROM pm25_all GROUP BY 1")
 def _(spark, sf):
     return P.month_year_grid(_pm25(spark, sf), range(1995, 2002))
 
 
-@query("rolling_30d", "date:t pm25:d pm25_mean_30d:d",
+@query("rolling_30d", "date:t pm25:e pm25_mean_30d:e",
        "SELECT date, pm25, avg(pm25) OVER (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS pm25_mean_30d FROM pm25_all")
 def _(spark, sf):
     return P.rolling_mean(_pm25(spark, sf))
@@ -237,12 +232,12 @@ def _ruled(spark, sf):
 _HITS = "avg(CASE WHEN y=y_pred THEN 1e0 ELSE 0e0 END) AS accuracy, sum(y) AS actual_events, sum(y_pred) AS predicted_events"
 
 
-@query("accuracy_by_month", "month:i accuracy:d actual_events:i predicted_events:i", f"SELECT month(date) AS month, {_HITS} FROM ruled GROUP BY 1")
+@query("accuracy_by_month", "month:i accuracy:e actual_events:i predicted_events:i", f"SELECT month(date) AS month, {_HITS} FROM ruled GROUP BY 1")
 def _(spark, sf):
     return P.accuracy_by(_ruled(spark, sf), "month")
 
 
-@query("accuracy_by_year", "year:i accuracy:d actual_events:i predicted_events:i", f"SELECT year(date) AS year, {_HITS} FROM ruled GROUP BY 1")
+@query("accuracy_by_year", "year:i accuracy:e actual_events:i predicted_events:i", f"SELECT year(date) AS year, {_HITS} FROM ruled GROUP BY 1")
 def _(spark, sf):
     return P.accuracy_by(_ruled(spark, sf), "year")
 
@@ -253,7 +248,7 @@ _OVERALL = ("count(*) AS total_days, min(date) AS first_date, max(date) AS last_
             "count(*) FILTER (WHERE y=y_pred) AS correct_days, CAST(count(*) FILTER (WHERE y=y_pred) AS DOUBLE)/count(*) AS accuracy FROM ruled")
 
 
-@query("overall_summary", "total_days:i first_date:t last_date:t duration_days:i high_days:i high_pct:d high_mean:d pm25_max:d pm25_min:d correct_days:i accuracy:d",
+@query("overall_summary", "total_days:i first_date:t last_date:t duration_days:i high_days:i high_pct:e high_mean:e pm25_max:e pm25_min:e correct_days:i accuracy:e",
        f"SELECT {_OVERALL}")
 def _(spark, sf):
     return P.overall_summary(_ruled(spark, sf))
@@ -290,7 +285,7 @@ _FORECAST = ("SELECT date + INTERVAL 1 YEAR AS date, wx_visibility_mean_km/1e2 A
              "CASE WHEN wx_visibility_mean_km>=30e0 THEN 1 ELSE 0 END AS smoke_impact_pred, pm25 AS pred_pm25 FROM ready")
 
 
-@query("forecast_monthly", "month:s mean_pred_pm25:d mean_smoke_prob:d smoke_days:i",
+@query("forecast_monthly", "month:s mean_pred_pm25:e mean_smoke_prob:e smoke_days:i",
        f"SELECT strftime(date,'%Y-%m') AS month, avg(pred_pm25) AS mean_pred_pm25, avg(smoke_prob) AS mean_smoke_prob, sum(smoke_impact_pred) AS smoke_days "
        f"FROM ({_FORECAST}) GROUP BY 1")
 def _(spark, sf):
@@ -309,30 +304,30 @@ def _high(spark, sf):
     return P.high_days(ready_table(spark, sf))
 
 
-@query("event_number", "date:t pm25:d event_number:i", "SELECT date, pm25, row_number() OVER (ORDER BY date) AS event_number FROM high")
+@query("event_number", "date:t pm25:e event_number:i", "SELECT date, pm25, row_number() OVER (ORDER BY date) AS event_number FROM high")
 def _(spark, sf):
     return E.number_events(_high(spark, sf))
 
 
-@query("events_with_calendar", "date:t pm25:d year:i month:i month_name:s week:i day_of_year:i quarter:i",
+@query("events_with_calendar", "date:t pm25:e year:i month:i month_name:s week:i day_of_year:i quarter:i",
        "SELECT date, pm25, year(date) AS year, month(date) AS month, strftime(date,'%b') AS month_name, weekofyear(date) AS week, "
        "dayofyear(date) AS day_of_year, quarter(date) AS quarter FROM high")
 def _(spark, sf):
     return _high(spark, sf).withColumns(calendar_parts(F.col("date")))
 
 
-@query("top_events", "event_rank:i date:t pm25:d", "SELECT * FROM top2")
+@query("top_events", "event_rank:i date:t pm25:e", "SELECT * FROM top2")
 def _(spark, sf):
     return E.top_events(_high(spark, sf))
 
 
-@query("top_events_per_site", "site_id:i event_rank:i date:t pm25:d",
+@query("top_events_per_site", "site_id:i event_rank:i date:t pm25:e",
        f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY pm25 DESC, date) AS event_rank FROM ({_SITE_DAY})) WHERE event_rank<=2")
 def _(spark, sf):
     return E.top_events(D.pm25_daily(feed(spark, sf, "fx_site_pm25"), ("site_id",)), keys=("site_id",))
 
 
-_TIME = "pm25:d era5_wind_speed_mean_ms:d era5_wind_from_deg:e fire_count:d upwind_fire_count:d"
+_TIME = "pm25:e era5_wind_speed_mean_ms:e era5_wind_from_deg:e fire_count:e upwind_fire_count:e"
 
 
 @query("timeline_overlay", f"date:t {_TIME}", "SELECT * FROM timeline")
@@ -363,23 +358,23 @@ def _(spark, sf):
     return E.number_days(_windows(spark, sf))
 
 
-@query("peak_day_flag", "event_rank:i date:t peak_pm25:d is_peak:b", "SELECT * FROM frames")
+@query("peak_day_flag", "event_rank:i date:t peak_pm25:e is_peak:b", "SELECT * FROM frames")
 def _(spark, sf):
     return E.number_days(_windows(spark, sf))
 
 
-@query("playback_7day", "event_number:i event_date:t date:t day_offset:i pm25:d",
+@query("playback_7day", "event_number:i event_date:t date:t day_offset:i pm25:e",
        "SELECT h.event_number, h.date AS event_date, r.date, CAST(r.date-h.date AS BIGINT) AS day_offset, r.pm25 FROM "
        "(SELECT date, row_number() OVER (ORDER BY date) AS event_number FROM high) h JOIN ready r ON r.date BETWEEN h.date AND h.date + INTERVAL 6 DAY")
 def _(spark, sf):
     return E.playback(_high(spark, sf), ready_table(spark, sf).select("date", F.col("pm25")))
 
 
-_FRAME = ("event_rank:i date:s day_num:i pm25:d wind_speed:d wind_direction:e is_peak:b major_axis:d minor_axis:d direction:e "
+_FRAME = ("event_rank:i date:s day_num:i pm25:e wind_speed:e wind_direction:e is_peak:b major_axis:e minor_axis:e direction:e "
           "color:s wind_color:s fire:s")
 
 
-@query("event_day_frames", f"{_FRAME} event_date:t peak_pm25:d wind_weight:i", "SELECT * FROM frames")
+@query("event_day_frames", f"{_FRAME} event_date:t peak_pm25:e wind_weight:i", "SELECT * FROM frames")
 def _(spark, sf):
     return E.day_frames(_windows(spark, sf))
 

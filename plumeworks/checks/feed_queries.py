@@ -17,7 +17,7 @@ from .adapters import (
     measurement_docs, table,
 )
 from .registry import query
-from .sql import FIRE, LAT, LON, angle_diff, bearing, hav, wrap
+from .sql import FIRE, LAT, LON, angle_diff, bearing, hav, kind, wrap
 
 # ---- sources ----
 
@@ -201,12 +201,12 @@ def _(spark, sf):
     return feed(spark, sf, "fx_angles").select("id", geo.bearing_deg(geo.CENTRE_LAT, geo.CENTRE_LON, F.col("lat"), F.col("lon")).alias("bearing"))
 
 
-@query("angular_diff", "id:i diff:d", f"SELECT id, {angle_diff('a', 'b')} AS diff FROM fx_angles")
+@query("angular_diff", "id:i diff:e", f"SELECT id, {angle_diff('a', 'b')} AS diff FROM fx_angles")
 def _(spark, sf):
     return feed(spark, sf, "fx_angles").select("id", geo.angular_diff_deg(F.col("a"), F.col("b")).alias("diff"))
 
 
-@query("wind_speed", "id:i speed:d", "SELECT id, sqrt(u*u+v*v) AS speed FROM fx_angles")
+@query("wind_speed", "id:i speed:e", "SELECT id, sqrt(u*u+v*v) AS speed FROM fx_angles")
 def _(spark, sf):
     return feed(spark, sf, "fx_angles").select("id", weather.wind_speed(F.col("u"), F.col("v")).alias("speed"))
 
@@ -216,7 +216,7 @@ def _(spark, sf):
     return feed(spark, sf, "fx_angles").select("id", weather.wind_from_deg(F.col("u"), F.col("v")).alias("deg"))
 
 
-@query("unit_convert", "valid_time:s t2m_c:d d2m_c:d sp_hpa:d",
+@query("unit_convert", "valid_time:s t2m_c:e d2m_c:e sp_hpa:e",
        "SELECT valid_time, t2m-273.15e0 AS t2m_c, d2m-273.15e0 AS d2m_c, sp/1e2 AS sp_hpa FROM fx_era5")
 def _(spark, sf):
     return feed(spark, sf, "fx_era5").select(
@@ -262,7 +262,7 @@ def _(spark, sf):
     return feed(spark, sf, "fx_scores").select("event_id", levels.predicted_label(F.col("prob")).alias("y_pred"))
 
 
-@query("dispersion_params", "id:i influence_radius:d major_axis:d minor_axis:d direction:d",
+@query("dispersion_params", "id:i influence_radius:e major_axis:e minor_axis:e direction:e",
        "SELECT id, r AS influence_radius, r*(1e0+0.5e0*s) AS major_axis, r*(1e0-0.3e0*s) AS minor_axis, "
        f"{wrap('a+180e0')} AS direction FROM (SELECT id, a, 50e0*greatest(0.3e0, least(2e0, (id%1300)/1e1/25e0)) AS r, "
        "least(sqrt(u*u+v*v)/5e0,1e0) AS s FROM fx_angles)")
@@ -302,7 +302,7 @@ def _plumes(spark, sf):
     return both.withColumns(levels.dispersion(F.col("pm25"), F.col("era5_wind_speed_mean_ms"), F.col("era5_wind_from_deg")))
 
 
-@query("wind_arrow", "date:t end_lon:d end_lat:d free_lat:d",
+@query("wind_arrow", "date:t end_lon:e end_lat:e free_lat:e",
        f"SELECT date, {LON}+least(0.3e0,l)*sin(t)/cos(radians({LAT})) AS end_lon, {LAT}+least(0.3e0,l)*cos(t) AS end_lat, "
        f"{LAT}+l*cos(t) AS free_lat FROM (SELECT date, radians((era5_wind_from_deg+180e0)%360e0) AS t, "
        "0.05e0+0.04e0*era5_wind_speed_mean_ms AS l FROM era5_all)")
@@ -317,13 +317,13 @@ def _(spark, sf):
 # ---- daily roll-ups ----
 
 
-@query("pm25_daily", "date:t pm25:d pm25_station_count:i", "SELECT * FROM pm25_all")
+@query("pm25_daily", "date:t pm25:e pm25_station_count:i", "SELECT * FROM pm25_all")
 def _(spark, sf):
     return D.pm25_daily(feed(spark, sf, "fx_pm25"))
 
 
 def _doubles(columns):
-    return " ".join(f"{c}:{'i' if c.endswith('_count') else 'd'}" for c in columns)
+    return " ".join(f"{c}:{kind(c)}" for c in columns)
 
 
 _WEATHER = [o for stats in D.WEATHER_FEATURES.values() for _, o in stats]
@@ -343,7 +343,7 @@ def _(spark, sf):
     return D.era5_daily(feed(spark, sf, "fx_era5"))
 
 
-@query("filter_date_range", "date:t pm25:d", "SELECT * FROM pm25_day")
+@query("filter_date_range", "date:t pm25:e", "SELECT * FROM pm25_day")
 def _(spark, sf):
     return D.filter_days(D.pm25_daily(feed(spark, sf, "fx_pm25")), START, END)
 
@@ -391,10 +391,11 @@ def _(spark, sf):
 
 @query("fire_features", "date:t " + _doubles(FIRE), "SELECT * FROM fire_day")
 def fire_features(spark, sf):
-    return FI.fire_features(_points(spark, sf), _era5(spark, sf))
+    points = source.parse_fire_points(feed(spark, sf, "fx_fire"), drop_incomplete=False)
+    return FI.fire_features(points, _era5(spark, sf))
 
 
-@query("join_all_upwind", "date:t fire_count:i upwind_fire_count:i upwind_fire_frp_sum:d upwind_fire_nearest_km:d",
+@query("join_all_upwind", "date:t fire_count:i upwind_fire_count:i upwind_fire_frp_sum:e upwind_fire_nearest_km:e",
        "SELECT a.date, a.fire_count, coalesce(u.n,0) AS upwind_fire_count, coalesce(u.f,0e0) AS upwind_fire_frp_sum, u.k AS upwind_fire_nearest_km "
        "FROM (SELECT date, count(*) AS fire_count FROM fire_rows GROUP BY 1) a LEFT JOIN (SELECT date, count(*) AS n, coalesce(sum(frp),0e0) AS f, "
        "min(distance_km) AS k FROM fire_rows WHERE is_upwind GROUP BY 1) u ON a.date=u.date")
@@ -407,7 +408,7 @@ _SITE_SQL = (
 ).format(hav=hav("s.site_lat", "s.site_lon", "f.latitude", "f.longitude"), bear=bearing("s.site_lat", "s.site_lon", "f.latitude", "f.longitude"))
 
 
-@query("sites_fire_join", "site_id:i date:t fires:i frp:d nearest_km:e mean_km:e mean_bearing:e",
+@query("sites_fire_join", "site_id:i date:t fires:i frp:e nearest_km:e mean_km:e mean_bearing:e",
        f"SELECT site_id, date, count(*) AS fires, sum(frp) AS frp, min(distance_km) AS nearest_km, avg(distance_km) AS mean_km, "
        f"avg(bearing_deg) AS mean_bearing FROM ({_SITE_SQL}) GROUP BY 1,2")
 def _(spark, sf):
@@ -429,10 +430,11 @@ def _(spark, sf):
        "FROM fx_site_era5 GROUP BY 1,2) w ON f.site_id=w.site_id AND f.date=w.date) GROUP BY 1,2")
 def _(spark, sf):
     wind = D.era5_daily(feed(spark, sf, "fx_site_era5"), keys=("site_id",))
-    return FI.site_fire_features(_points(spark, sf), feed(spark, sf, "fx_sites"), wind)
+    points = source.parse_fire_points(feed(spark, sf, "fx_fire"), drop_incomplete=False)
+    return FI.site_fire_features(points, feed(spark, sf, "fx_sites"), wind)
 
 
-@query("site_pm25_daily", "site_id:i date:t pm25:d",
+@query("site_pm25_daily", "site_id:i date:t pm25:e",
        "SELECT site_id, CAST(date AS DATE) AS date, avg(CAST(value AS DOUBLE)) AS pm25 FROM fx_site_pm25 GROUP BY 1,2")
 def _(spark, sf):
     return D.pm25_daily(feed(spark, sf, "fx_site_pm25"), keys=("site_id",))

@@ -12,7 +12,7 @@ from .adapters import feed
 from .registry import query, ready_table
 from .sql import metric_sql
 
-_METRICS = "accuracy:d precision:d recall:d f1:d roc_auc:d pr_auc:d"
+_METRICS = "accuracy:e precision:e recall:e f1:e roc_auc:e pr_auc:e"
 
 
 def _scores(spark, sf):
@@ -29,7 +29,7 @@ def _(spark, sf):
     return SC.classification_metrics(_scores(spark, sf), ["model"])
 
 
-@query("label_metrics", "fold:i accuracy:d precision:d recall:d f1:d",
+@query("label_metrics", "fold:i accuracy:e precision:e recall:e f1:e",
        f"SELECT fold, accuracy, precision, recall, f1 FROM ({metric_sql('fx_scores', ['fold'])})")
 def _(spark, sf):
     rows = _scores(spark, sf).withColumn("y_pred", (F.col("prob") >= 0.5).cast("int"))
@@ -37,7 +37,7 @@ def _(spark, sf):
 
 
 _FOLD_METRICS = metric_sql("fx_scores", ["model", "fold"])
-_STATS = " ".join(f"{m}_mean:d {m}_std:d" for m in SC.METRICS)
+_STATS = " ".join(f"{m}_mean:e {m}_std:e" for m in SC.METRICS)
 
 
 @query("cv_summary", f"model:s {_STATS}",
@@ -49,7 +49,7 @@ def _(spark, sf):
 _GAPPED = [m for m in SC.METRICS if m != "accuracy"]
 
 
-@query("generalisation_gap", "model:s cv_f1_mean:d cv_f1_std:d test_f1:d f1_gap:d f1_gap_share:d avg_gap:d",
+@query("generalisation_gap", "model:s cv_f1_mean:e cv_f1_std:e test_f1:e f1_gap:e f1_gap_share:e avg_gap:e",
        f"SELECT model, f1_mean AS cv_f1_mean, f1_std AS cv_f1_std, f1 AS test_f1, f1_mean-f1 AS f1_gap, (f1_mean-f1)/f1_mean AS f1_gap_share, "
        f"({'+'.join(f'{m}_mean-{m}' for m in _GAPPED)})/5e0 AS avg_gap FROM (SELECT model, "
        + ", ".join(f"avg({m}) AS {m}_mean, stddev_pop({m}) AS {m}_std" for m in SC.METRICS)
@@ -60,12 +60,12 @@ def _(spark, sf):
     return SC.generalisation_gap(cv, SC.classification_metrics(scores, ["model"]))
 
 
-@query("roc_auc", "model:s roc_auc:d", f"SELECT model, roc_auc FROM ({metric_sql('fx_scores', ['model'])})")
+@query("roc_auc", "model:s roc_auc:e", f"SELECT model, roc_auc FROM ({metric_sql('fx_scores', ['model'])})")
 def _(spark, sf):
     return SC.roc_auc(_scores(spark, sf), ["model"])
 
 
-@query("average_precision", "model:s pr_auc:d", f"SELECT model, pr_auc FROM ({metric_sql('fx_scores', ['model'])})")
+@query("average_precision", "model:s pr_auc:e", f"SELECT model, pr_auc FROM ({metric_sql('fx_scores', ['model'])})")
 def _(spark, sf):
     return SC.average_precision(_scores(spark, sf), ["model"])
 
@@ -79,31 +79,31 @@ def _open_threshold(df):
     return df.withColumn("threshold", F.when(F.col("threshold") < float("inf"), F.col("threshold")))
 
 
-@query("roc_curve_table", "model:s threshold:d fpr:d tpr:d",
+@query("roc_curve_table", "model:s threshold:e fpr:e tpr:e",
        f"SELECT {_POINT} FROM (SELECT *, lag(1) OVER v IS NULL OR lead(1) OVER v IS NULL OR lead(pos) OVER v<>pos OR lead(neg) OVER v<>neg AS corner "
        f"FROM score_ranks WINDOW v AS (PARTITION BY model ORDER BY threshold DESC)) WHERE corner UNION ALL {_ORIGIN}")
 def _(spark, sf):
     return _open_threshold(SC.roc_curve(_scores(spark, sf), ["model"]))
 
 
-@query("roc_curve_full", "model:s threshold:d fpr:d tpr:d", f"SELECT {_POINT} FROM score_ranks UNION ALL {_ORIGIN}")
+@query("roc_curve_full", "model:s threshold:e fpr:e tpr:e", f"SELECT {_POINT} FROM score_ranks UNION ALL {_ORIGIN}")
 def _(spark, sf):
     return _open_threshold(SC.roc_curve(_scores(spark, sf), ["model"], thin=False))
 
 
-@query("pr_curve_table", "model:s threshold:d precision:d recall:d",
+@query("pr_curve_table", "model:s threshold:e precision:e recall:e",
        "SELECT model, threshold, CAST(tp AS DOUBLE)/(tp+fp) AS precision, CAST(tp AS DOUBLE)/p AS recall FROM score_ranks "
        "UNION ALL SELECT DISTINCT model, NULL, 1e0, 0e0 FROM fx_scores")
 def _(spark, sf):
     return SC.pr_curve(_scores(spark, sf), ["model"])
 
 
-@query("positive_rate", "fold:i samples:i positive_pct:d", "SELECT fold, count(*) AS samples, 1e2*avg(y) AS positive_pct FROM fx_scores GROUP BY 1")
+@query("positive_rate", "fold:i samples:i positive_pct:e", "SELECT fold, count(*) AS samples, 1e2*avg(y) AS positive_pct FROM fx_scores GROUP BY 1")
 def _(spark, sf):
     return SC.positive_rate(_scores(spark, sf), by=["fold"])
 
 
-@query("class_weights", "y:i rows:i weight:d",
+@query("class_weights", "y:i rows:i weight:e",
        "SELECT y, count(*) AS rows, CAST((SELECT count(*) FROM fx_scores) AS DOUBLE)/(2*count(*)) AS weight FROM fx_scores GROUP BY 1")
 def _(spark, sf):
     return SC.class_weights(_scores(spark, sf))
@@ -116,7 +116,7 @@ def _(spark, sf):
     return SC.stratified_folds(rows, ["event_id"]).groupBy("y", "fold").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("leaderboard_upsert", "model:s version:s f1:d",
+@query("leaderboard_upsert", "model:s version:s f1:e",
        f"SELECT model, version, f1 FROM (SELECT model, 'v1' AS version, f1 FROM ({metric_sql('fx_scores', ['model'])}) WHERE model<>'m1' "
        f"UNION ALL SELECT 'm1', NULL, f1 FROM ({metric_sql('fx_scores', [])}))")
 def _(spark, sf):
@@ -126,21 +126,21 @@ def _(spark, sf):
     return SC.leaderboard_upsert(board, row)
 
 
-@query("grid_select", "config:i val_f1:d",
+@query("grid_select", "config:i val_f1:e",
        f"SELECT fold AS config, f1 AS val_f1 FROM ({metric_sql('fx_scores', ['fold'])}) ORDER BY f1 DESC, fold LIMIT 1")
 def _(spark, sf):
     rated = SC.classification_metrics(_scores(spark, sf), ["fold"])
     return SC.top_row(rated.select(F.col("fold").alias("config"), F.col("f1").alias("val_f1")))
 
 
-@query("importance_summary", "feature:s importance_mean:d importance_std:d",
+@query("importance_summary", "feature:s importance_mean:e importance_std:e",
        f"SELECT model AS feature, avg(f1) AS importance_mean, stddev_pop(f1) AS importance_std FROM ({_FOLD_METRICS}) GROUP BY 1")
 def _(spark, sf):
     rated = SC.classification_metrics(_scores(spark, sf), ["model", "fold"])
     return SC.importance_summary(rated.select(F.col("model").alias("feature"), F.col("f1").alias("importance")))
 
 
-@query("feature_ranking", "feature:s importance_mean:d",
+@query("feature_ranking", "feature:s importance_mean:e",
        f"SELECT model AS feature, avg(f1) AS importance_mean FROM ({_FOLD_METRICS}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 2")
 def _(spark, sf):
     rated = SC.classification_metrics(_scores(spark, sf), ["model", "fold"])

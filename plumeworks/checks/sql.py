@@ -22,7 +22,16 @@ FIRE = [
 ]
 FEATURES = ["pm25_station_count", *WEATHER, *ERA5, *FIRE]
 
-LAT, LON = "51.0447e0", "-114.0719e0"
+
+
+def kind(column: str) -> str:
+    """Shape letter of a feature: counts are whole, the smoke index is tiny and keeps nine digits."""
+    if column.endswith("_count"):
+        return "i"
+    return "d" if column == "fire_smoke_transport_index" else "e"
+
+
+LAT, LON = "51.0447e0", "(-114.0719e0)"
 
 
 def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:

@@ -21,9 +21,9 @@ def _lit(v) -> Column:
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     lat1, lon1, lat2, lon2 = map(_lit, (lat1, lon1, lat2, lon2))
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
+    half_lat = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2.0)
+    half_lon = F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2.0)
+    chord = half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(chord))
 
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import to_day, to_number
+from ..functions.coerce import day_in, number_in
 from ..functions.names import first_existing, require_columns
 from ..functions.weather import kelvin_to_celsius, pascal_to_hectopascal, wind_from_deg, wind_speed
 
@@ -40,6 +40,16 @@ def total(c: Column | str) -> Column:
 _STATISTICS = {"avg": F.avg, "max": F.max, "min": F.min, "total": total}
 
 
+def per_day(rows: DataFrame, keys: Sequence[str], measures: Sequence[Column]) -> DataFrame:
+    """Aggregate per key and day, without the group of rows that have no day.
+
+    That group is dropped after the aggregation, by a count: a filter on the parsed day
+    would be pushed below and parse every text a second time.
+    """
+    grouped = rows.groupBy(*keys, "date").agg(*measures, F.count("date").alias("_dated"))
+    return grouped.filter(F.col("_dated") > 0).drop("_dated")
+
+
 def filter_days(df: DataFrame, start: str, end: str) -> DataFrame:
     """Days from ``start`` to ``end``, both included."""
     return df.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
@@ -49,21 +59,20 @@ def pm25_daily(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean concentration per day; with a ``location_name`` column also the number of stations."""
     date, value = first_existing(raw, PM25_DATE), first_existing(raw, PM25_VALUE)
     stations = ["location_name"] if "location_name" in raw.columns else []
-    rows = raw.select(*keys, to_day(date).alias("date"), to_number(value).alias("pm25"), *stations)
+    rows = raw.select(*keys, day_in(raw, date).alias("date"), number_in(raw, value).alias("pm25"), *stations)
     measures = [F.avg("pm25").alias("pm25")]
     if stations:
         measures.append(F.count_distinct("location_name").alias("pm25_station_count"))
-    return rows.filter(F.col("date").isNotNull()).groupBy(*keys, "date").agg(*measures)
+    return per_day(rows, keys, measures)
 
 
 def weather_daily(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Daily station weather; only the measurements present in the feed give features."""
     time = first_existing(raw, WEATHER_TIME)
     present = [c for c in WEATHER_FEATURES if c in raw.columns]
-    rows = raw.select(*keys, to_day(time).alias("date"), *[to_number(c).alias(c) for c in present])
+    rows = raw.select(*keys, day_in(raw, time).alias("date"), *[number_in(raw, c).alias(c) for c in present])
     measures = [_STATISTICS[stat](c).alias(out) for c in present for stat, out in WEATHER_FEATURES[c]]
-    grouped = rows.filter(F.col("date").isNotNull()).groupBy(*keys, "date")
-    return grouped.agg(*measures) if measures else grouped.agg(F.lit(1).alias("_x")).drop("_x")
+    return per_day(rows, keys, measures)
 
 
 def era5_daily(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -71,7 +80,7 @@ def era5_daily(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     time = first_existing(raw, ERA5_TIME)
     require_columns(raw, ["u10", "v10"], "reanalysis feed")
     present = [c for c in ("u10", "v10", "t2m", "d2m", "sp") if c in raw.columns]
-    rows = raw.select(*keys, to_day(time).alias("date"), *[to_number(c).alias(c) for c in present])
+    rows = raw.select(*keys, day_in(raw, time).alias("date"), *[number_in(raw, c).alias(c) for c in present])
     speed = wind_speed(F.col("u10"), F.col("v10"))
     measures = [
         F.avg("u10").alias("era5_u10_mean_ms"),
@@ -88,7 +97,7 @@ def era5_daily(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         measures.append(kelvin_to_celsius(F.avg("d2m")).alias("era5_d2m_mean_c"))
     if "sp" in present:
         measures.append(pascal_to_hectopascal(F.avg("sp")).alias("era5_sp_mean_hpa"))
-    daily = rows.filter(F.col("date").isNotNull()).groupBy(*keys, "date").agg(*measures)
+    daily = per_day(rows, keys, measures)
     from_deg = wind_from_deg(F.col("era5_u10_mean_ms"), F.col("era5_v10_mean_ms"))
     order = list(daily.columns)
     order.insert(order.index("era5_wind_speed_max_ms") + 1, "era5_wind_from_deg")

@@ -12,7 +12,7 @@ from ..functions.coerce import CALENDAR_ROWS
 from ..functions.geo import (
     CENTRE_LAT, CENTRE_LON, EARTH_RADIUS_KM, angular_diff_deg, bearing_deg, bounding_box, haversine_km,
 )
-from .daily import total
+from .daily import per_day, total
 from .joins import BROADCAST_ROWS, SALTS, counted_within, lookup_join
 
 RADIUS_KM = 400.0
@@ -160,7 +160,7 @@ def upwind_measures() -> list[Column]:
 
 def fire_daily(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """All fires and the upwind ones in one aggregation (no second pass, no join)."""
-    return rows.groupBy(*keys, "date").agg(*all_fire_measures(), *upwind_measures())
+    return per_day(rows, keys, [*all_fire_measures(), *upwind_measures()])
 
 
 def fire_features(

@@ -94,7 +94,7 @@ class EventModel:
         if self.family == LOGREG.name:
             vector = array_to_vector(F.array(*self.prepare(df), F.lit(1.0)))
         scored = self.model.transform(df.withColumn("_features", vector))
-        prob = vector_to_array("_probability")[1]
+        prob = vector_to_array("probability")[1]
         scored = scored.withColumn("prob", prob)
         return scored.withColumn("y_pred", predicted_label(F.col("prob"))).select(*df.columns, "prob", "y_pred")
 
@@ -131,15 +131,12 @@ def fit_estimator(family: Family, params: dict, train: DataFrame, features: list
 
 
 def _estimator(family: Family, params: dict, rows: int, rounds: int | None):
-    common = {
-        "featuresCol": "_features", "labelCol": "label", "rawPredictionCol": "_raw", "probabilityCol": "_probability",
-        "predictionCol": "_prediction",
-    }
+    common = {"featuresCol": "_features", "labelCol": "label"}
     if family is LOGREG:
         # the last feature is a constant, so the intercept is penalised like any weight
         return LogisticRegression(
             **common, weightCol="_w", regParam=1.0 / (params["C"] * rows), elasticNetParam=0.0, maxIter=rounds or 3000,
-            fitIntercept=False, standardization=False, tol=1e-8,
+            fitIntercept=False, standardization=False,
         )
     if family is FOREST:
         return RandomForestClassifier(

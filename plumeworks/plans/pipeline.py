@@ -60,7 +60,7 @@ def daily_tables(feeds: Feeds, opt: Options) -> dict[str, DataFrame]:
     pm25 = within(D.pm25_daily(feeds.pm25, keys))
     weather = within(D.weather_daily(feeds.weather, keys))
     era5 = within(D.era5_daily(feeds.era5, keys))
-    points = within(parse_fire_points(feeds.fire))
+    points = within(parse_fire_points(feeds.fire, drop_incomplete=False))
     if feeds.sites is None:
         fire = FI.fire_features(points, era5, opt.lat, opt.lon, opt.radius_km, opt.sector_deg)
     else:
