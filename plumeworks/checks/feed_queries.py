@@ -391,7 +391,7 @@ def _(spark, sf):
 
 @query("fire_features", "date:t " + _doubles(FIRE), "SELECT * FROM fire_day")
 def fire_features(spark, sf):
-    points = source.parse_fire_points(feed(spark, sf, "fx_fire"), drop_incomplete=False)
+    points = source.parse_fire_points(feed(spark, sf, "fx_fire"))
     return FI.fire_features(points, _era5(spark, sf))
 
 
@@ -430,7 +430,7 @@ def _(spark, sf):
        "FROM fx_site_era5 GROUP BY 1,2) w ON f.site_id=w.site_id AND f.date=w.date) GROUP BY 1,2")
 def _(spark, sf):
     wind = D.era5_daily(feed(spark, sf, "fx_site_era5"), keys=("site_id",))
-    points = source.parse_fire_points(feed(spark, sf, "fx_fire"), drop_incomplete=False)
+    points = source.parse_fire_points(feed(spark, sf, "fx_fire"))
     return FI.site_fire_features(points, feed(spark, sf, "fx_sites"), wind)
 
 

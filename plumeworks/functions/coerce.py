@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, StringType, TimestampNTZType, TimestampType
 
 # Cell texts that a delimited reader takes as "missing".
 MISSING_TOKENS = [
@@ -73,6 +73,21 @@ def _readable(text: Column) -> Column:
     return F.regexp_extract(text, _IN_RANGE, 0)
 
 
+def parse_once(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """Select parsed columns so that each text is parsed exactly once.
+
+    Later filters on a parsed column would be pushed below the projection and repeat the
+    parsing there (and grow the generated code beyond what the JVM compiles). They are
+    not pushed below a generator; the one-element ``inline`` is such a generator. Tables
+    whose columns are typed already do not come here and keep their pushdown.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
+def is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, StringType)
+
+
 def to_local_timestamp(c: Column | str) -> Column:
     """Text to a zone-less timestamp; an offset in the text is ignored, the wall clock kept."""
     return _readable(_col(c).cast("string")).try_cast("timestamp_ntz")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import day_in, number_in
+from ..functions.coerce import day_in, is_text, number_in, parse_once
 from ..functions.names import first_existing, require_columns
 from ..functions.weather import kelvin_to_celsius, pascal_to_hectopascal, wind_from_deg, wind_speed
 
@@ -50,6 +50,11 @@ def per_day(rows: DataFrame, keys: Sequence[str], measures: Sequence[Column]) ->
     return grouped.filter(F.col("_dated") > 0).drop("_dated")
 
 
+def _typed(raw: DataFrame, date: str, columns: list[Column]) -> DataFrame:
+    """The columns a roll-up needs. A typed date column stays open to scan filters."""
+    return parse_once(raw, columns) if is_text(raw, date) else raw.select(*columns)
+
+
 def filter_days(df: DataFrame, start: str, end: str) -> DataFrame:
     """Days from ``start`` to ``end``, both included."""
     return df.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
@@ -59,7 +64,8 @@ def pm25_daily(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean concentration per day; with a ``location_name`` column also the number of stations."""
     date, value = first_existing(raw, PM25_DATE), first_existing(raw, PM25_VALUE)
     stations = ["location_name"] if "location_name" in raw.columns else []
-    rows = raw.select(*keys, day_in(raw, date).alias("date"), number_in(raw, value).alias("pm25"), *stations)
+    columns = [F.col(c) for c in (*keys, *stations)]
+    rows = _typed(raw, date, [*columns, day_in(raw, date).alias("date"), number_in(raw, value).alias("pm25")])
     measures = [F.avg("pm25").alias("pm25")]
     if stations:
         measures.append(F.count_distinct("location_name").alias("pm25_station_count"))
@@ -70,7 +76,8 @@ def weather_daily(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Daily station weather; only the measurements present in the feed give features."""
     time = first_existing(raw, WEATHER_TIME)
     present = [c for c in WEATHER_FEATURES if c in raw.columns]
-    rows = raw.select(*keys, day_in(raw, time).alias("date"), *[number_in(raw, c).alias(c) for c in present])
+    columns = [*[F.col(k) for k in keys], day_in(raw, time).alias("date"), *[number_in(raw, c).alias(c) for c in present]]
+    rows = _typed(raw, time, columns)
     measures = [_STATISTICS[stat](c).alias(out) for c in present for stat, out in WEATHER_FEATURES[c]]
     return per_day(rows, keys, measures)
 
@@ -80,7 +87,8 @@ def era5_daily(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     time = first_existing(raw, ERA5_TIME)
     require_columns(raw, ["u10", "v10"], "reanalysis feed")
     present = [c for c in ("u10", "v10", "t2m", "d2m", "sp") if c in raw.columns]
-    rows = raw.select(*keys, day_in(raw, time).alias("date"), *[number_in(raw, c).alias(c) for c in present])
+    columns = [*[F.col(k) for k in keys], day_in(raw, time).alias("date"), *[number_in(raw, c).alias(c) for c in present]]
+    rows = _typed(raw, time, columns)
     speed = wind_speed(F.col("u10"), F.col("v10"))
     measures = [
         F.avg("u10").alias("era5_u10_mean_ms"),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.coerce import day_in, fire_timestamp, missing_to_null, number_in
+from ..functions.coerce import day_in, fire_timestamp, missing_to_null, number_in, parse_once
 from ..functions.names import clean_columns, clean_name, clean_names, first_existing, require_columns
 from .files import header_groups, list_files, open_input, zip_members
 
@@ -95,19 +95,16 @@ def scan_fire_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df
 
 
-def parse_fire_points(raw: DataFrame, keys: tuple[str, ...] = (), drop_incomplete: bool = True) -> DataFrame:
-    """Typed fire points; rows without position or day are dropped, rows without FRP stay.
-
-    ``drop_incomplete=False`` leaves that to later steps that drop them anyway (a radius
-    test, a daily roll-up), which saves parsing every row once more for the filter.
-    """
+def parse_fire_points(raw: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Typed fire points; rows without position or day are dropped, rows without FRP stay."""
     require_columns(raw, FIRE_COLUMNS, "fire table")
-    typed = raw.select(
-        *keys,
+    columns = [
+        *[F.col(k) for k in keys],
         *[number_in(raw, c).alias(c) for c in ("latitude", "longitude", "frp")],
         fire_timestamp("acq_date", "acq_time").alias("datetime"),
-    ).withColumn("date", F.to_date("datetime"))
-    return typed.dropna(subset=["latitude", "longitude", "date"]) if drop_incomplete else typed
+    ]
+    typed = parse_once(raw, columns).withColumn("date", F.to_date("datetime"))
+    return typed.dropna(subset=["latitude", "longitude", "date"])
 
 
 def read_events(raw: DataFrame) -> DataFrame:
