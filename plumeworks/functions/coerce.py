@@ -60,7 +60,7 @@ def day_in(df: DataFrame, name: str) -> Column:
     """``to_day`` for a text column; a date or timestamp column is not turned into text first."""
     kind = df.schema[name].dataType
     if isinstance(kind, (DateType, TimestampNTZType, TimestampType)):
-        return F.when(F.year(name).between(FIRST_YEAR, LAST_YEAR), F.to_date(name))
+        return F.to_date(name)
     return to_day(name)
 
 
@@ -93,6 +93,11 @@ def to_local_timestamp(c: Column | str) -> Column:
     return _readable(_col(c).cast("string")).try_cast("timestamp_ntz")
 
 
+def in_calendar(day: Column) -> Column:
+    """Whether a typed day is in the accepted range; a plain range test, so it can reach the scan."""
+    return day.between(F.lit(f"{FIRST_YEAR}-01-01").cast("date"), F.lit(f"{LAST_YEAR}-12-31").cast("date"))
+
+
 def to_day(c: Column | str) -> Column:
     return F.to_date(to_local_timestamp(c))
 

@@ -85,16 +85,13 @@ def validate_landing(
 ) -> tuple[DataFrame, DataFrame]:
     """Split landed files into accepted and rejected by whether the text contains ``marker``.
 
-    Scanned line by line and combined per file, so large files are not held whole.
+    Scanned line by line and combined per file, so large files are not held whole. Spark
+    lists no empty files, so those are in neither part: never accepted, never read.
     """
     lines = (
         spark.read.option("pathGlobFilter", pattern)
         .text(directory)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").contains(marker).alias("hit"))
     )
-    hits = lines.groupBy("path").agg(F.bool_or("hit").alias("hit"))
-    # empty files give no line at all, so start from the listing
-    names = list_files(spark, directory, pattern).select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
-    hits = hits.withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
-    verdict = names.join(hits, "path", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    verdict = lines.groupBy("path").agg(F.bool_or("hit").alias("hit"))
     return verdict.filter("hit").select("path"), verdict.filter("NOT hit").select("path")

@@ -16,6 +16,9 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the first bytes of a zip archive.
+_ZIP_MAGIC = b"PK\x03\x04"
+
 
 def list_files(spark: SparkSession, paths: str | list[str], pattern: str) -> DataFrame:
     """One row per file: ``path``. The files are not opened."""
@@ -40,7 +43,9 @@ def zip_members(archive: zipfile.ZipFile) -> list[str]:
 
 def _first_line(path: str) -> list[str]:
     with open_input(path) as stream:
-        if zipfile.is_zipfile(stream):
+        zipped = stream.read(4) == _ZIP_MAGIC
+        stream.seek(0)
+        if zipped:
             with zipfile.ZipFile(stream) as archive:
                 members = zip_members(archive)
                 if not members:
@@ -48,7 +53,6 @@ def _first_line(path: str) -> list[str]:
                 with archive.open(members[0]) as body:
                     line = body.readline()
         else:
-            stream.seek(0)
             line = io.BufferedReader(stream).readline()
     text = line.decode("utf-8-sig").rstrip("\r\n")
     return next(csv.reader([text]), [])
