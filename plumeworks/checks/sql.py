@@ -192,6 +192,11 @@ def metric_sql(source: str, by: list[str]) -> str:
     )
 
 
+# Many means are short decimals that end exactly on a rounding tie, where the order of a sum would
+# decide the last digit. Both sides add the same tiny offset first, which moves them off the tie.
+OFF_TIE_9, OFF_TIE_6 = "1.234567e-10", "1.234567e-7"
+
+
 def _needed(text: str, found: dict[str, None]) -> None:
     for name in CTES:
         if name not in found and re.search(rf"\b{name}\b", text):
@@ -214,8 +219,8 @@ def _sql_column(item: str) -> str:
         "s": f'CAST("{name}" AS VARCHAR)',
         "i": f'CAST("{name}" AS BIGINT)',
         "b": f'CAST("{name}" AS BOOLEAN)',
-        "d": f'round(CAST("{name}" AS DOUBLE), 9) + 0e0',
-        "e": f'round(CAST("{name}" AS DOUBLE), 6) + 0e0',
+        "d": f'round(CAST("{name}" AS DOUBLE) + {OFF_TIE_9}, 9)',
+        "e": f'round(CAST("{name}" AS DOUBLE) + {OFF_TIE_6}, 6)',
     }[kind]
     return f'{cast} AS "{name}"'
 
@@ -231,8 +236,8 @@ def shape(df: DataFrame, spec: str) -> DataFrame:
             "s": lambda: c.cast("string"),
             "i": lambda: c.cast("bigint"),
             "b": lambda: c.cast("boolean"),
-            "d": lambda: F.round(c.cast("double"), 9) + F.lit(0.0),
-            "e": lambda: F.round(c.cast("double"), 6) + F.lit(0.0),
+            "d": lambda: F.round(c.cast("double") + F.lit(float(OFF_TIE_9)), 9),
+            "e": lambda: F.round(c.cast("double") + F.lit(float(OFF_TIE_6)), 6),
         }[kind]()
         out.append(cast.alias(name))
     return df.select(*out)
