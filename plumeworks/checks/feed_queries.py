@@ -14,7 +14,7 @@ from ..operators import spine as S
 from ..sources import air_api, documents, feeds as source
 from .adapters import (
     END, START, feature_docs, feed, land_csv, land_json, land_weather_drift, land_weather_years, land_zip, location_docs,
-    measurement_docs, table,
+    measurement_docs,
 )
 from .registry import query
 from .sql import FIRE, LAT, LON, angle_diff, bearing, hav, kind, wrap

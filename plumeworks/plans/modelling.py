@@ -91,8 +91,6 @@ class EventModel:
     def score(self, df: DataFrame) -> DataFrame:
         """``df`` plus ``prob`` (class 1) and ``y_pred``."""
         vector = array_to_vector(F.array(*self.prepare(df)))
-        if self.family == LOGREG.name:
-            vector = array_to_vector(F.array(*self.prepare(df), F.lit(1.0)))
         scored = self.model.transform(df.withColumn("_features", vector))
         prob = vector_to_array("probability")[1]
         scored = scored.withColumn("prob", prob)
@@ -124,7 +122,7 @@ def fit_estimator(family: Family, params: dict, train: DataFrame, features: list
     weight = F.lit(1.0)
     if family.weighted and len(counts) == 2:
         weight = F.when(F.col("label") == 1, rows / (2.0 * counts[1])).otherwise(rows / (2.0 * counts[0]))
-    vector = F.array(*shell.prepare(filled)) if family is not LOGREG else F.array(*shell.prepare(filled), F.lit(1.0))
+    vector = F.array(*shell.prepare(filled))
     data = filled.select(array_to_vector(vector).alias("_features"), F.col("label").cast("double"), weight.alias("_w"))
     shell.model = _estimator(family, params, rows, rounds).fit(data)
     return shell
@@ -133,10 +131,10 @@ def fit_estimator(family: Family, params: dict, train: DataFrame, features: list
 def _estimator(family: Family, params: dict, rows: int, rounds: int | None):
     common = {"featuresCol": "_features", "labelCol": "label"}
     if family is LOGREG:
-        # the last feature is a constant, so the intercept is penalised like any weight
+        # the intercept is free: Spark has no penalty for it and gives constant columns no weight
         return LogisticRegression(
             **common, weightCol="_w", regParam=1.0 / (params["C"] * rows), elasticNetParam=0.0, maxIter=rounds or 3000,
-            fitIntercept=False, standardization=False,
+            fitIntercept=True, standardization=False,
         )
     if family is FOREST:
         return RandomForestClassifier(
