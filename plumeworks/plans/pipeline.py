@@ -85,7 +85,7 @@ def master_features(feeds: Feeds, opt: Options) -> DataFrame:
 def model_ready(master: DataFrame, opt: Options = Options(), fit_on: DataFrame | None = None) -> DataFrame:
     """Rows with a target, features filled, ``split`` added.
 
-    Medians use all rows, as the reference figures do; pass ``fit_on`` to keep
+    Medians use all rows, as the published figures do; pass ``fit_on`` to keep
     later rows out of them.
     """
     filled = S.fill_features(master, opt.keys, fit_on=fit_on)
