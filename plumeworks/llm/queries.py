@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii, secret_scan
+from . import chat, contain, jaccard, packing, pages, pii, secret_scan, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,60 @@ def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.find_pii(table(spark, sf, "documents"))
 
 
+@query
+def op2_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"))
+
+
+ORACLES["op2_topk"] = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+@query
+def op4_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.extract(table(spark, sf, "pages"))
+
+
+@query
+def op5_chats(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf, "conversations"))
+
+
+ORACLES["op5_chats"] = chat.ORACLE
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contain.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+ORACLES["op6_decontamination"] = contain.ORACLE
+
+
 @query
 def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf, "documents"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op10_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.link(table(spark, sf, "documents"))
+
+
+ORACLES["op10_jaccard"] = jaccard.ORACLE
