@@ -315,4 +315,4 @@ def extract(pages: DataFrame, crf: Crf | None = None) -> DataFrame:
     def rows(htmls: list[str | None]) -> list[tuple]:
         return [(t, len(t)) for t in main_texts(htmls, crf)]
 
-    return per_text(pages, rows, "page_id long, url string, text string, n_chars long", key="page_id", text="html", also=("url",))
+    return per_text(pages, rows, "text string, n_chars long", key="page_id", text="html", also=("url",))

@@ -186,7 +186,7 @@ def all_spans(texts: list[str | None], model: Tagger) -> list[tuple[list, list]]
     return list(zip(base, full))
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+MADE = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 
 
 def find_pii(documents: DataFrame, model: Tagger | None = None) -> DataFrame:
@@ -200,4 +200,4 @@ def find_pii(documents: DataFrame, model: Tagger | None = None) -> DataFrame:
             out.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(full), len(full) - len(base)))
         return out
 
-    return per_text(documents, rows, SCHEMA)
+    return per_text(documents, rows, MADE)

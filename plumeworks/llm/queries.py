@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, contain, jaccard, packing, pages, pii, secret_scan, topk, toxicity
+from . import chat, contain, jaccard, packing, pages, pii, secret_scan, suffix, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+@query
+def op3_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf, "documents"))
+
+
+ORACLES["op3_repeats"] = suffix.ORACLE
+
+
 @query
 def op4_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages.extract(table(spark, sf, "pages"))

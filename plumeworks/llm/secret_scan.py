@@ -153,7 +153,7 @@ def all_spans(texts: list[str | None], model: Tagger) -> list[tuple[list, list]]
     return list(zip(base, full))
 
 
-SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_added long"
+MADE = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_added long"
 
 
 def find_secrets(documents: DataFrame, model: Tagger | None = None) -> DataFrame:
@@ -167,7 +167,7 @@ def find_secrets(documents: DataFrame, model: Tagger | None = None) -> DataFrame
             out.append((*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(full), len(full) - len(base)))
         return out
 
-    return per_text(documents, rows, SCHEMA)
+    return per_text(documents, rows, MADE)
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -190,14 +190,13 @@ def redact_secrets(documents: DataFrame, model: Tagger | None = None) -> DataFra
     A row stays a row, repeated ones included; a null text stays null.
     """
     model = model or tagger()
-    others = [c for c in documents.columns if c != "text"]
 
     def rows(texts: list[str | None]) -> list[tuple]:
-        found = all_spans(texts, model)
-        return [(t if t is None else redact(t, full) if full else t,) for t, (_, full) in zip(texts, found)]
+        return [(redact(t, full) if t and full else t,) for t, (_, full) in zip(texts, all_spans(texts, model))]
 
+    # the row travels as one column, so that no name can clash
+    whole = documents.select("doc_id", "text", F.struct(*documents.columns).alias("row"))
+    done = per_text(whole, rows, "redacted string", also=("row",))
+    fresh = {"text": F.col("redacted"), "n_chars": F.when(F.col("redacted").isNull(), F.col("row.n_chars")).otherwise(F.length("redacted")) if "n_chars" in documents.columns else None}
     kinds = dict(documents.dtypes)
-    made = per_text(documents, rows, ", ".join(["`doc_id` long", *(f"`{c}` {kinds[c]}" for c in others if c != "doc_id"), "`text` string"]), also=tuple(c for c in others if c != "doc_id"))
-    if "n_chars" in documents.columns:
-        made = made.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kinds["n_chars"])))
-    return made.select(*documents.columns)
+    return done.select(*[fresh[c].cast(kinds[c]).alias(c) if c in fresh else F.col("row").getField(c).alias(c) for c in documents.columns])

@@ -15,21 +15,23 @@ from pyspark.sql.types import StructType
 SLICE = 512
 
 
-def per_text(documents: DataFrame, rows: Callable[[list[str | None]], list[tuple]], schema: str, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
-    """One output row per input row: the key (and ``also``) as they are, then what ``rows`` makes of the texts."""
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
-    kept = [key, *also]
+def per_text(documents: DataFrame, rows: Callable[[list[str | None]], list[tuple]], made: str, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """One output row per input row: the key as long, ``also`` as they are, then the columns ``made`` of the texts."""
+    given = documents.select(F.col(key).cast("long").alias(key), *also, F.col(text).cast("string").alias(text))
+    schema = StructType(given.schema.fields[:-1] + StructType.fromDDL(made).fields)
+    arrow = to_arrow_schema(schema)
+    kept = len(also) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
-                made = rows(batch.column(len(kept)).to_pylist())
-                columns = [batch.column(k).cast(arrow.field(k).type) for k in range(len(kept))]
-                columns += [pa.array([r[k] for r in made], arrow.field(len(kept) + k).type) for k in range(len(arrow) - len(kept))]
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                found = rows(batch.column(kept).to_pylist())
+                columns = [batch.column(k) for k in range(kept)]
+                columns += [pa.array([r[k] for r in found], arrow.field(kept + k).type) for k in range(len(arrow) - kept)]
+                yield pa.RecordBatch.from_arrays(columns, names=arrow.names)
 
-    return documents.select(F.col(key).cast("long"), *also, F.col(text).cast("string")).mapInArrow(run, schema)
+    return given.mapInArrow(run, schema)
 
 
 # Hashes below are the sum of table[byte] * BASE**position modulo 2**64, so that any piece follows from two prefix sums.
