@@ -1,11 +1,13 @@
 """Exact n-gram Jaccard join with set-relation skipping.
 
 A document's set holds its distinct five-word shingles, as 64-bit hashes. Documents with equal sets form one class. Sets
-are ordered by one global order, rare shingles first, and the first n - ceil(0.75 n) + 1 of each go into index
-lists: two sets that link share one of them. Two kinds of relation between sets keep the lists from being joined in full:
+are ordered by one global order, rare shingles first, and the first n - ceil(0.75 n) + ``SHARED`` of each go into index
+lists: two sets that link share at least ``SHARED`` of them (all that a link needs, in smaller sets), which single
+shingles that meet by chance do not. Two kinds of relation between sets keep the lists from being joined in full:
 
-* *Answers*: in each list, every set is first compared with one leader only. A set that links to its leader has the
-  leader's answers: both lie in one component, and no pair inside a component is looked at again.
+* *Answers*: a list has one leader, and every set is first compared with the one leader it meets most often. A set that
+  links to its leader has the leader's answers: both lie in one component, and no pair inside a component is looked at
+  again.
 * *Index blocks*: what is left of a list is cut into blocks by position and size. A pair of blocks is skipped as a whole
   when all of it lies in one component, or when positions and sizes bound the overlap below what a link needs. Only the
   remaining blocks are opened, and their pairs compared exactly.
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -33,8 +35,8 @@ from .contain import shingle_sql
 from .texts import SLICE, many_shingles, mix
 
 SHINGLE, PERCENT = 5, 75
-#: Families of leaders: a list's leader is the first set in the order of its family.
-FAMILIES = 6
+#: Shingles that two sets must share in the index lists, unless they are too small for that.
+SHARED = 3
 #: Index entries of a partition.
 PART = 400_000
 
@@ -99,7 +101,7 @@ def sketches(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray], percent:
                         rare.append(None)
                         common.append(None)
                         continue
-                    want = len(s) - (-(-percent * len(s) // 100)) + 1
+                    want = min(len(s), len(s) - (-(-percent * len(s) // 100)) + SHARED)
                     maybe = np.flatnonzero(sieve[(s >> np.uint64(44)).astype(np.int64)])
                     place = np.searchsorted(keys, s[maybe])
                     ok = (place < len(keys)) & (keys[np.minimum(place, max(0, len(keys) - 1))] == s[maybe]) if len(keys) else np.zeros(len(maybe), bool)
@@ -198,12 +200,18 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("u", "v", "left", "right").mapInArrow(run, "u long, v long")
 
 
-def _leader_pairs(lists: DataFrame) -> DataFrame:
-    """u, v: every set with its list's leader, once. Leaders are aggregated before the join, which can split a hot list."""
-    family = F.pmod(F.col("token"), F.lit(FAMILIES))
-    leaders = lists.groupBy("token").agg(F.min_by("rep", F.xxhash64(family, F.col("rep"))).alias("leader"), F.count("*").alias("k")).where("k > 1")
-    pairs = lists.select("token", "rep", "n").join(leaders, "token").where("rep <> leader")
-    return pairs.select(F.greatest("rep", "leader").alias("u"), F.least("rep", "leader").alias("v")).distinct()
+def _enough(shared: str, n: str, percent: int) -> Column:
+    """Whether sets that share so many entries can link; ``n`` is the larger size."""
+    return F.col(shared) >= F.least(F.lit(SHARED), F.ceil(F.col(n) * percent / 100))
+
+
+def _leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """u, v: every set with the leader that it meets in most lists. Leaders are aggregated before the join, which can
+    split a hot list."""
+    leaders = lists.groupBy("token").agg(F.min_by("rep", F.xxhash64("rep")).alias("leader"), F.count("*").alias("k")).where("k > 1")
+    met = lists.select("token", "rep", "n").join(leaders, "token").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("shared"), F.max("n").alias("n"))
+    best = met.where(_enough("shared", "n", percent)).groupBy("rep").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
+    return best.select(F.greatest("rep", "leader").alias("u"), F.least("rep", "leader").alias("v")).distinct()
 
 
 def _block_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -215,9 +223,10 @@ def _block_pairs(lists: DataFrame, percent: int) -> DataFrame:
         F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"), F.min("component").alias("c0"), F.max("component").alias("c1"),
     )
     a, b = blocks.alias("a"), blocks.alias("b")
-    # the overlap from here on is at most what is left of either set; a link needs percent / (100 + percent) of both sizes
+    # one of the first SHARED shared entries: the overlap is at most what is left of either set and those before; a link
+    # needs percent / (100 + percent) of both sizes
     needs = (F.col("a.n0") + F.col("b.n0")) * percent
-    gives = F.least(F.col("a.n1") - F.col("a.p0"), F.col("b.n1") - F.col("b.p0")) * (100 + percent)
+    gives = (F.least(F.col("a.n1") - F.col("a.p0"), F.col("b.n1") - F.col("b.p0")) + (SHARED - 1)) * (100 + percent)
     open_blocks = a.join(
         b,
         (F.col("a.token") == F.col("b.token")) & (F.abs(F.col("a.band") - F.col("b.band")) <= 1)
@@ -229,9 +238,10 @@ def _block_pairs(lists: DataFrame, percent: int) -> DataFrame:
     pairs = open_blocks.join(one, ["token", "band", "block"]).join(two, ["token", "band2", "block2"]).where(
         "rc <> sc"
     ).where(F.least("rn", "sn") * 100 >= F.greatest("rn", "sn") * percent).where(
-        F.least(F.col("rn") - F.col("rp"), F.col("sn") - F.col("sp")) * (100 + percent) >= (F.col("rn") + F.col("sn")) * percent
+        (F.least(F.col("rn") - F.col("rp"), F.col("sn") - F.col("sp")) + (SHARED - 1)) * (100 + percent) >= (F.col("rn") + F.col("sn")) * percent
     )
-    return pairs.select(F.greatest("r", "s").alias("u"), F.least("r", "s").alias("v")).distinct()
+    met = pairs.select("token", F.greatest("r", "s").alias("u"), F.least("r", "s").alias("v"), F.greatest("rn", "sn").alias("n")).distinct().groupBy("u", "v").agg(F.count("*").alias("shared"), F.max("n").alias("n"))
+    return met.where(_enough("shared", "n", percent)).select("u", "v")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -258,7 +268,7 @@ def link(documents: DataFrame, percent: int = PERCENT, room: int = 1_000_000) ->
     # copies stand for their class once; the class of an entry is that of its id and size
     lists = materialise(entries.join(members, ["doc_id", "n"]).select("token", "rep", "n", "pos").distinct(), "shingle-lists")
     # an id with several texts: every text's set must be found by the id, so each is compared
-    tried = materialise(_leader_pairs(lists), "leader-pairs")
+    tried = materialise(_leader_pairs(lists, percent), "leader-pairs")
     links = materialise(_verify(tried, known, percent), "leader-links")
     own = members.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     twice = members.groupBy("doc_id").agg(F.count("*").alias("k"), F.min("rep").alias("v"), F.max("rep").alias("u")).where("k > 1").select("u", "v")
