@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_path
 
-START, END = "1995-06-01", "2001-06-30"
+START, END = "1995-01-01", "2001-12-31"
 
 _DAY = "CAST(CAST({0} AS DATE) AS STRING)"
 _HOUR = f"concat({_DAY.format('l_shipdate')}, ' ', lpad(CAST((l_linenumber*3)%24 AS STRING),2,'0'), ':00')"
@@ -36,10 +36,11 @@ FEEDS: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "stn_press_kpa": "8.8e1+l_discount*1e1",
         "visibility_km": f"CASE WHEN {_HAZE_SHIP} THEN l_quantity/1e1 ELSE l_quantity END",
     }),
-    "fx_era5": ("lineitem", "day(l_shipdate) <> 29", {
+    # no wind on the 29th of a month
+    "fx_era5": ("lineitem", None, {
         "valid_time": _HOUR,
-        "u10": "(l_quantity-2.5e1)/5e0",
-        "v10": "(l_discount-5e-2)*1e2",
+        "u10": "CASE WHEN day(l_shipdate) <> 29 THEN (l_quantity-2.5e1)/5e0 END",
+        "v10": "CASE WHEN day(l_shipdate) <> 29 THEN (l_discount-5e-2)*1e2 END",
         "t2m": "2.7315e2+l_quantity-2e1",
         "d2m": "2.7315e2+l_quantity/2e0-1.5e1",
         "sp": "8.8e4+l_linenumber*1e2",
@@ -67,11 +68,11 @@ FEEDS: dict[str, tuple[str, str | None, dict[str, str]]] = {
         # of 45 degrees is within the sector would hang on the order in which its mean was summed
         "site_lon": "-1.22e2+(n_nationkey%7)*2.5e0+1.3e-2",
     }),
-    "fx_site_era5": ("lineitem", "day(l_shipdate) <> 29", {
+    "fx_site_era5": ("lineitem", None, {
         "site_id": "l_suppkey % 25",
         "valid_time": _HOUR,
-        "u10": "(l_quantity-2.5e1)/5e0",
-        "v10": "(l_discount-5e-2)*1e2",
+        "u10": "CASE WHEN day(l_shipdate) <> 29 THEN (l_quantity-2.5e1)/5e0 END",
+        "v10": "CASE WHEN day(l_shipdate) <> 29 THEN (l_discount-5e-2)*1e2 END",
     }),
     "fx_site_pm25": ("orders", None, {
         "site_id": "o_custkey % 25",
@@ -139,6 +140,17 @@ def land_weather_drift(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def land_fire_drift(spark: SparkSession, sf: str) -> str:
+    """Two layouts of the fire feed in one folder: the same columns in another order, and one more."""
+    rows = feed(spark, sf, "fx_fire")
+    odd = F.col("acq_time").cast("int") % 2 == 1
+    path = new_path(spark, "fire")
+    rows.filter(~odd).write.option("header", True).csv(path)
+    other = [F.lit("x").alias("satellite"), *reversed(rows.columns)]
+    rows.filter(odd).select(*other).write.mode("append").option("header", True).csv(path)
+    return path
+
+
 def land_weather_years(spark: SparkSession, sf: str) -> str:
     """One folder per year; odd years are error pages without coordinates."""
     feed_df = feed(spark, sf, "fx_weather").withColumn("yr", F.substring("date_time_lst", 1, 4).cast("int"))
@@ -150,10 +162,10 @@ def land_weather_years(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def land_zip(df: DataFrame, label: str) -> str:
-    """Each task streams its rows into one zip that holds one CSV and is named ``.csv``."""
+def land_zip(df: DataFrame, label: str, members: tuple[tuple[str, ...], ...] = ()) -> str:
+    """Each task writes its rows into one zip that is named ``.csv``: one CSV, or one for each list of columns."""
     path = new_path(df.sparkSession, label)
-    names = df.columns
+    parts = [list(m) for m in members] or [df.columns]
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
@@ -161,11 +173,15 @@ def land_zip(df: DataFrame, label: str) -> str:
         filesystem.create_dir(inner, recursive=True)
         rows = 0
         with filesystem.open_output_stream(f"{inner}/part-{part:05d}.csv") as sink:
-            with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive, archive.open("data.csv", "w") as body:
-                body.write((",".join(names) + "\n").encode())
-                for batch in batches:
-                    rows += len(batch)
-                    body.write(batch.to_csv(index=False, header=False).encode())
+            # one member is streamed; several need the rows again for each
+            held = batches if len(parts) == 1 else list(batches)
+            with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
+                for number, names in enumerate(parts):
+                    with archive.open(f"data{number}.csv", "w") as body:
+                        body.write((",".join(names) + "\n").encode())
+                        for batch in held:
+                            rows += len(batch)
+                            body.write(batch[names].to_csv(index=False, header=False).encode())
         yield pd.DataFrame({"rows": [rows]})
 
     df.mapInPandas(write, "rows bigint").agg(F.sum("rows")).collect()

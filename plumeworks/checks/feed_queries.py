@@ -11,9 +11,10 @@ from ..functions.calendar import calendar_parts, season_of
 from ..operators import daily as D
 from ..operators import fire as FI
 from ..operators import spine as S
+from ..session import materialise
 from ..sources import air_api, documents, feeds as source
 from .adapters import (
-    END, START, feature_docs, feed, land_csv, land_json, land_weather_drift, land_weather_years, land_zip, location_docs,
+    feature_docs, feed, land_csv, land_fire_drift, table, land_json, land_weather_drift, land_weather_years, land_zip, location_docs,
     measurement_docs,
 )
 from .registry import query
@@ -51,6 +52,26 @@ def _(spark, sf):
     return source.scan_fire_csv(spark, land_csv(feed(spark, sf, "fx_fire"), "fire"))
 
 
+@query("scan_csv_drifted", "latitude:d longitude:d acq_date:s frp:d",
+       "SELECT latitude, longitude, acq_date, frp FROM fx_fire")
+def _(spark, sf):
+    raw = source.scan_fire_csv(spark, land_fire_drift(spark, sf))
+    return raw.select(*[coerce.to_number(c).alias(c) for c in ("latitude", "longitude", "frp")], "acq_date")
+
+
+@query("scan_zip_members", "valid_time:s u10:d t2m:d", "SELECT valid_time, u10, NULL AS t2m FROM fx_era5 UNION ALL SELECT valid_time, NULL, t2m FROM fx_era5")
+def _(spark, sf):
+    raw = source.scan_zip_csv(spark, land_zip(feed(spark, sf, "fx_era5"), "era5", members=(("valid_time", "u10"), ("valid_time", "t2m"))), pattern="part-*.csv")
+    return raw.select("valid_time", *[coerce.to_number(c).alias(c) for c in ("u10", "t2m")])
+
+
+@query("load_events", "event_id:i date:t y:i", "SELECT event_id, CAST(date AS DATE) AS date, y FROM fx_scores")
+def _(spark, sf):
+    path = land_csv(feed(spark, sf, "fx_scores").select("event_id", "date", "y"), "events")
+    raw = source.read_events(source.scan_csv(spark, path))
+    return raw.select(coerce.to_number("event_id").cast("bigint").alias("event_id"), "date", coerce.to_number("y").cast("int").alias("y"))
+
+
 @query("scan_geojson", "name:s segment:s geometry_type:s",
        "SELECT CASE WHEN c_custkey%10<>0 THEN c_name END AS name, CASE WHEN c_custkey%10<>0 THEN c_mktsegment END AS segment, "
        "CASE WHEN c_custkey%4=0 THEN NULL WHEN c_custkey%2=0 THEN 'Polygon' ELSE 'Point' END AS geometry_type FROM customer")
@@ -170,6 +191,21 @@ def _(spark, sf):
     return feed(spark, sf, "fx_texts").select("id", coerce.to_day("day").alias("day"))
 
 
+_FORM_DAY = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
+_FORMS = (
+    f"CASE id%7 WHEN 0 THEN concat(substr(d,1,4),'/',substr(d,6,2),'/',substr(d,9,2)) WHEN 1 THEN concat(substr(d,6,2),'/',substr(d,9,2),'/',substr(d,1,4),' 23:59') "
+    "WHEN 2 THEN concat(substr(d,1,4),substr(d,6,2),substr(d,9,2)) WHEN 3 THEN concat(substr('JanFebMarAprMayJunJulAugSepOctNovDec',CAST(substr(d,6,2) AS INT)*3-2,3),' ',substr(d,9,2),', ',substr(d,1,4)) "
+    "WHEN 4 THEN concat(substr(d,9,2),' ',substr('JanFebMarAprMayJunJulAugSepOctNovDec',CAST(substr(d,6,2) AS INT)*3-2,3),' ',substr(d,1,4)) WHEN 5 THEN concat(d,'T23:05-06:00') ELSE concat('13/',d) END"
+)
+
+
+@query("date_forms", "id:i day:t utc:t",
+       f"SELECT o_orderkey AS id, CASE WHEN o_orderkey%7<6 THEN CAST(o_orderdate AS DATE) END AS day, CASE WHEN o_orderkey%7=5 THEN CAST(o_orderdate AS DATE)+1 WHEN o_orderkey%7<5 THEN CAST(o_orderdate AS DATE) END AS utc FROM orders")
+def _(spark, sf):
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey AS id", f"{_FORM_DAY} AS d").selectExpr("id", f"{_FORMS} AS form")
+    return rows.select("id", coerce.to_day("form").alias("day"), coerce.utc_day("form").alias("utc"))
+
+
 @query("utc_date", "id:i day:t",
        "SELECT id, CAST(TRY_CAST(substr(local,1,19) AS TIMESTAMP) + to_hours(CAST(substr(local,22,1) AS INT)) AS DATE) AS day "
        "FROM (SELECT id, CASE WHEN local<>'bad' THEN local END AS local FROM fx_texts)")
@@ -343,9 +379,9 @@ def _(spark, sf):
     return D.era5_daily(feed(spark, sf, "fx_era5"))
 
 
-@query("filter_date_range", "date:t pm25:e", "SELECT * FROM pm25_day")
+@query("filter_date_range", "date:t pm25:e", "SELECT * FROM pm25_all WHERE date BETWEEN DATE '1996-06-01' AND DATE '2000-06-30'")
 def _(spark, sf):
-    return D.filter_days(D.pm25_daily(feed(spark, sf, "fx_pm25")), START, END)
+    return D.filter_days(D.pm25_daily(feed(spark, sf, "fx_pm25")), "1996-06-01", "2000-06-30")
 
 
 # ---- fire ----
@@ -356,7 +392,8 @@ def _points(spark, sf):
 
 
 def _era5(spark, sf):
-    return D.era5_daily(feed(spark, sf, "fx_era5"))
+    # a written table: it is counted before it is joined
+    return materialise(D.era5_daily(feed(spark, sf, "fx_era5")), "era5")
 
 
 @query("radius_filter", "latitude:d longitude:d frp:d date:t distance_km:e bearing_deg:e", "SELECT * FROM fire_near")
@@ -429,7 +466,7 @@ def _(spark, sf):
        f"(SELECT site_id, CAST(CAST(valid_time AS TIMESTAMP) AS DATE) AS date, {wrap('270e0-degrees(atan2(avg(v10),avg(u10)))')} AS deg "
        "FROM fx_site_era5 GROUP BY 1,2) w ON f.site_id=w.site_id AND f.date=w.date) GROUP BY 1,2")
 def _(spark, sf):
-    wind = D.era5_daily(feed(spark, sf, "fx_site_era5"), keys=("site_id",))
+    wind = materialise(D.era5_daily(feed(spark, sf, "fx_site_era5"), keys=("site_id",)), "site_era5")
     points = source.parse_fire_points(feed(spark, sf, "fx_fire"))
     return FI.site_fire_features(points, feed(spark, sf, "fx_sites"), wind)
 
@@ -445,6 +482,13 @@ def _(spark, sf):
     return FI.fires_near(_points(spark, sf), radius_km=150.0)
 
 
+@query("fire_features_typed", "date:t " + _doubles(FIRE), "SELECT * FROM fire_day")
+def _(spark, sf):
+    raw = feed(spark, sf, "fx_fire")
+    typed = raw.select(F.col("latitude").cast("double"), F.col("longitude").cast("double"), F.to_date("acq_date").alias("acq_date"), "acq_time", F.col("frp").cast("double"))
+    return FI.fire_features(source.parse_fire_points(materialise(typed, "fires")), _era5(spark, sf))
+
+
 @query("date_spine", "date:t", "SELECT date FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date "
        "FROM (SELECT min(date) AS lo, max(date) AS hi FROM pm25_all))")
 def _(spark, sf):

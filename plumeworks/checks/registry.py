@@ -40,25 +40,15 @@ def query(name: str, spec: str | None = None, sql: str | None = None):
 
 
 OPTIONS = Options(start=START, end=END)
-_KEPT: dict[tuple[str, str, str], DataFrame] = {}
-
-
 def feeds(spark: SparkSession, sf: str) -> Feeds:
     return Feeds(*[feed(spark, sf, n) for n in ("fx_pm25", "fx_weather", "fx_era5", "fx_fire")])
 
 
-def kept(name: str, spark: SparkSession, sf: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A table several queries start from, written once per session to the shared folder."""
-    slot = (spark.sparkContext.applicationId, sf, name)
-    if slot not in _KEPT:
-        _KEPT[slot] = materialise(build(), name)
-    return _KEPT[slot]
-
-
 def master_table(spark: SparkSession, sf: str) -> DataFrame:
-    return kept("master", spark, sf, lambda: master_features(feeds(spark, sf), OPTIONS))
+    """The integrated table, written to the shared folder so that its feeds are read once."""
+    return materialise(master_features(feeds(spark, sf), OPTIONS), "master")
 
 
 def ready_table(spark: SparkSession, sf: str) -> DataFrame:
     """Model-ready rows with their ``split``."""
-    return kept("ready", spark, sf, lambda: model_ready(master_table(spark, sf), OPTIONS))
+    return materialise(model_ready(master_table(spark, sf), OPTIONS), "ready")

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import math
+import os
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from ..functions.names import feature_columns
 from ..operators import scoring as SC
 from ..operators import spine as S
 from ..operators.patterns import high_days
+from ..operators.stats import drop_all_null, exact_medians
 from ..plans import modelling as M
+from ..session import shared_dir
 from .adapters import feed
 from .registry import query, ready_table
-from .sql import metric_sql
+from .sql import FEATURES, metric_sql
 
 _METRICS = "accuracy:e precision:e recall:e f1:e roc_auc:e pr_auc:e"
 
@@ -148,77 +156,158 @@ def _(spark, sf):
     return SC.feature_ranking(summary, top=2)
 
 
-# ---- models on the integrated daily table (rows-only: fits have no SQL counterpart) ----
+# ---- models on the integrated daily table, fitted in full ----
+# A fit has no SQL counterpart, but what a right fit must satisfy has: the SQL states the grid, the sizes, the rows that
+# are scored and the rules that scores obey; each row says whether the fitted model meets them.
+
+
+def _fingerprint(df):
+    return "-".join(str(x) for x in df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns))).first())
+
+
+def _fitted(spark, sf, family):
+    """The last grid row fitted on train and validation rows. Fits are kept in the shared folder by the fingerprint of their
+    training rows, so tables that change give another fit."""
+    ready = ready_table(spark, sf)
+    train, val, _ = S.splits(ready)
+    both = train.unionByName(val)
+    path = os.path.join(shared_dir(spark), "plumeworks-models", f"{family.name}-{len(family.grid)}-{_fingerprint(both)}")
+    try:
+        return M.load_model(path, spark), ready
+    except AnalysisException:
+        pass
+    features = drop_all_null(both, feature_columns(both))
+    model = M.fit_estimator(family, family.grid[-1], both, features, exact_medians(both, features).first().asDict(), M.PM25_THRESHOLD)
+    M.save_model(model, path, spark)
+    return M.load_model(path, spark), ready
+
+
+def _grid_fits(spark, sf, family):
+    """Every grid row fitted on the train rows: (number, params text, model), and those rows."""
+    train = S.splits(ready_table(spark, sf))[0].persist()
+    features = drop_all_null(train, feature_columns(train))
+    fill = exact_medians(train, features).first().asDict()
+    with ThreadPoolExecutor(4) as pool:
+        models = list(pool.map(lambda p: M.fit_estimator(family, p, train, features, fill, M.PM25_THRESHOLD), family.grid))
+    return [(i, M.params_text(p), m) for i, (p, m) in enumerate(zip(family.grid, models), start=1)], train
+
 
-# the published grids in full, with fewer trees and rounds than the published 200-500
-_TRIAL_ROUNDS = {M.LOGREG.name: None, M.FOREST.name: 10, M.BOOST.name: 4}
-_FITTED: dict[tuple, tuple] = {}
+def _grid_sql(family, extra):
+    return " UNION ALL ".join(f"SELECT {i} AS config, '{M.params_text(p)}' AS params, {extra(p)}" for i, p in enumerate(family.grid, start=1))
 
 
-def _tuned(spark, sf, family):
-    slot = (spark.sparkContext.applicationId, sf, family.name)
-    if slot not in _FITTED:
-        train, val, _ = S.splits(ready_table(spark, sf))
-        _FITTED[slot] = M.tune(family, train, val, rounds=_TRIAL_ROUNDS[family.name])
-    return _FITTED[slot]
+def _learned(model, rows):
+    """Whether the mean log loss is below that of the class share alone."""
+    p = F.greatest(F.least("prob", F.lit(1 - 1e-9)), F.lit(1e-9))
+    r = model.score(M.with_label(rows)).agg(F.avg(-F.log(F.when(F.col("y") == 1, p).otherwise(1 - p))).alias("loss"), F.avg("y").alias("share")).first()
+    share = r["share"]
+    return bool(r["loss"] < -(share * math.log(share) + (1 - share) * math.log(1 - share)))
 
 
-def _test_rows(spark, sf):
-    return S.splits(ready_table(spark, sf))[2]
+@query("ml_logreg", "config:i params:s slope:e", _grid_sql(M.LOGREG, lambda p: "0e0 AS slope"))
+def _(spark, sf):
+    fits, train = _grid_fits(spark, sf, M.LOGREG)
+    rows = [(i, text, round(M.steepest_slope(m, train), 4)) for i, text, m in fits]
+    return spark.createDataFrame(rows, "config int, params string, slope double")
 
 
-def _models(spark, sf):
-    return {f.name: _tuned(spark, sf, f)[0] for f in (M.LOGREG, M.FOREST, M.BOOST)}
+@query("ml_random_forest", "config:i params:s trees:i in_depth:b learned:b",
+       _grid_sql(M.FOREST, lambda p: f"{p['n_estimators']} AS trees, true AS in_depth, true AS learned"))
+def _(spark, sf):
+    fits, train = _grid_fits(spark, sf, M.FOREST)
+    rows = [(i, text, len(m.model.trees), max(t.depth for t in m.model.trees) <= m.params["max_depth"], _learned(m, train)) for i, text, m in fits]
+    return spark.createDataFrame(rows, "config int, params string, trees int, in_depth boolean, learned boolean")
 
 
-@query("ml_logreg")
+@query("ml_gbt", "config:i params:s trees:i in_depth:b learned:b",
+       _grid_sql(M.BOOST, lambda p: f"{p['max_iter']} AS trees, true AS in_depth, true AS learned"))
 def _(spark, sf):
-    return _tuned(spark, sf, M.LOGREG)[1]
+    fits, train = _grid_fits(spark, sf, M.BOOST)
+    rows = [(i, text, len(m.model.trees), max(t.depth for t in m.model.trees) <= m.params["max_depth"], _learned(m, train)) for i, text, m in fits]
+    return spark.createDataFrame(rows, "config int, params string, trees int, in_depth boolean, learned boolean")
+
+
+def _rule():
+    return (F.col("y_pred") == (F.col("prob") >= 0.5).cast("int")) & F.col("prob").between(0, 1)
 
 
-@query("ml_random_forest")
+@query("predict_proba", "date:t y:i rule:b", "SELECT date, CASE WHEN pm25>=25e0 THEN 1 ELSE 0 END AS y, true AS rule FROM ready_split WHERE split='test'")
 def _(spark, sf):
-    return _tuned(spark, sf, M.FOREST)[1]
+    model, ready = _fitted(spark, sf, M.BOOST)
+    return M.score_models({M.BOOST.name: model}, S.splits(ready)[2]).select("date", "y", _rule().alias("rule"))
 
 
-@query("ml_gbt")
+@query("metrics_row", "model:s model_version:s pm25_threshold:e best_params:s valid:b",
+       f"SELECT '{M.BOOST.name}' AS model, '{M.BOOST.version}' AS model_version, 25e0 AS pm25_threshold, '{M.params_text(M.BOOST.grid[-1] | {'max_depth': 4.0, 'max_iter': 500.0})}' AS best_params, true AS valid")
 def _(spark, sf):
-    return _tuned(spark, sf, M.BOOST)[1]
+    model, ready = _fitted(spark, sf, M.BOOST)
+    row = M.metrics_row(model, S.splits(ready)[2])
+    valid = F.lit(True)
+    for m in SC.METRICS:
+        valid = valid & F.coalesce(F.col(m).between(0, 1), F.lit(m == "roc_auc"))
+    return row.withColumn("valid", valid)
+
+
+def _all_models(spark, sf):
+    fitted = [_fitted(spark, sf, f) for f in (M.LOGREG, M.FOREST, M.BOOST)]
+    return {m.family: m for m, _ in fitted}, fitted[0][1]
+
+
+_FAMILY_ROWS = " UNION ALL ".join(f"SELECT '{f.name}' AS model, true AS valid" for f in (M.LOGREG, M.FOREST, M.BOOST))
 
 
-@query("predict_proba")
+@query("score_test", "model:s valid:b", _FAMILY_ROWS)
 def _(spark, sf):
-    return M.score_models({M.LOGREG.name: _tuned(spark, sf, M.LOGREG)[0]}, _test_rows(spark, sf))
+    models, ready = _all_models(spark, sf)
+    board = M.score_test(models, S.splits(ready)[2])
+    return board.select("model", (F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1)).alias("valid"))
 
 
-@query("metrics_row")
+@query("cross_validate", "model:s valid:b", _FAMILY_ROWS)
 def _(spark, sf):
-    return M.metrics_row(_tuned(spark, sf, M.LOGREG)[0], _test_rows(spark, sf)).drop("trained_at_utc")
+    models, ready = _all_models(spark, sf)
+    train, val, _ = S.splits(ready)
+    cv = M.cross_validate(models, train.unionByName(val))
+    return cv.select("model", (F.col("f1_mean").between(0, 1) & (F.col("f1_std") >= 0)).alias("valid"))
 
 
-@query("score_test")
+@query("shared_folds", "rows:i folds:i differing:i",
+       "SELECT count(*) AS rows, 5 AS folds, 0 AS differing FROM ready_split WHERE split IN ('train','val')")
 def _(spark, sf):
-    return M.score_test(_models(spark, sf), _test_rows(spark, sf))
+    model, ready = _fitted(spark, sf, M.LOGREG)
+    train, val, _ = S.splits(ready)
+    scored = M.folded_scores({"one": model, "two": model}, train.unionByName(val))
+    per_row = scored.groupBy("date").agg(F.count_distinct("fold").alias("k"), F.min("fold").alias("fold"))
+    return per_row.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("fold").alias("folds"), F.count_if(F.col("k") > 1).alias("differing"))
 
 
-@query("cross_validate")
+@query("cross_validate_refit", "model:s valid:b", f"SELECT '{M.LOGREG.name}' AS model, true AS valid")
 def _(spark, sf):
     train, val, _ = S.splits(ready_table(spark, sf))
-    return M.cross_validate(_models(spark, sf), train.unionByName(val))
+    rows = train.unionByName(val)
+    cv = M.cross_validate_refit({M.LOGREG.name: (M.LOGREG, M.LOGREG.grid[2])}, rows, drop_all_null(rows, feature_columns(rows)))
+    return cv.select("model", (F.col("f1_mean").between(0, 1) & (F.col("f1_std") >= 0)).alias("valid"))
 
 
-@query("permutation_importance")
+@query("permutation_importance", "feature:s repeats:i", "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) AS feature, 20 AS repeats")
 def _(spark, sf):
-    return SC.feature_ranking(M.permutation_importance(_tuned(spark, sf, M.LOGREG)[0], _test_rows(spark, sf)))
+    model, ready = _fitted(spark, sf, M.BOOST)
+    return M.permutation_scores(model, S.splits(ready)[2]).groupBy("feature").agg(F.count("importance").alias("repeats"))
 
 
-@query("forecast_next_year")
+@query("forecast_next_year", "date:t rule:b",
+       "SELECT CAST(unnest(generate_series(hi+INTERVAL 1 DAY, hi+INTERVAL 365 DAY, INTERVAL 1 DAY)) AS DATE) AS date, true AS rule FROM (SELECT max(date) AS hi FROM ready_split)")
 def _(spark, sf):
-    return M.forecast(_tuned(spark, sf, M.LOGREG)[0], ready_table(spark, sf).drop("split"), rounds=5)
+    model, ready = _fitted(spark, sf, M.BOOST)
+    out = M.forecast(model, ready.drop("split"))
+    flag = F.col("smoke_impact_pred") == (F.col("smoke_prob") >= 0.5).cast("int")
+    return out.select("date", (flag & F.col("smoke_prob").between(0, 1) & F.col("pred_pm25").isNotNull()).alias("rule"))
 
 
-@query("model_day_predictions")
+@query("model_day_predictions", "date:t pm25:e is_high_pollution:i rule:b",
+       "SELECT date, pm25, 1 AS is_high_pollution, true AS rule FROM ready_split WHERE pm25>=25e0")
 def _(spark, sf):
-    return M.event_predictions(_tuned(spark, sf, M.LOGREG)[0], high_days(ready_table(spark, sf))).select(
-        "date", "pm25", "predicted_label", "prediction_probability", "is_high_pollution"
-    )
+    model, ready = _fitted(spark, sf, M.BOOST)
+    out = M.event_predictions(model, high_days(ready))
+    flag = F.col("predicted_label") == (F.col("prediction_probability") >= 0.5).cast("int")
+    return out.select("date", "pm25", "is_high_pollution", flag.alias("rule"))

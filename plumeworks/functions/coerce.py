@@ -16,11 +16,18 @@ MISSING_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# The whole years of the accepted timestamp range; anything outside is unreadable.
-# They also bound every table with one row per day.
-FIRST_YEAR, LAST_YEAR = 1678, 2261
-CALENDAR_ROWS = (LAST_YEAR - FIRST_YEAR + 1) * 366
-_IN_RANGE = r"^\s*(?:167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])(?:-.*)?$"
+_DATED = r"^\s*\d{4}(?:-.*)?$"
+# what the cast reads as it stands, and how the other common forms are brought into that shape
+_PLAIN = r"^\s*\d{4}(?:-\d\d?(?:-\d\d?(?:[T ]\d\d?:\d\d(?::\d\d.*)?)?)?)?\s*$"
+_REWRITES = [
+    (r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+    (r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
+    (r"^\s*(\d{4})(\d{2})(\d{2})(?=\s|T|$)", "$1-$2-$3"),
+    (r"([T ]\d{1,2}:\d{2})(?=(?:[zZ]|[+-]\d{2}:?\d{2})\s*$)", "$1:00"),
+]
+_MONTH_FIRST = r"^\s*([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{1,2}),?\s+(\d{4})(.*)$"
+_DAY_FIRST = r"^\s*(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?,?\s+(\d{4})(.*)$"
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 _NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
 _OFFSET = r"([zZ]|[+-]\d{2}:?\d{2})\s*$"
@@ -64,13 +71,26 @@ def day_in(df: DataFrame, name: str) -> Column:
     return to_day(name)
 
 
+def _named_month(text: Column, pattern: str, month: int, day: int) -> Column:
+    number = F.floor((F.instr(F.lit(_MONTHS), F.lower(F.regexp_extract(text, pattern, month))) + 2) / 3)
+    return F.concat(
+        F.regexp_extract(text, pattern, 3), F.lit("-"), number.cast("string"), F.lit("-"), F.regexp_extract(text, pattern, day),
+        F.regexp_extract(text, pattern, 4),
+    )
+
+
 def _readable(text: Column) -> Column:
-    """The text itself when its year is in range, else an empty text.
+    """The text as the cast reads it, else an empty text.
 
-    One chain without branches: when the optimizer repeats the expression in a filter
-    and a projection, the text is still parsed only once in each.
+    Read are year-month-day with dashes, slashes or nothing in between, month/day/year, and
+    English month names before or after the day; a time of day and an offset may follow, the
+    seconds may be missing. Most feeds are dashed already and skip the rewriting.
     """
-    return F.regexp_extract(text, _IN_RANGE, 0)
+    dashed = text
+    for pattern, to in _REWRITES:
+        dashed = F.regexp_replace(dashed, pattern, to)
+    named = F.when(text.rlike(_MONTH_FIRST), _named_month(text, _MONTH_FIRST, 1, 2)).when(text.rlike(_DAY_FIRST), _named_month(text, _DAY_FIRST, 2, 1))
+    return F.regexp_extract(F.when(text.rlike(_PLAIN), text).otherwise(F.coalesce(named, dashed)), _DATED, 0)
 
 
 def parse_once(df: DataFrame, columns: list[Column]) -> DataFrame:
@@ -93,11 +113,6 @@ def to_local_timestamp(c: Column | str) -> Column:
     return _readable(_col(c).cast("string")).try_cast("timestamp_ntz")
 
 
-def in_calendar(day: Column) -> Column:
-    """Whether a typed day is in the accepted range; a plain range test, so it can reach the scan."""
-    return day.between(F.lit(f"{FIRST_YEAR}-01-01").cast("date"), F.lit(f"{LAST_YEAR}-12-31").cast("date"))
-
-
 def to_day(c: Column | str) -> Column:
     return F.to_date(to_local_timestamp(c))
 
@@ -113,15 +128,29 @@ def utc_day(c: Column | str) -> Column:
     return F.when(text.rlike(_OFFSET), shifted).otherwise(F.to_date(text.try_cast("timestamp_ntz")))
 
 
+def _clock(acq_time: Column | str) -> Column:
+    clock = F.trim(_col(acq_time).cast("string"))
+    # lpad would cut longer texts, and those must stay invalid
+    return F.when(F.length(clock) < 4, F.lpad(clock, 4, "0")).otherwise(clock)
+
+
+def fire_moment(df: DataFrame) -> Column:
+    """``fire_timestamp`` of a table: a typed ``acq_date`` gives its day without going through text."""
+    if is_text(df, "acq_date"):
+        return fire_timestamp("acq_date", "acq_time")
+    clock = _clock("acq_time")
+    minutes = F.substring(clock, 1, 2).try_cast("int") * 60 + F.substring(clock, 3, 2).try_cast("int")
+    day = F.to_date("acq_date").cast("timestamp_ntz")
+    return F.when(clock.rlike(_CLOCK), day + F.make_dt_interval(mins=minutes))
+
+
 def fire_timestamp(acq_date: Column | str, acq_time: Column | str) -> Column:
     """Acquisition day plus an ``HHMM`` clock that may have lost its leading zeros.
 
     Impossible clocks are common in these feeds; a pattern refuses them, which is far
     cheaper than letting the parser fail.
     """
-    clock = F.trim(_col(acq_time).cast("string"))
-    # lpad would cut longer texts, and those must stay invalid
-    clock = F.when(F.length(clock) < 4, F.lpad(clock, 4, "0")).otherwise(clock)
     day = _readable(F.trim(_col(acq_date).cast("string")))
+    clock = _clock(acq_time)
     moment = F.concat(day, F.lit(" "), F.substring(clock, 1, 2), F.lit(":"), F.substring(clock, 3, 2))
     return F.when(clock.rlike(_CLOCK), moment.try_cast("timestamp_ntz"))

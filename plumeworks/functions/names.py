@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 
+_RUN = re.compile("[a-z0-9]+")
+
+
 def clean_name(name: str) -> str:
-    """Lower-case snake name: quotes and blanks off, other runs of characters to ``_``."""
-    bare = name.strip().strip('"').lower()
-    return re.sub(r"[^a-z0-9]+", "_", bare).strip("_")
+    """The runs of letters and digits in lower case, joined by ``_``."""
+    return "_".join(_RUN.findall(name.lower()))
 
 
 def clean_names(names: Iterable[str]) -> list[str]:
@@ -32,11 +34,11 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 def first_existing(df: DataFrame, candidates: Iterable[str]) -> str:
     """The first candidate that is a column of ``df``; the order of candidates decides."""
-    wanted = list(candidates)
-    for name in wanted:
-        if name in df.columns:
-            return name
-    raise KeyError(f"none of the columns {wanted} exist; found {df.columns}")
+    rank = {name: place for place, name in reversed(list(enumerate(candidates)))}
+    known = [c for c in df.columns if c in rank]
+    if not known:
+        raise KeyError(f"the table has no column named {' or '.join(sorted(rank, key=rank.get))}: {df.columns}")
+    return min(known, key=rank.__getitem__)
 
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str) -> None:
@@ -45,10 +47,6 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str) -> None:
         raise KeyError(f"{what} lacks required columns: {missing}")
 
 
-def rename_existing(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed({old: new for old, new in mapping.items() if old in df.columns})
-
-
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     """Columns of a numeric type, in table order. A declared double that is all NULL counts."""
     skip = set(exclude)

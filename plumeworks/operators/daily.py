@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import day_in, in_calendar, is_text, number_in, parse_once
+from ..functions.coerce import day_in, is_text, number_in, parse_once
 from ..functions.names import first_existing, require_columns
 from ..functions.weather import kelvin_to_celsius, pascal_to_hectopascal, wind_from_deg, wind_speed
 
@@ -52,7 +52,7 @@ def per_day(rows: DataFrame, keys: Sequence[str], measures: Sequence[Column]) ->
 
 def _typed(raw: DataFrame, date: str, columns: list[Column]) -> DataFrame:
     """The columns a roll-up needs. A typed date column stays open to scan filters."""
-    return parse_once(raw, columns) if is_text(raw, date) else raw.select(*columns).filter(in_calendar(F.col("date")))
+    return parse_once(raw, columns) if is_text(raw, date) else raw.select(*columns).filter(F.col("date").isNotNull())
 
 
 def filter_days(df: DataFrame, start: str, end: str) -> DataFrame:

@@ -8,12 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import CALENDAR_ROWS
 from ..functions.geo import (
     CENTRE_LAT, CENTRE_LON, EARTH_RADIUS_KM, angular_diff_deg, bearing_deg, bounding_box, haversine_km,
 )
 from .daily import per_day, total
-from .joins import BROADCAST_ROWS, SALTS, counted_within, lookup_join
+from .joins import BROADCAST_ROWS, counted_within, lookup_join
 
 RADIUS_KM = 400.0
 UPWIND_SECTOR_DEG = 45.0
@@ -24,8 +23,8 @@ def fires_near(
 ) -> DataFrame:
     """Points within the radius of one centre, with ``distance_km`` and ``bearing_deg``.
 
-    The box test is on the raw columns, so typed Parquet input skips row groups;
-    the exact test follows.
+    The box test comes first; on typed points (``parse_fire_points`` of a typed table)
+    it reaches the scan and skips row groups. The exact test follows.
     """
     box = bounding_box(lat, lon, radius_km)
     return (
@@ -70,7 +69,7 @@ def _site_cells(sites: DataFrame, radius_km: float) -> DataFrame:
 
 def fires_near_sites(
     points: DataFrame, sites: DataFrame, keys: Sequence[str] = ("site_id",), radius_km: float = RADIUS_KM,
-    broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS,
+    broadcast_rows: int = BROADCAST_ROWS, salts: int | None = None,
 ) -> DataFrame:
     """The same for many sites (``keys, site_lat, site_lon``): an equi-join on grid cells.
 
@@ -107,12 +106,12 @@ def join_wind(
 ) -> DataFrame:
     """Attach the day's wind direction; fires on days without wind keep a NULL.
 
-    Without keys the wind table has one row per day, so the calendar bounds it and it
-    is broadcast. With keys it is joined salted unless a bound is given.
+    The wind table is broadcast when a bound is given or it was counted to be small (the
+    count reads it, so pass a written table); else the join is salted.
     """
-    if not keys:
-        max_wind_rows = CALENDAR_ROWS
     wind = wind_daily.select(*keys, "date", "era5_wind_from_deg")
+    if max_wind_rows is None and counted_within(wind):
+        max_wind_rows = BROADCAST_ROWS
     return lookup_join(
         located, wind, [*keys, "date"], "left", max_lookup_rows=max_wind_rows,
         salt_on=["latitude", "longitude", "datetime"],
@@ -186,5 +185,5 @@ def site_fire_features(
     max_wind_rows: int | None = None,
 ) -> DataFrame:
     """Daily fire features for many sites, each with its own wind."""
-    located = fires_near_sites(points, sites, keys, radius_km)
+    located = fires_near_sites(points, sites, keys, radius_km).select(*keys, "latitude", "longitude", "datetime", "date", "frp", "distance_km", "bearing_deg")
     return fire_daily(smoke_rows(join_wind(located, wind_daily, keys, max_wind_rows), sector_deg), keys)

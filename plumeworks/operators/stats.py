@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import CALENDAR_ROWS
 from .joins import lookup_join, with_scalars
 
 _ACCURACY = 10_000
+#: Rows of a group whose distinct values one task may hold.
+PLAIN_ROWS = 250_000
 
 
 def exact_medians(
@@ -24,7 +25,7 @@ def exact_medians(
     the median, and only the few values inside the bracket stay distinct.
     """
     keys = list(keys)
-    if max_group_rows is not None and max_group_rows <= CALENDAR_ROWS:
+    if max_group_rows is not None and max_group_rows <= PLAIN_ROWS:
         return df.groupBy(*keys).agg(*[F.median(c).alias(c) for c in columns])
     slack = 3.0 / _ACCURACY
     brackets = df.groupBy(*keys).agg(
@@ -66,7 +67,7 @@ def zscore(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), fit_
     ``fit_on`` takes the statistics from another table, e.g. only the train rows.
     """
     stats = moments(fit_on if fit_on is not None else df, columns, keys)
-    wide, stat = attach(df, stats, keys, salt_on=["date"] if "date" in df.columns else [])
+    wide, stat = attach(df, stats, keys, salt_on=["date"] if "date" in df.columns else list(columns))
 
     def scaled(c: str) -> Column:
         spread = stat(f"std_{c}")

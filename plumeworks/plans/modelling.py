@@ -102,9 +102,12 @@ def _one_row(df: DataFrame) -> dict[str, float]:
     return df.first().asDict()
 
 
-def fit_estimator(family: Family, params: dict, train: DataFrame, features: list[str], fill: dict, threshold: float,
-                  rounds: int | None = None) -> EventModel:
-    """Fit one grid row. ``rounds`` limits trees or boosting rounds, for trial runs."""
+#: Training rows of a partition. Boosting passes over the rows thousands of times, so small tables stay together.
+FIT_ROWS = 20_000
+
+
+def fit_estimator(family: Family, params: dict, train: DataFrame, features: list[str], fill: dict, threshold: float) -> EventModel:
+    """Fit one grid row in full."""
     centre: dict[str, float] = {}
     spread: dict[str, float] = {}
     filled = train.select(
@@ -124,32 +127,47 @@ def fit_estimator(family: Family, params: dict, train: DataFrame, features: list
         weight = F.when(F.col("label") == 1, rows / (2.0 * counts[1])).otherwise(rows / (2.0 * counts[0]))
     vector = F.array(*shell.prepare(filled))
     data = filled.select(array_to_vector(vector).alias("_features"), F.col("label").cast("double"), weight.alias("_w"))
-    shell.model = _estimator(family, params, rows, rounds).fit(data)
+    data = data.coalesce(1) if rows <= FIT_ROWS else data.repartition(-(-rows // FIT_ROWS))
+    shell.model = _estimator(family, params, rows).fit(data)
     return shell
 
 
-def _estimator(family: Family, params: dict, rows: int, rounds: int | None):
+def _estimator(family: Family, params: dict, rows: int):
     common = {"featuresCol": "_features", "labelCol": "label"}
-    if family is LOGREG:
+    if family.name == LOGREG.name:
         # the intercept is free: Spark has no penalty for it and gives constant columns no weight
         return LogisticRegression(
-            **common, weightCol="_w", regParam=1.0 / (params["C"] * rows), elasticNetParam=0.0, maxIter=rounds or 3000,
+            **common, weightCol="_w", regParam=1.0 / (params["C"] * rows), elasticNetParam=0.0, maxIter=3000, tol=1e-9,
             fitIntercept=True, standardization=False,
         )
-    if family is FOREST:
+    if family.name == FOREST.name:
         return RandomForestClassifier(
-            **common, weightCol="_w", numTrees=min(rounds or 10**9, params["n_estimators"]), maxDepth=params["max_depth"],
+            **common, weightCol="_w", numTrees=params["n_estimators"], maxDepth=params["max_depth"],
             minInstancesPerNode=params["min_samples_leaf"], featureSubsetStrategy="sqrt", seed=SEED,
         )
     return GBTClassifier(
-        **common, maxIter=min(rounds or 10**9, params["max_iter"]), stepSize=params["learning_rate"],
+        **common, maxIter=params["max_iter"], stepSize=params["learning_rate"],
         maxDepth=params["max_depth"], minInstancesPerNode=20, maxBins=256, seed=SEED,
     )
 
 
+def steepest_slope(model: EventModel, train: DataFrame) -> float:
+    """Largest absolute slope of the penalised, class-weighted log loss at a logistic model's coefficients: 0 at the optimum."""
+    labelled = train.withColumn("label", exceeds(F.col("pm25"), model.threshold))
+    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = sum(counts.values())
+    weight = F.when(F.col("label") == 1, rows / (2.0 * counts[1])).otherwise(rows / (2.0 * counts[0]))
+    pull = weight * (F.col("prob") - F.col("label"))
+    scored = model.score(labelled)
+    sums = scored.agg(F.sum(pull).alias("_free"), *[F.sum(pull * c).alias(n) for n, c in zip(model.features, model.prepare(scored))]).first()
+    penalty = 1.0 / (model.params["C"] * rows)
+    slopes = [sums[n] / rows + penalty * w for n, w in zip(model.features, model.model.coefficients.toArray())]
+    return float(max(abs(x) for x in [*slopes, sums["_free"] / rows]))
+
+
 def tune(
     family: Family, train: DataFrame, val: DataFrame, keys: Sequence[str] = (), threshold: float = PM25_THRESHOLD,
-    rounds: int | None = None, parallelism: int = 2, max_rows_for_plain_median: int | None = None,
+    parallelism: int = 4, max_rows_for_plain_median: int | None = None,
 ) -> tuple[EventModel, DataFrame]:
     """Choose the grid row with the best validation F1, then refit on train + validation.
 
@@ -165,7 +183,7 @@ def tune(
 
     fill = medians(train)
     with ThreadPoolExecutor(parallelism) as pool:
-        fitted = list(pool.map(lambda p: fit_estimator(family, p, train, features, fill, threshold, rounds), family.grid))
+        fitted = list(pool.map(lambda p: fit_estimator(family, p, train, features, fill, threshold), family.grid))
     labelled = val.withColumn("y", exceeds(F.col("pm25"), threshold))
     scored = None
     for number, m in enumerate(fitted, start=1):
@@ -178,7 +196,7 @@ def tune(
     best = max(rows, key=lambda r: (r["val_f1"], -r["config"]))
     both = train.unionByName(val)
     final = fit_estimator(
-        family, family.grid[best["config"] - 1], both, features, medians(both) if family.refit_fill else fill, threshold, rounds
+        family, family.grid[best["config"] - 1], both, features, medians(both) if family.refit_fill else fill, threshold
     )
     final.val_f1 = best["val_f1"]
     train.unpersist()
@@ -209,9 +227,30 @@ def score_test(models: dict[str, EventModel], test: DataFrame) -> DataFrame:
     return classification_metrics(score_models(models, test), ["model"]).orderBy(F.desc_nulls_last("f1"), "model")
 
 
+def folded_scores(models: dict[str, EventModel], df: DataFrame, identity: Sequence[str] = ("date",), folds: int = 5) -> DataFrame:
+    """All models' scores with the fold of each row. Folds are dealt to the rows once, before scoring, so all models share them."""
+    dealt = stratified_folds(with_label(df), identity, folds=folds)
+    return score_models(models, dealt.drop("y"), [*identity, "fold"])
+
+
 def cross_validate(models: dict[str, EventModel], df: DataFrame, identity: Sequence[str] = ("date",), folds: int = 5) -> DataFrame:
     """Per-model mean and std over stratified folds. The fitted models are rated, not refitted."""
-    scored = stratified_folds(score_models(models, df, identity), identity, keys=["model"], folds=folds)
+    return cv_summary(classification_metrics(folded_scores(models, df, identity, folds), ["model", "fold"]))
+
+
+def cross_validate_refit(
+    families: dict[str, tuple[Family, dict]], df: DataFrame, features: list[str], identity: Sequence[str] = ("date",), folds: int = 5,
+    threshold: float = PM25_THRESHOLD,
+) -> DataFrame:
+    """The same with a fresh fit per fold: each fold is scored by models that saw only the others."""
+    dealt = stratified_folds(with_label(df, threshold), identity, folds=folds).drop("y")
+    scored = None
+    for fold in range(folds):
+        rest = dealt.filter(F.col("fold") != fold)
+        fill = _one_row(exact_medians(rest, features))
+        models = {name: fit_estimator(family, params, rest, features, fill, threshold) for name, (family, params) in families.items()}
+        part = score_models(models, dealt.filter(F.col("fold") == fold), [*identity, "fold"])
+        scored = part if scored is None else scored.unionByName(part)
     return cv_summary(classification_metrics(scored, ["model", "fold"]))
 
 

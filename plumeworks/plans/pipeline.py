@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from ..operators import spine as S
 from ..operators.stats import zscore
 from ..session import materialise
 from ..sources.feeds import parse_fire_points
-from ..sources.tables import write_outputs
+from ..sources.tables import counts_to_double, write_table
 
 
 @dataclass(frozen=True)
@@ -49,24 +50,35 @@ class Options:
             raise ValueError("radius must be positive and the sector within (0, 180]")
 
 
-def daily_tables(feeds: Feeds, opt: Options) -> dict[str, DataFrame]:
-    """The four clean daily tables within the date range; the fire table is complete."""
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def _keep_wind(name: str, df: DataFrame) -> DataFrame:
+    """Write the reanalysis table, which two later steps start from; leave the others as plans."""
+    return materialise(df, name) if name == "era5_daily" else df
+
+
+def daily_tables(feeds: Feeds, opt: Options, keep: Keep = _keep_wind) -> dict[str, DataFrame]:
+    """The four clean daily tables within the date range; the fire table is complete.
+
+    ``keep`` gets each table as soon as it is defined and gives the one to go on with.
+    """
     opt.check()
     keys = opt.keys
 
     def within(df: DataFrame) -> DataFrame:
         return D.filter_days(df, opt.start, opt.end)
 
-    pm25 = within(D.pm25_daily(feeds.pm25, keys))
-    weather = within(D.weather_daily(feeds.weather, keys))
-    era5 = within(D.era5_daily(feeds.era5, keys))
+    pm25 = keep("pm25_daily", within(D.pm25_daily(feeds.pm25, keys)))
+    weather = keep("weather_daily", within(D.weather_daily(feeds.weather, keys)))
+    era5 = keep("era5_daily", within(D.era5_daily(feeds.era5, keys)))
     points = within(parse_fire_points(feeds.fire))
     if feeds.sites is None:
         fire = FI.fire_features(points, era5, opt.lat, opt.lon, opt.radius_km, opt.sector_deg)
     else:
         fire = FI.site_fire_features(points, feeds.sites, era5, keys, opt.radius_km, opt.sector_deg)
     spine = S.date_spine(fire.sparkSession, opt.start, opt.end, feeds.sites, keys)
-    fire = S.fill_fire(spine, fire, opt.radius_km, keys)
+    fire = keep("fire_daily", S.fill_fire(spine, fire, opt.radius_km, keys))
     return {"pm25_daily": pm25, "weather_daily": weather, "era5_daily": era5, "fire_daily": fire}
 
 
@@ -100,27 +112,30 @@ def scaled(ready: DataFrame, opt: Options = Options(), fit_on: DataFrame | None
 def run_pipeline(feeds: Feeds, opt: Options, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Build and write every table below ``root``.
 
-    The daily tables are small next to the feeds. They are written first and read
-    back, so the feeds are scanned once and later steps start from the written rows.
-    Splits are one table with a ``split`` column.
+    Every feed is scanned once and every table written once, to its final place, in key and
+    date order; later steps start from what was written. Splits are one table each, in one
+    folder per ``split``.
     """
     spark: SparkSession = feeds.pm25.sparkSession
-    clean = {name: materialise(df, name) for name, df in daily_tables(feeds, opt).items()}
-    joined = S.join_master(clean["fire_daily"], [clean[n] for n in ("pm25_daily", "weather_daily", "era5_daily")], opt.keys)
-    order = [c for n in ("pm25_daily", "weather_daily", "era5_daily", "fire_daily") for c in clean[n].columns]
-    features = [c for c in dict.fromkeys(order) if c not in ("date", *opt.keys)]
-    master = materialise(joined.select(*opt.keys, "date", *features), "master_daily")
-    ready = materialise(model_ready(master, opt), "model_ready")
-    tables = {
-        **clean,
-        "master_daily": master,
-        "model_ready": ready,
-        "model_ready_scaled": scaled(ready, opt),
-    }
-    write_outputs(tables, root, fmt, opt.keys)
-    if fmt != "parquet":
-        return tables
-    return {name: spark.read.parquet(f"{root}/{name}") for name in tables}
+    order = [*opt.keys, "date"]
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        ordered = counts_to_double(df, keep=opt.keys).orderBy(*order)
+        if fmt != "parquet":
+            # a delimited file loses types, so the next step starts from a typed copy
+            ordered = materialise(ordered, name)
+        parts = ("split",) if "split" in df.columns else ()
+        write_table(ordered, os.path.join(root, name), fmt, parts)
+        return spark.read.schema(ordered.schema).parquet(os.path.join(root, name)).select(*df.columns) if fmt == "parquet" else ordered
+
+    tables = daily_tables(feeds, opt, put)
+    joined = S.join_master(tables["fire_daily"], [tables[n] for n in ("pm25_daily", "weather_daily", "era5_daily")], opt.keys)
+    named = [c for n in ("pm25_daily", "weather_daily", "era5_daily", "fire_daily") for c in tables[n].columns]
+    features = [c for c in dict.fromkeys(named) if c not in ("date", *opt.keys)]
+    tables["master_daily"] = put("master_daily", joined.select(*opt.keys, "date", *features))
+    tables["model_ready"] = put("model_ready", model_ready(tables["master_daily"], opt))
+    tables["model_ready_scaled"] = put("model_ready_scaled", scaled(tables["model_ready"], opt))
+    return tables
 
 
 def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
@@ -143,4 +158,5 @@ def dataset_profile(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ("date",)) -> DataFrame:
+    """The first ``n`` rows in the given order."""
     return df.orderBy(*order).limit(n)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from .feeds import scan_csv, scan_zip_csv, union_all
-from .files import list_files
 
 
 def scan_geojson(
@@ -41,12 +40,11 @@ def scan_geojson(
 
 def scan_any(spark: SparkSession, path: str, zipped: bool = False) -> DataFrame:
     """Pick the reader by suffix: CSV (or a zip under a CSV name), JSON, GeoJSON."""
-    suffix = PurePosixPath(path).suffix.lower()
-    if suffix == ".csv":
-        return scan_zip_csv(spark, path) if zipped else scan_csv(spark, path)
-    if suffix in {".json", ".geojson"}:
-        return scan_geojson(spark, path)
-    raise ValueError(f"unsupported dataset type: {suffix}")
+    readers = {".csv": scan_zip_csv if zipped else scan_csv, ".json": scan_geojson, ".geojson": scan_geojson}
+    read = readers.get(PurePosixPath(path).suffix.lower())
+    if read is None:
+        raise ValueError(f"no reader for {path}; known endings are {', '.join(readers)}")
+    return read(spark, path)
 
 
 def _exists(spark: SparkSession, path: str):
@@ -62,16 +60,13 @@ def scan_grouped(spark: SparkSession, targets: list[str], zipped: tuple[str, ...
 
     Missing targets are skipped; None when nothing is there.
     """
-    from .files import header_groups
-
     frames = []
     for target in targets:
         status = _exists(spark, target)
         if status is None:
             continue
         if status.isDirectory():
-            groups = header_groups(list_files(spark, target, "*.csv"))
-            frames += [scan_csv(spark, paths, header) for header, paths in groups]
+            frames.append(scan_csv(spark, target, pattern="*.csv"))
         else:
             frames.append(scan_any(spark, target, zipped=target in zipped))
     if not frames:

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.coerce import day_in, fire_timestamp, missing_to_null, number_in, parse_once
+from ..functions.coerce import day_in, fire_moment, is_text, missing_to_null, number_in, parse_once
 from ..functions.names import clean_columns, clean_name, clean_names, first_existing, require_columns
-from .files import header_groups, list_files, open_input, zip_members
+from .files import header_groups, layouts, list_files, open_input, zip_members
 
 FIRE_COLUMNS = ["latitude", "longitude", "acq_date", "acq_time", "frp"]
 _CHUNK_ROWS = 50_000
@@ -36,26 +36,33 @@ def _blank_missing(df: DataFrame) -> DataFrame:
     return df.select(*[missing_to_null(f"`{c}`").alias(c) for c in df.columns])
 
 
-def scan_csv(spark: SparkSession, paths: str | list[str], header: list[str] | None = None) -> DataFrame:
-    """CSV with a header as cleaned text columns. A known header saves the probe of the first file."""
-    reader = spark.read.option("header", True).option("enforceSchema", True).option("escape", '"')
-    if header is not None:
-        df = reader.schema(_text_schema(clean_names(header))).csv(paths)
-    else:
-        df = clean_columns(reader.csv(paths))
-    return _blank_missing(df)
+def _read_layout(spark: SparkSession, paths: str | list[str], header: list[str], multi_line: bool, pattern: str = "*") -> DataFrame:
+    # files that turn out to have other columns fail here instead of being read by position
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", multi_line)
+    reader = reader.option("pathGlobFilter", pattern)
+    return clean_columns(reader.schema(_text_schema(header)).csv(paths))
 
 
-def scan_weather_dir(spark: SparkSession, directory: str, pattern: str = "weather_*.csv") -> DataFrame:
-    """All matching files, columns matched **by name**.
+def scan_csv(
+    spark: SparkSession, paths: str | list[str], header: list[str] | None = None, pattern: str = "*", multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header as cleaned text columns, matched **by name**.
 
-    A single read over files with different headers would assign columns by
-    position, so files are grouped by header first: one scan per distinct header.
+    The first line of every file is looked at; a folder with one layout is one scan, else there is a
+    scan for each layout. A known ``header`` saves that look, and files that differ from it fail.
+    ``multi_line`` reads line breaks inside quotes; such files are not split.
     """
-    groups = header_groups(list_files(spark, directory, pattern))
+    if header is not None:
+        return _blank_missing(_read_layout(spark, paths, header, multi_line))
+    groups = header_groups(list_files(spark, paths, pattern))
     if not groups:
-        raise FileNotFoundError(f"no hourly weather files ({pattern}) in {directory}")
-    return union_all([scan_csv(spark, paths, header) for header, paths in groups])
+        raise FileNotFoundError(f"{paths} holds nothing that matches {pattern}")
+    return _blank_missing(union_all([_read_layout(spark, found or paths, layout, multi_line, pattern) for layout, found in groups]))
+
+
+def scan_weather_dir(spark: SparkSession, directory: str, pattern: str = "weather_*.csv") -> DataFrame:
+    """All matching files, columns matched by name."""
+    return scan_csv(spark, directory, pattern=pattern)
 
 
 def _zip_rows(columns: list[str]):
@@ -67,7 +74,7 @@ def _zip_rows(columns: list[str]):
                         with archive.open(member) as body:
                             for chunk in pd.read_csv(body, dtype=str, chunksize=_CHUNK_ROWS):
                                 chunk.columns = [clean_name(c) for c in chunk.columns]
-                                yield chunk.reindex(columns=columns)
+                                yield chunk.reindex(columns=columns).astype(object)
 
     return rows
 
@@ -82,7 +89,7 @@ def scan_zip_csv(
     """
     files = list_files(spark, paths, pattern)
     if columns is None:
-        names = {clean_name(c) for header, _ in header_groups(files) for c in header}
+        names = {clean_name(c) for header in layouts(files) for c in header}
         if not names:
             raise FileNotFoundError(f"no archives in {paths}")
         columns = sorted(names)
@@ -95,16 +102,27 @@ def scan_fire_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df
 
 
+def _plain_number(df: DataFrame, name: str):
+    """A typed coordinate. A double stays itself (a NaN fails every later range test), so that filters reach the scan."""
+    return F.col(name) if dict(df.dtypes)[name] == "double" else number_in(df, name).alias(name)
+
+
 def parse_fire_points(raw: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Typed fire points; rows without position or day are dropped, rows without FRP stay."""
     require_columns(raw, FIRE_COLUMNS, "fire table")
     columns = [
         *[F.col(k) for k in keys],
         *[number_in(raw, c).alias(c) for c in ("latitude", "longitude", "frp")],
-        fire_timestamp("acq_date", "acq_time").alias("datetime"),
+        fire_moment(raw).alias("datetime"),
     ]
-    typed = parse_once(raw, columns).withColumn("date", F.to_date("datetime"))
-    return typed.dropna(subset=["latitude", "longitude", "date"])
+    if any(is_text(raw, c) for c in ("latitude", "longitude", "acq_date")):
+        typed = parse_once(raw, columns).withColumn("date", F.to_date("datetime"))
+        return typed.dropna(subset=["latitude", "longitude", "date"])
+    # typed: the position and the day are plain columns, so filters on them reach the scan
+    day = F.to_date("acq_date")
+    moment = fire_moment(raw)
+    typed = raw.select(*[F.col(k) for k in keys], *[_plain_number(raw, c) for c in ("latitude", "longitude")], number_in(raw, "frp").alias("frp"), moment.alias("datetime"), day.alias("date"))
+    return typed.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col("date").isNotNull() & F.col("datetime").isNotNull())
 
 
 def read_events(raw: DataFrame) -> DataFrame:

@@ -41,21 +41,26 @@ def zip_members(archive: zipfile.ZipFile) -> list[str]:
     return sorted(n for n in archive.namelist() if n.lower().endswith(".csv"))
 
 
+def _columns(line: bytes) -> list[str]:
+    return next(csv.reader([line.decode("utf-8-sig").rstrip("\r\n")]), [])
+
+
 def _first_line(path: str) -> list[str]:
+    """The header of a file; of an archive the columns of all its members, each once."""
     with open_input(path) as stream:
         zipped = stream.read(4) == _ZIP_MAGIC
         stream.seek(0)
-        if zipped:
-            with zipfile.ZipFile(stream) as archive:
-                members = zip_members(archive)
-                if not members:
-                    raise ValueError(f"no CSV inside {path}")
-                with archive.open(members[0]) as body:
-                    line = body.readline()
-        else:
-            line = io.BufferedReader(stream).readline()
-    text = line.decode("utf-8-sig").rstrip("\r\n")
-    return next(csv.reader([text]), [])
+        if not zipped:
+            return _columns(io.BufferedReader(stream).readline())
+        found: dict[str, None] = {}
+        with zipfile.ZipFile(stream) as archive:
+            members = zip_members(archive)
+            if not members:
+                raise ValueError(f"no CSV inside {path}")
+            for member in members:
+                with archive.open(member) as body:
+                    found |= dict.fromkeys(_columns(body.readline()))
+        return list(found)
 
 
 def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -68,11 +73,21 @@ def file_headers(files: DataFrame) -> DataFrame:
     return files.mapInPandas(_headers, "path string, header array<string>")
 
 
+def layouts(files: DataFrame) -> list[list[str]]:
+    """The distinct headers, in the order of the first path that has each. Their number is that of layouts, not of files."""
+    return [list(r["header"]) for r in file_headers(files).groupBy("header").agg(F.min("path").alias("path")).orderBy("path").collect()]
+
+
 def header_groups(files: DataFrame) -> list[tuple[list[str], list[str]]]:
-    """Files grouped by identical header: ``[(header, [paths])]``, in path order.
+    """Files by identical header: ``[(header, [paths])]``, in path order.
 
-    Only paths come to the driver, the same list every file-based scan holds there.
+    With one layout the list of paths is left empty: the caller reads the folder. Only with
+    several do paths come to the driver, row by row and not gathered in one group.
     """
-    grouped = file_headers(files).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    rows = sorted(((list(r["header"]), list(r["paths"])) for r in grouped.collect()), key=lambda g: g[1][0])
-    return rows
+    found = layouts(files)
+    if len(found) < 2:
+        return [(header, []) for header in found]
+    paths: dict[tuple[str, ...], list[str]] = {tuple(h): [] for h in found}
+    for r in file_headers(files).orderBy("path").toLocalIterator():
+        paths[tuple(r["header"])].append(r["path"])
+    return [(list(h), p) for h, p in paths.items()]

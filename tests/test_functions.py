@@ -38,9 +38,13 @@ def test_days(spark):
              "2024-05-01T23:30:00-06:00"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     may = dt.date(2024, 5, 1)
-    assert [r[0] for r in values(df, coerce.to_day("t"))] == [may, may, None, None, None, None, None, None, may]
+    assert [r[0] for r in values(df, coerce.to_day("t"))] == [may, may, None, None, None, dt.date(1500, 1, 1), dt.date(2300, 1, 1), None, may]
     utc = [r[0] for r in values(df, coerce.utc_day("t"))]
     assert utc[-1] == dt.date(2024, 5, 2) and utc[0] == may and utc[3] is None
+    # the other common forms; a month beyond twelve or an unknown name stays unreadable
+    texts = ["2024/05/01", "05/01/2024 23:59", "20240501", "May 1, 2024", "1 May 2024", "May 1, 2024 23:59", "2024-05-01T03:05-06:00", "13/01/2024", "Foo 1, 2024", "2024-05-01T03:05Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in values(df, coerce.to_day("t"))] == [may] * 7 + [None, None, may]
 
 
 def test_fire_clock(spark):

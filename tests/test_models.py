@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import random
 
@@ -23,7 +24,7 @@ def ready(spark):
 @pytest.fixture(scope="module")
 def logreg(ready):
     train, val, _ = S.splits(ready)
-    return M.tune(M.LOGREG, train, val, rounds=100)
+    return M.tune(M.LOGREG, train, val)
 
 
 def test_logreg(spark, ready, logreg, tmp_path):
@@ -60,8 +61,10 @@ def test_logreg_reaches_the_penalised_optimum(ready):
 
 def test_trees_and_summary(ready, logreg):
     train, val, test = S.splits(ready)
-    forest, _ = M.tune(M.FOREST, train, val, rounds=3)
-    boost, _ = M.tune(M.BOOST, train, val, rounds=2)
+    small = [{"n_estimators": 3, "max_depth": 4, "min_samples_leaf": 5}], [{"learning_rate": 0.1, "max_depth": 3, "max_iter": 3}]
+    forest, _ = M.tune(dataclasses.replace(M.FOREST, grid=small[0]), train, val)
+    boost, _ = M.tune(dataclasses.replace(M.BOOST, grid=small[1]), train, val)
+    assert len(forest.model.trees) == len(boost.model.trees) == 3 and boost.params == small[1][0]
     models = {m.family: m for m in (logreg[0], forest, boost)}
     board = M.score_test(models, test).collect()
     assert len(board) == 3 and [r["f1"] for r in board] == sorted((r["f1"] for r in board), reverse=True)
