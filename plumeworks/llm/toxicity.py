@@ -56,32 +56,30 @@ def grams(token: str) -> list[str]:
 def learn_lexicon(sample: DataFrame, least: int = 6, most: int = 3000) -> dict[str, float]:
     """Words and beginnings that mark toxic rows of ``sample`` (text, toxic), with their log-odds.
 
-    ``most`` is the size of the model, not of the search: counts cover the whole sample, the strongest are kept.
+    Counts cover the whole sample; what fewer than ``least`` toxic rows hold is not counted in the others. ``most`` is
+    the size of the model: the strongest are kept.
     """
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[toxic].update({g for t in set((text or "").split()) for g in grams(t)})
-        names = [g for g in set(seen[0]) | set(seen[1])]
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[1][g] for g in names], pa.int64()), pa.array([seen[0][g] for g in names], pa.int64())], ["gram", "bad", "good"])
-
+    def count(only: frozenset[str] | None, rows: DataFrame) -> dict[str, int]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: Counter = Counter()
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    held = {g for t in set((text or "").split()) for g in grams(t)}
+                    seen.update(held if only is None else held & only)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["gram", "n"])
+
+        counted = rows.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        return {r["gram"]: r["n"] for r in counted.where(F.col("n") >= (least if only is None else 1)).collect()}
+
+    # at most the sample's toxic words over ``least``
+    bad = count(None, sample.where("toxic = 1"))
+    good = count(frozenset(bad), sample.where("toxic = 0")) if bad else {}
     one, none = sizes.get(1, 0) + 1.0, sizes.get(0, 0) + 1.0
-    odds = F.log((F.col("bad") + 0.5) / one) - F.log((F.col("good") + 0.5) / none)
-    rows = (
-        sample.select(F.col("text"), F.col("toxic").cast("int"))
-        .mapInArrow(count, "gram string, bad long, good long")
-        .groupBy("gram").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-        .where(F.col("bad") >= least)
-        .select("gram", "bad", odds.alias("odds"))
-        .where("odds > 1")
-        .orderBy(F.desc(F.col("odds") * F.log1p(F.col("bad"))), "gram")
-        .limit(most)
-        .collect()
-    )
-    return {r["gram"]: r["odds"] for r in rows}
+    odds = {g: math.log((n + 0.5) / one) - math.log((good.get(g, 0) + 0.5) / none) for g, n in bad.items()}
+    strong = sorted((g for g in odds if odds[g] > 1), key=lambda g: (-odds[g] * math.log1p(bad[g]), g))
+    return {g: odds[g] for g in strong[:most]}
 
 
 @dataclass
@@ -96,22 +94,24 @@ class Reader:
 
     def _reset(self) -> None:
         self.ids: dict[str, int] = {}
-        self.rows: list[tuple[float, ...]] = []
-        self.table = np.zeros((0, 14))
+        self.table = np.zeros((1 << 12, 14))
 
     def _token(self, token: str) -> tuple[float, ...]:
         names = grams(token)
         odds = [self.lexicon.get(g, 0.0) for g in names]
         whole, best = (odds[0] if odds else 0.0), max(odds, default=0.0)
         word = names[0][1:] if names else ""
-        spelled = token.lower().translate(STAND_INS).strip(PUNCTUATION)
-        letters = sum(c.isalpha() for c in token)
-        inside = token.strip(PUNCTUATION)
+        abuse = word in ABUSE
+        common = (float(best > 2.5), float(1.0 < best <= 2.5), best, float(max(odds[1:], default=0.0) > max(2.0, whole)), float(abuse))
+        capitals = 0 if token.islower() else sum(map(str.isupper, token))
+        if token.isalpha():
+            return (*common, 0.0, float(word in SECOND_PERSON), float(len(token) > 1 and token.isupper()), float(capitals), 0.0, 0.0, 0.0, 0.0, 0.0)
+        letters, digits = sum(map(str.isalpha, token)), sum(map(str.isdigit, token))
+        hidden = not abuse and token.lower().translate(STAND_INS).strip(PUNCTUATION) in ABUSE
         return (
-            float(best > 2.5), float(1.0 < best <= 2.5), best, float(max(odds[1:], default=0.0) > max(2.0, whole)), float(word in ABUSE),
-            float(word not in ABUSE and spelled in ABUSE), float(word in SECOND_PERSON), float(letters > 1 and token.isupper()), float(sum(c.isupper() for c in token)),
-            float(sum(not c.isalnum() for c in token)), float(token.count("!")), float(token.count("?")),
-            float(letters > 0 and not inside.isalpha()), float(sum(c.isdigit() for c in token)),
+            *common, float(hidden), float(word in SECOND_PERSON), float(letters > 1 and token.isupper()), float(capitals),
+            float(len(token) - sum(map(str.isalnum, token))), float(token.count("!")), float(token.count("?")),
+            float(letters > 0 and not token.strip(PUNCTUATION).isalpha()), float(digits),
         )
 
     def features(self, text: str | None) -> list[float]:
@@ -121,41 +121,40 @@ class Reader:
             return [0.0] * len(FEATURES)
         if len(self.ids) > self.room:
             self._reset()
-        ids, rows = self.ids, self.rows
-        at = np.empty(n, dtype=np.int64)
-        for i, t in enumerate(tokens):
-            k = ids.get(t)
-            if k is None:
-                k = ids[t] = len(rows)
+        ids, rows = self.ids, []
+        known = len(ids)
+        for t in tokens:
+            if t not in ids:
+                ids[t] = len(ids)
                 rows.append(self._token(t))
-            at[i] = k
-        if len(self.table) < len(rows):
-            self.table = np.vstack([self.table, np.array(rows[len(self.table) :])])
-        times = np.bincount(at)
-        used = np.flatnonzero(times)
-        sums = times[used] @ self.table[used]
-        hit = self.table[at, 0] + self.table[at, 4] + self.table[at, 5] > 0
+        at = np.array([ids[t] for t in tokens])
+        if rows:
+            while len(self.table) < len(ids):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[known : len(ids)] = rows
+        own = self.table[at]
+        sums = own.sum(0)
+        hit = own[:, 0] + own[:, 4] + own[:, 5] > 0
         near = 0
         if sums[6] and hit.any():
-            reach = np.convolve(self.table[at, 6] > 0, np.ones(7, dtype=int), "same")[:n] if n >= 7 else np.full(n, sums[6])
+            reach = np.convolve(own[:, 6] > 0, np.ones(7, dtype=int), "same")[:n] if n >= 7 else np.full(n, sums[6])
             near = int((hit & (reach > 0)).sum())
-        letters = sum(len(t) for t in tokens)
+        letters = sum(map(len, tokens))
         per = sums / n
         return [
             per[0], per[1], per[2], per[3], per[4], per[5], near / n, per[6], per[7], sums[8] / letters, sums[9] / letters, sums[10] / letters, sums[11] / letters,
-            per[12], sums[13] / letters, math.log1p(n), letters / n, math.log1p(sums[0]), float(self.table[used, 2].max()),
+            per[12], sums[13] / letters, math.log1p(n), letters / n, math.log1p(sums[0]), float(own[:, 2].max()),
         ]
 
 
 def with_features(documents: DataFrame, lexicon: dict[str, float], also: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, ``also`` and one double column per feature."""
-    kinds = dict(documents.dtypes)
+    reader = Reader(lexicon)
 
     def rows(texts: list[str | None]) -> list[tuple]:
         return [tuple(reader.features(t)) for t in texts]
 
-    reader = Reader(lexicon)
-    return per_text(documents, rows, ", ".join(["doc_id long", *(f"`{c}` {kinds[c]}" for c in also), *(f"{f} double" for f in FEATURES)]), also=also)
+    return per_text(documents, rows, ", ".join(f"{f} double" for f in FEATURES), also=also)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -176,36 +175,46 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, bound: int) -> Data
     return texts.join(F.broadcast(kept), "doc_id")  # about ``bound`` rows of three numbers
 
 
-def score(documents: DataFrame, labels: DataFrame, bound: int = 20_000, trees: int = 25, depth: int = 4) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``documents``."""
+def scored(documents: DataFrame, labels: DataFrame, also: tuple[str, ...] = (), bound: int = 20_000, trees: int = 25, depth: int = 4) -> DataFrame:
+    """doc_id, ``also``, score for every row of ``documents``; ``also`` may not have the name of a feature."""
     sample = materialise(labelled_sample(documents, labels, bound), "toxicity-sample")
     fitting = sample.where("part > 0")
-    counts = {(r["part"] > 0, r["toxic"]): r["n"] for r in sample.groupBy((F.col("part") > 0).cast("int").alias("part"), "toxic").agg(F.count("*").alias("n")).collect()}
+    counts = {(r["fit"], r["toxic"]): r["n"] for r in sample.groupBy((F.col("part") > 0).alias("fit"), "toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = counts.get((True, 1), 0), counts.get((True, 0), 0)
-    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
     if not bad or not good:
         share = bad / (bad + good) if bad + good else 0.0
-        return ids.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(share).alias("score"), F.lit(int(share >= 0.5)).alias("predicted"))
+        return documents.select(F.col("doc_id").cast("long").alias("doc_id"), *also, F.lit(share).alias("score"))
     # a row of the sample must not meet odds counted from itself, so either half is read with the other half's lexicon
-    halves = [learn_lexicon(fitting.where(f"xxhash64(doc_id, part) % 2 {sign} 0")) for sign in ("=", "<>")]
+    sides = [fitting.where(f"pmod(xxhash64(doc_id, part), 2) = {k}") for k in (0, 1)]
+    crossed = [with_features(side, learn_lexicon(other), ("toxic",)) for side, other in zip(sides, reversed(sides))]
     lexicon = learn_lexicon(fitting)
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    crossed = [
-        with_features(fitting.where(f"xxhash64(doc_id, part) % 2 {sign} 0"), half, ("toxic",)) for sign, half in (("=", halves[1]), ("<>", halves[0]))
-    ]
-    rows = materialise(crossed[0].unionByName(crossed[1]), "toxicity-train")
+    # a bounded sample that boosting passes over a hundred times: a few partitions
+    rows = materialise(crossed[0].unionByName(crossed[1]), "toxicity-train").coalesce(4)
     model = GBTClassifier(labelCol="toxic", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=17, minInstancesPerNode=5).fit(assembler.transform(rows))
 
     def raw(df: DataFrame) -> DataFrame:
         return model.transform(assembler.transform(df)).withColumn("raw", vector_to_array("probability")[1])
 
     held = raw(with_features(sample.where("part = 0"), lexicon, ("toxic",))).select(F.col("toxic").cast("double").alias("label"), "raw")
-    scored = raw(with_features(documents, lexicon)).select("doc_id", "raw")
+    out = raw(with_features(documents, lexicon, also))
     if counts.get((False, 1), 0) and counts.get((False, 0), 0):
         isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="level").fit(materialise(held, "toxicity-held"))
-        scored = isotonic.transform(scored)
+        out = isotonic.transform(out)
     else:
-        scored = scored.withColumn("level", F.col("raw"))
+        out = out.withColumn("level", F.col("raw"))
     # a trace of the raw value keeps the order inside the steps of the calibration
     value = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("level") * 0.999 + F.col("raw") * 0.001))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), value.alias("score"), (value >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", *also, value.alias("score"))
+
+
+def score(documents: DataFrame, labels: DataFrame, bound: int = 20_000, trees: int = 25, depth: int = 4) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row of ``documents``."""
+    rows = scored(documents, labels, (), bound, trees, depth)
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, bound: int = 20_000) -> DataFrame:
+    """The rows of ``documents`` that are not predicted toxic, with the same columns. The row travels as one column."""
+    rows = scored(documents.select("doc_id", "text", F.struct(*documents.columns).alias("row")), labels, ("row",), bound)
+    return rows.where("score < 0.5").select("row.*")
