@@ -53,13 +53,14 @@ def grams(token: str) -> list[str]:
     return [f"={word}", *(word[:k] for k in BEGINNINGS if len(word) > k)] if word else []
 
 
-def learn_lexicon(sample: DataFrame, least: int = 6, most: int = 3000) -> dict[str, float]:
+def learn_lexicon(sample: DataFrame, share: float = 0.01, most: int = 3000) -> dict[str, float]:
     """Words and beginnings that mark toxic rows of ``sample`` (text, toxic), with their log-odds.
 
-    Counts cover the whole sample; what fewer than ``least`` toxic rows hold is not counted in the others. ``most`` is
-    the size of the model: the strongest are kept.
+    Counts cover the whole sample; what fewer than three toxic rows, or fewer than ``share`` of them, hold is not counted
+    in the others. ``most`` is the size of the model: the strongest are kept.
     """
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    least = max(3, int(share * sizes.get(1, 0)))
 
     def count(only: frozenset[str] | None, rows: DataFrame) -> dict[str, int]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +74,7 @@ def learn_lexicon(sample: DataFrame, least: int = 6, most: int = 3000) -> dict[s
         counted = rows.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         return {r["gram"]: r["n"] for r in counted.where(F.col("n") >= (least if only is None else 1)).collect()}
 
-    # at most the sample's toxic words over ``least``
+    # bounded by the sample's toxic words
     bad = count(None, sample.where("toxic = 1"))
     good = count(frozenset(bad), sample.where("toxic = 0")) if bad else {}
     one, none = sizes.get(1, 0) + 1.0, sizes.get(0, 0) + 1.0
