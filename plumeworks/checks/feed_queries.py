@@ -460,8 +460,8 @@ def _(spark, sf):
        "SELECT site_id, date, count(*) AS fire_count, coalesce(sum(frp),0e0) AS fire_frp_sum, avg(frp) AS fire_frp_mean, "
        "min(distance_km) AS fire_nearest_km, avg(distance_km) AS fire_mean_km, coalesce(sum(frp/(distance_km+1e0)),0e0) AS fire_frp_dist_weighted_sum, "
        "coalesce(sum(frp*(CASE WHEN d IS NULL THEN NULL WHEN cos(radians(d))>0e0 THEN cos(radians(d)) ELSE 0e0 END)/pow(distance_km+1e0,2)),0e0) AS fire_smoke_transport_index, "
-       "count(*) FILTER (WHERE d<=45e0) AS upwind_fire_count, coalesce(sum(frp) FILTER (WHERE d<=45e0),0e0) AS upwind_fire_frp_sum, "
-       "min(distance_km) FILTER (WHERE d<=45e0) AS upwind_fire_nearest_km FROM "
+       "count(*) FILTER (WHERE round(d,9)<=45e0) AS upwind_fire_count, coalesce(sum(frp) FILTER (WHERE round(d,9)<=45e0),0e0) AS upwind_fire_frp_sum, "
+       "min(distance_km) FILTER (WHERE round(d,9)<=45e0) AS upwind_fire_nearest_km FROM "
        f"(SELECT f.*, {angle_diff('f.bearing_deg', 'w.deg')} AS d FROM ({_SITE_SQL}) f LEFT JOIN "
        f"(SELECT site_id, CAST(CAST(valid_time AS TIMESTAMP) AS DATE) AS date, {wrap('270e0-degrees(atan2(avg(v10),avg(u10)))')} AS deg "
        "FROM fx_site_era5 GROUP BY 1,2) w ON f.site_id=w.site_id AND f.date=w.date) GROUP BY 1,2")

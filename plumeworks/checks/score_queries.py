@@ -15,7 +15,8 @@ from ..operators import spine as S
 from ..operators.patterns import high_days
 from ..operators.stats import drop_all_null, exact_medians
 from ..plans import modelling as M
-from ..session import shared_dir
+from ..session import new_path, shared_dir
+from ..sources.tables import update_table
 from .adapters import feed
 from .registry import query, ready_table
 from .sql import FEATURES, metric_sql
@@ -134,6 +135,17 @@ def _(spark, sf):
     return SC.leaderboard_upsert(board, row)
 
 
+@query("leaderboard_file", "model:s version:s f1:e",
+       f"SELECT model, version, f1 FROM (SELECT model, 'v1' AS version, f1 FROM ({metric_sql('fx_scores', ['model'])}) WHERE model<>'m1' "
+       f"UNION ALL SELECT 'm1', NULL, f1 FROM ({metric_sql('fx_scores', [])}))")
+def _(spark, sf):
+    scores, path = _scores(spark, sf), new_path(spark, "leaderboard")
+    board = SC.classification_metrics(scores, ["model"]).select("model", F.lit("v1").alias("version"), "f1")
+    row = SC.classification_metrics(scores).select(F.lit("m1").alias("model"), "f1")
+    update_table(spark, path, lambda old: board if old is None else SC.leaderboard_upsert(old, board))
+    return update_table(spark, path, lambda old: SC.leaderboard_upsert(old, row))
+
+
 @query("grid_select", "config:i val_f1:e",
        f"SELECT fold AS config, f1 AS val_f1 FROM ({metric_sql('fx_scores', ['fold'])}) ORDER BY f1 DESC, fold LIMIT 1")
 def _(spark, sf):

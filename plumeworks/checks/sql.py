@@ -72,7 +72,7 @@ _FIRE_AGG = (
     f"min(distance_km) FILTER (WHERE {_UP}) AS upwind_fire_nearest_km"
 )
 _SMOKE = (
-    "d AS angle_diff_deg, coalesce(d<=45e0,false) AS is_upwind, "
+    "d AS angle_diff_deg, coalesce(round(d,9)<=45e0,false) AS is_upwind, "
     "CASE WHEN d IS NULL THEN NULL WHEN cos(radians(d))>0e0 THEN cos(radians(d)) ELSE 0e0 END AS w"
 )
 _RANGE = f"date BETWEEN DATE '{START}' AND DATE '{END}'"

@@ -126,7 +126,8 @@ def smoke_rows(with_wind: DataFrame, sector_deg: float = UPWIND_SECTOR_DEG) -> D
         with_wind.withColumn("angle_diff_deg", angular_diff_deg(F.col("bearing_deg"), F.col("era5_wind_from_deg")))
         .withColumns(
             {
-                "is_upwind": F.coalesce(diff <= sector_deg, F.lit(False)),
+                # rounded, so that a wind at the very edge does not hang on the order in which its mean was summed
+                "is_upwind": F.coalesce(F.round(diff, 9) <= sector_deg, F.lit(False)),
                 "frp_over_distance": F.col("frp") / spread,
                 # greatest skips NULL, an unknown wind must stay unknown
                 "transport_weight": F.when(diff.isNotNull(), F.greatest(F.cos(F.radians(diff)), F.lit(0.0))),

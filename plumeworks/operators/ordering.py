@@ -14,7 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCKS = 256
+#: The fewest blocks, and the rows of one.
+BLOCKS, BLOCK_ROWS = 256, 200_000
+
+
+def blocks_for(rows: int) -> int:
+    return max(BLOCKS, -(-rows // BLOCK_ROWS))
 
 
 def quantile_blocks(df: DataFrame, column: str, out: str = "_block", blocks: int = BLOCKS) -> DataFrame:
@@ -73,13 +78,15 @@ def running_totals(
 
 def shuffled_position(
     df: DataFrame, identity: Sequence[str], seed: int, keys: Sequence[str] = (), out: str = "position",
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """1-based position of each row in a seeded random order per key.
 
     The order is a hash of the identity columns: repeatable, and spread over
-    ``blocks`` tasks per key even when there are only two keys.
+    ``blocks`` tasks per key even when there are only two keys (by default four for each
+    shuffle partition, the setting that is sized to the data).
     """
+    blocks = blocks or max(BLOCKS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     df = df.withColumn("_h", F.xxhash64(F.lit(seed), *keys, *identity))
     df = hash_blocks(df, "_h", blocks=blocks)
     placed = running_totals(

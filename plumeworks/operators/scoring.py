@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .ordering import BLOCKS, quantile_blocks, running_totals, shuffled_position
+from ..session import materialise
+from .ordering import blocks_for, quantile_blocks, running_totals, shuffled_position
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
 
@@ -33,10 +34,15 @@ def score_groups(df: DataFrame, by: Sequence[str] = (), label: str = "y", prob:
 
 
 def ranked_scores(
-    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", blocks: int = BLOCKS
+    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", blocks: int | None = None
 ) -> DataFrame:
-    """``score_groups`` plus cumulative ``tp`` / ``fp`` from the highest score down, and totals ``p`` / ``n``."""
-    groups = quantile_blocks(score_groups(df, by, label, prob), "threshold", blocks=blocks)
+    """``score_groups`` plus cumulative ``tp`` / ``fp`` from the highest score down, and totals ``p`` / ``n``.
+
+    The groups are written once, so the facts are read once: the cut points, the totals and the
+    rows all come from them. Unless given, the number of blocks follows their number.
+    """
+    kept = materialise(score_groups(df, by, label, prob), "score-groups")
+    groups = quantile_blocks(kept, "threshold", blocks=blocks or blocks_for(kept.count()))
     ranked = running_totals(
         groups, {"pos": F.col("pos"), "neg": F.col("neg")}, [F.col("threshold").desc()], keys=by, block_descending=True
     )
@@ -54,7 +60,7 @@ def _auc_measures() -> tuple[Column, Column]:
 
 
 def classification_metrics(
-    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", cut: float = 0.5, blocks: int = BLOCKS
+    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", cut: float = 0.5, blocks: int | None = None
 ) -> DataFrame:
     """accuracy, precision, recall, f1, roc_auc, pr_auc per group.
 
@@ -98,12 +104,12 @@ def label_metrics(df: DataFrame, by: Sequence[str] = (), label: str = "y", predi
     )
 
 
-def roc_auc(df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", blocks: int = BLOCKS) -> DataFrame:
+def roc_auc(df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", blocks: int | None = None) -> DataFrame:
     return ranked_scores(df, by, label, prob, blocks).groupBy(*by).agg(_auc_measures()[0].alias("roc_auc"))
 
 
 def average_precision(
-    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", blocks: int = BLOCKS
+    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", blocks: int | None = None
 ) -> DataFrame:
     return ranked_scores(df, by, label, prob, blocks).groupBy(*by).agg(_auc_measures()[1].alias("pr_auc"))
 
@@ -132,7 +138,7 @@ def _mark_corners(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def roc_curve(
-    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", thin: bool = True, blocks: int = BLOCKS
+    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", thin: bool = True, blocks: int | None = None
 ) -> DataFrame:
     """``threshold, fpr, tpr`` from (0, 0) up. ``thin`` leaves out points on straight pieces."""
     ranked = ranked_scores(df, by, label, prob, blocks)
@@ -142,13 +148,13 @@ def roc_curve(
         *by, "threshold", F.try_divide(F.col("fp").cast("double"), F.col("n").cast("double")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), F.col("p").cast("double")).alias("tpr"),
     )
-    origin = df.select(*by, F.lit(1).alias("_x")).groupBy(*by).agg(F.count("_x").alias("_x")).filter("_x > 0")
+    origin = ranked.select(*by, F.lit(1).alias("_x")).groupBy(*by).agg(F.count("_x").alias("_x")).filter("_x > 0")
     start = origin.select(*by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return points.unionByName(start)
 
 
 def pr_curve(
-    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", blocks: int = BLOCKS
+    df: DataFrame, by: Sequence[str] = (), label: str = "y", prob: str = "prob", blocks: int | None = None
 ) -> DataFrame:
     """``threshold, precision, recall`` per distinct score plus the closing point (1, 0) without threshold."""
     ranked = ranked_scores(df, by, label, prob, blocks)
@@ -158,7 +164,7 @@ def pr_curve(
         # without any positive the recall counts as 1 everywhere
         F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("p").cast("double")), F.lit(1.0)).alias("recall"),
     )
-    closing = df.select(*by, F.lit(1).alias("_x")).groupBy(*by).agg(F.count("_x").alias("_x")).filter("_x > 0")
+    closing = ranked.select(*by, F.lit(1).alias("_x")).groupBy(*by).agg(F.count("_x").alias("_x")).filter("_x > 0")
     end = closing.select(
         *by, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
@@ -167,7 +173,7 @@ def pr_curve(
 
 def stratified_folds(
     df: DataFrame, identity: Sequence[str], label: str = "y", folds: int = 5, seed: int = 42, keys: Sequence[str] = (),
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Add ``fold`` in 0..folds-1; within each label fold sizes differ by at most one.
 

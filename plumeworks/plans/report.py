@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.levels import PM25_THRESHOLD
 from ..operators import patterns as P
+from ..session import materialise
 
 
 def _as_rows(one_row: DataFrame, items: dict[str, Column]) -> DataFrame:
@@ -17,8 +18,10 @@ def _as_rows(one_row: DataFrame, items: dict[str, Column]) -> DataFrame:
 def pattern_report(days: DataFrame, threshold: float = PM25_THRESHOLD) -> DataFrame:
     """Figures of the text report for one site. ``days`` has date and pm25, optionally y and y_pred.
 
-    All parts come from three small aggregations over the daily table.
+    The days (one row each) are written once, so whatever they come from is computed once; the
+    parts are small aggregations over what was written.
     """
+    days = materialise(days.select(*[c for c in ("date", "pm25", "y", "y_pred") if c in days.columns]), "report-days")
     summary = P.overall_summary(days, threshold)
     monthly = P.monthly_patterns(days, threshold)
     yearly = P.yearly_patterns(days, threshold)

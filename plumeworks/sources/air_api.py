@@ -110,10 +110,10 @@ def flatten_measurements(pages: DataFrame) -> DataFrame:
 
 
 def measurement_rows(flat: DataFrame, sensor: DataFrame) -> DataFrame:
-    """Daily rows tagged with the chosen sensor (one row) and their UTC day."""
+    """Daily rows tagged with the chosen sensor (one row) and their UTC day. Without a sensor the job fails."""
     chosen = sensor.select(F.struct("sensor_id", "location_name").alias("s")).scalar()
     return (
-        flat.withColumn("_s", chosen)
+        flat.withColumn("_s", F.coalesce(chosen, F.raise_error(F.lit("no sensor measures the parameter"))))
         .select(*flat.columns, F.col("_s.sensor_id").alias("sensor_id"), F.col("_s.location_name").alias("location_name"))
         .withColumn("date", utc_day("date_local_from"))
     )

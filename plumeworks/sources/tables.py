@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, MapType, StructType
 
+from ..session import materialise
+
 SPLITS = ("train", "val", "test")
 
 
@@ -62,5 +66,19 @@ def reload_splits(spark: SparkSession, root: str, scaled: bool = False) -> tuple
     return parts[0], parts[1], parts[2]
 
 
+def update_table(spark: SparkSession, path: str, change: Callable[[DataFrame | None], DataFrame]) -> DataFrame:
+    """Replace the table at ``path`` by ``change`` of what is there (None at first).
+
+    The new rows are written elsewhere before the old ones go, so reading and replacing one path is safe.
+    """
+    try:
+        present = spark.read.parquet(path)
+    except AnalysisException:
+        present = None
+    fresh = materialise(change(present), "table")
+    write_table(fresh, path)
+    return spark.read.parquet(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)

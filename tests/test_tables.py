@@ -248,3 +248,38 @@ def test_whole_run_writes_and_reloads(spark, sf, tmp_path):
     assert profile["master_daily"] == profile["fire_daily"] == spine.days_between(START, END)
     with pytest.raises(ValueError):
         Options(start="2024-01-02", end="2024-01-01").check()
+
+
+def test_typed_fires_are_pruned_at_the_scan(spark, tmp_path):
+    import datetime as dt
+
+    rows = [(51.0 + i / 100, -114.0, dt.date(2020, 1, 1 + i % 20), str(i), 1.0) for i in range(40)]
+    spark.createDataFrame(rows, "latitude double, longitude double, acq_date date, acq_time string, frp double").write.parquet(str(tmp_path / "f"))
+    points = feeds.parse_fire_points(spark.read.parquet(str(tmp_path / "f")))
+    near = fire.fires_near(points.filter("date >= DATE '2020-01-05'"), 51.0, -114.0, 10.0)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the list is shown in part
+    scan = next(line for line in plan_of(near).splitlines() if "PushedFilters" in line)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert all(f"OrEqual({c}," in scan.split("PushedFilters")[1] for c in ("latitude", "longitude", "acq_date"))
+    assert near.count() == sum(r[2] >= dt.date(2020, 1, 5) and (r[0] - 51.0) * 111.195 <= 10 for r in rows)
+
+
+def test_mixed_folders_never_swap(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a,b\n1,2\n")
+    (folder / "b.csv").write_text("b,a,c\n4,3,5\n")
+    got = sorted((r["a"], r["b"], r["c"]) for r in feeds.scan_csv(spark, str(folder)).collect())
+    assert got == [("1", "2", None), ("3", "4", "5")]
+    with pytest.raises(Exception):
+        feeds.scan_csv(spark, str(folder), header=["a", "b"]).collect()
+    (tmp_path / "q.csv").write_text('a,b\n"x\ny",2\n')
+    assert feeds.scan_csv(spark, str(tmp_path / "q.csv"), multi_line=True).first().asDict() == {"a": "x\ny", "b": "2"}
+
+
+def test_table_replaced_in_place(spark, tmp_path):
+    from plumeworks.sources.tables import update_table
+
+    path = str(tmp_path / "board")
+    update_table(spark, path, lambda old: spark.range(2) if old is None else old)
+    assert update_table(spark, path, lambda old: old.union(spark.range(5, 6))).count() == 3
