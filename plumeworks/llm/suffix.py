@@ -34,8 +34,8 @@ from .texts import PIECE, mix, piece_hash, prefix_sums
 
 WIDTH, GRAM = 50, 26
 _SPAN = WIDTH - GRAM + 1
-#: Anchors of a partition.
-PART = 2_000_000
+#: Anchors of a partition; texts, and stretches around anchors, that a task works on at a time.
+PART, TEXTS, STEP = 1_000_000, 512, 4_000
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -206,11 +206,11 @@ def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray
     """Whether size bytes at a and b are equal, looked at byte by byte."""
     out = np.ones(len(a), dtype=bool)
     widest = int(size.max()) if len(size) else 0
-    for at in range(0, len(a), 50_000):
-        s = slice(at, at + 50_000)
-        step = np.arange(widest)
+    step = np.arange(widest, dtype=np.int32)
+    for at in range(0, len(a), 8_192):
+        s = slice(at, at + 8_192)
         on = step[None, :] < size[s, None]
-        x, y = np.where(on, a[s, None] + step, 0), np.where(on, b[s, None] + step, 0)
+        x, y = (np.where(on, v[s, None].astype(np.int32) + step, 0) for v in (a, b))
         out[s] = ((data[x] == data[y]) | ~on).all(1)
     return out
 
@@ -317,7 +317,7 @@ def _shared_anchors(units: DataFrame, parts: int) -> DataFrame:
     """k1, k2, found: for each unit the anchors that other units have too, as (part, hashes) rows of a list."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             _, keep = np.unique(np.stack([k1, k2], 1), axis=0, return_index=True)
             keep = np.sort(keep)
@@ -345,8 +345,8 @@ def _shared_anchors(units: DataFrame, parts: int) -> DataFrame:
                 held.setdefault(p, []).append(data)
         for p in sorted(held):
             k1, k2, counts, short = (np.concatenate(x) for x in zip(*(_unbundle(d, "<i8", "<i8", "<i4", "<u4") for d in held.pop(p))))
-            unit = np.repeat(np.arange(len(k1)), counts)
-            order = np.argsort(short, kind="stable")
+            unit = np.repeat(np.arange(len(k1), dtype=np.int32), counts)
+            order = np.argsort(short, kind="stable").astype(np.int32)
             first = _groups(short[order])
             name = k1[unit[order]]
             live = np.repeat(np.minimum.reduceat(name, first) != np.maximum.reduceat(name, first), np.diff(np.append(first, len(order)))) if len(first) else np.zeros(0, bool)
@@ -371,8 +371,8 @@ def _stretch_rows(units: DataFrame, parts: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, 2048):
-                batch = whole.slice(low, 2048)
+            for low in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(low, TEXTS)
                 k1, k2, doc = (batch.column(i).to_numpy() for i in range(3))
                 texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(3).to_pylist()]
                 known = [np.concatenate([(np.uint64(f["part"]) << np.uint64(32)) | np.frombuffer(f["hashes"], dtype="<u4") for f in row]) for row in batch.column(4).to_pylist()]
@@ -436,7 +436,7 @@ def _sorted_ranges(dealt: DataFrame, parts: int) -> DataFrame:
             order = np.argsort(hashes, kind="stable")
             cuts = [0]
             for edge in np.append(_groups(hashes[order])[1:], len(order)):
-                if edge - cuts[-1] >= 20_000 or edge == len(order):
+                if edge - cuts[-1] >= STEP or edge == len(order):
                     cuts.append(int(edge))
             for a, b in zip(cuts, cuts[1:]):
                 part = s.take(order[a:b])
@@ -457,9 +457,9 @@ def _cut(units: DataFrame) -> DataFrame:
     """k1, k2, removed, spans, kept: the outcome of each unit with removed ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
             rows = []
-            for text, ranges in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for text, ranges in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
                 step = np.zeros(len(raw) + 1, dtype=np.int32)
                 for data in ranges:
@@ -473,7 +473,8 @@ def _cut(units: DataFrame) -> DataFrame:
                 removed, spans, kept = zip(*rows)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)], ["k1", "k2", "removed", "spans", "kept"])
 
-    return units.select("k1", "k2", "text", "ranges").mapInArrow(run, "k1 long, k2 long, removed long, spans long, kept string")
+    # the same columns of the units as before, so that their shuffle is used again
+    return units.select("k1", "k2", "doc_id", "text", "ranges").mapInArrow(run, "k1 long, k2 long, removed long, spans long, kept string")
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
