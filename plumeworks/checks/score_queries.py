@@ -250,7 +250,7 @@ def _(spark, sf):
 
 
 @query("metrics_row", "model:s model_version:s pm25_threshold:e best_params:s valid:b",
-       f"SELECT '{M.BOOST.name}' AS model, '{M.BOOST.version}' AS model_version, 25e0 AS pm25_threshold, '{M.params_text(M.BOOST.grid[-1] | {'max_depth': 4.0, 'max_iter': 500.0})}' AS best_params, true AS valid")
+       f"SELECT '{M.BOOST.name}' AS model, '{M.BOOST.version}' AS model_version, 25e0 AS pm25_threshold, '{M.params_text(M.BOOST.grid[-1])}' AS best_params, true AS valid")
 def _(spark, sf):
     model, ready = _fitted(spark, sf, M.BOOST)
     row = M.metrics_row(model, S.splits(ready)[2])

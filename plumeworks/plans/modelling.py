@@ -7,6 +7,7 @@ explicitly, so every model family shares one rule.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -273,12 +274,12 @@ def save_model(model: EventModel, path: str, spark: SparkSession) -> None:
     """The fitted stages as a Spark ML pipeline and one metadata row."""
     PipelineModel([model.model]).write().overwrite().save(f"{path}/model")
     row = (
-        model.family, model.features, model.fill, model.centre, model.spread, {k: float(v) for k, v in model.params.items()},
+        model.family, model.features, model.fill, model.centre, model.spread, json.dumps(model.params),
         model.threshold, model.val_f1, model.version, model.trained_at,
     )
     schema = (
         "family string, features array<string>, fill map<string,double>, centre map<string,double>, "
-        "spread map<string,double>, params map<string,double>, threshold double, val_f1 double, version string, trained_at string"
+        "spread map<string,double>, params string, threshold double, val_f1 double, version string, trained_at string"
     )
     spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
@@ -287,7 +288,7 @@ def load_model(path: str, spark: SparkSession) -> EventModel:
     m = spark.read.parquet(f"{path}/meta").first()
     stage = PipelineModel.load(f"{path}/model").stages[0]
     return EventModel(
-        m["family"], list(m["features"]), dict(m["fill"]), dict(m["centre"]), dict(m["spread"]), stage, dict(m["params"]),
+        m["family"], list(m["features"]), dict(m["fill"]), dict(m["centre"]), dict(m["spread"]), stage, json.loads(m["params"]),
         m["threshold"], m["val_f1"], m["version"], m["trained_at"],
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     current = spark.sparkContext.getCheckpointDir()
     if current:
