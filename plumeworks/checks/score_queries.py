@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 from concurrent.futures import ThreadPoolExecutor
+from zlib import crc32
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -173,17 +174,21 @@ def _(spark, sf):
 # are scored and the rules that scores obey; each row says whether the fitted model meets them.
 
 
+#: Changes with what a kept fit holds or how it is made.
+_FORMAT = "f2"
+
+
 def _fingerprint(df):
     return "-".join(str(x) for x in df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns))).first())
 
 
 def _fitted(spark, sf, family):
     """The last grid row fitted on train and validation rows. Fits are kept in the shared folder by the fingerprint of their
-    training rows, so tables that change give another fit."""
+    training rows and the parameters, so whatever changes gives another fit."""
     ready = ready_table(spark, sf)
     train, val, _ = S.splits(ready)
     both = train.unionByName(val)
-    path = os.path.join(shared_dir(spark), "plumeworks-models", f"{family.name}-{len(family.grid)}-{_fingerprint(both)}")
+    path = os.path.join(shared_dir(spark), "plumeworks-models", f"{_FORMAT}-{family.name}-{crc32(M.params_text(family.grid[-1]).encode()):08x}-{_fingerprint(both)}")
     try:
         return M.load_model(path, spark), ready
     except AnalysisException:
