@@ -14,7 +14,7 @@ shingles that meet by chance do not. Two kinds of relation between sets keep the
 
 The order puts shingles that occur often behind the others, by their count: a passage that many documents share then
 stands at the end of their sets and hardly ever in a list. The counts cover all documents; shingles that occur at least
-twice in a batch are added up, and as many of the most frequent as ``room`` allows take part in the order (the order
+twice in some thousand rows are added up, and as many of the most frequent as ``room`` allows take part in the order (the order
 decides the work, never the result). Lists of the other shingles are bounded by the number of batches.
 
 Defined results: see :func:`link`.
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import counted_within
 from ..session import materialise
 from .components import components
 from .contain import shingle_sql
@@ -37,8 +38,8 @@ from .texts import SLICE, many_shingles, mix
 SHINGLE, PERCENT = 5, 75
 #: Shingles that two sets must share in the index lists, unless they are too small for that.
 SHARED = 3
-#: Index entries of a partition.
-PART = 400_000
+#: Index entries of a partition, and rows that a task holds in Python at a time.
+PART, ROWS = 400_000, 2048
 
 
 def _first_copies(batch: pa.RecordBatch) -> tuple[list, list[str | None], np.ndarray]:
@@ -61,12 +62,22 @@ def frequent_shingles(texts: DataFrame, room: int, percent: int) -> tuple[np.nda
     """The most frequent shingles, ascending, and their counts; ``room`` of them at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, own, first = _first_copies(batch)
-            own = [t for t, f in zip(own, first) if f]
-            found = [s for at in range(0, len(own), SLICE) for s in many_shingles(own[at : at + SLICE], SHINGLE)]
-            if found:
-                keys, n = np.unique(np.concatenate(found), return_counts=True)
+        for batch in (whole.slice(low, 2 * ROWS) for whole in batches for low in range(0, whole.num_rows, 2 * ROWS)):
+            seen: set[int] = set()
+            found = []
+            for at in range(0, batch.num_rows, SLICE):
+                own = []
+                for t in batch.column(1).slice(at, SLICE).to_pylist():
+                    if t and hash(t) not in seen:
+                        seen.add(hash(t))
+                        own.append(t)
+                found += many_shingles(own, SHINGLE)
+            keys = np.concatenate([np.zeros(0, np.uint64), *found])
+            found.clear()
+            keys.sort()
+            if len(keys):
+                first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+                keys, n = keys[first], np.diff(np.append(first, len(keys)))
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(keys[n > 1])), pa.array(n[n > 1])], ["token", "n"])
 
     counts = materialise(texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "shingle-counts")
@@ -87,8 +98,8 @@ def sketches(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray], percent:
         keys, counts = shared.value
         sieve = np.zeros(1 << 20, dtype=bool)
         sieve[(keys >> np.uint64(44)).astype(np.int64)] = True
-        for whole in batches:
-            ids, own, first = _first_copies(whole)
+        for part_batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, whole.num_rows, ROWS)):
+            ids, own, first = _first_copies(part_batch)
             for at in range(0, len(ids), SLICE):
                 part = slice(at, at + SLICE)
                 n, f1, f2, rare, common = [], [], [], [], []
@@ -130,7 +141,7 @@ def _rare_lists(sketch: DataFrame) -> DataFrame:
     entry = np.dtype([("token", "<u8"), ("doc", "<i8"), ("n", "<i4"), ("pos", "<i4")])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(low, ROWS) for whole in batches for low in range(0, whole.num_rows, ROWS)):
             lists = batch.column(2)
             sizes = np.diff(lists.offsets.to_numpy())
             tokens = lists.flatten().to_numpy().view(np.uint64)
@@ -177,6 +188,9 @@ def _common_lists(sketch: DataFrame) -> DataFrame:
 
 def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """u, v of the pairs whose sets link, compared whole."""
+    ids = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
+    if counted_within(ids):  # then only the texts that are compared travel
+        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
     left = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("left")), "u")
     both = left.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("right")), "v")
 
@@ -206,10 +220,15 @@ def _enough(shared: str, n: str, percent: int) -> Column:
 
 
 def _leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """u, v: every set with the leader that it meets in most lists. Leaders are aggregated before the join, which can
-    split a hot list."""
-    leaders = lists.groupBy("token").agg(F.min_by("rep", F.xxhash64("rep")).alias("leader"), F.count("*").alias("k")).where("k > 1")
-    met = lists.select("token", "rep", "n").join(leaders, "token").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("shared"), F.max("n").alias("n"))
+    """u, v: every set with the leader that it meets in most lists.
+
+    The leader of a list is the set whose shingles are shared most: an original shares nearly all of its own, an edited
+    copy has some to itself. Leaders are aggregated before the join, which can split a hot list.
+    """
+    shares = lists.groupBy("rep").agg((F.count("*") / F.max("n")).alias("share"))
+    rated = lists.select("token", "rep", "n").join(shares, "rep")
+    leaders = rated.groupBy("token").agg(F.max_by("rep", F.struct("share", F.xxhash64("rep"))).alias("leader"), F.count("*").alias("k")).where("k > 1")
+    met = rated.join(leaders, "token").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("shared"), F.max("n").alias("n"))
     best = met.where(_enough("shared", "n", percent)).groupBy("rep").agg(F.max_by("leader", F.struct("shared", "leader")).alias("leader"))
     return best.select(F.greatest("rep", "leader").alias("u"), F.least("rep", "leader").alias("v")).distinct()
 

@@ -88,7 +88,7 @@ class Reader:
     """Turns texts into feature rows. What depends on a token alone is worked out once per distinct token."""
 
     lexicon: dict[str, float]
-    room: int = 200_000
+    room: int = 60_000
 
     def __post_init__(self) -> None:
         self._reset()
