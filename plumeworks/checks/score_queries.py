@@ -175,28 +175,34 @@ def _(spark, sf):
 
 
 #: Changes with what a kept fit holds or how it is made.
-_FORMAT = "f2"
+_FORMAT = "f3"
 
 
 def _fingerprint(df):
     return "-".join(str(x) for x in df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns))).first())
 
 
-def _fitted(spark, sf, family):
-    """The last grid row fitted on train and validation rows. Fits are kept in the shared folder by the fingerprint of their
-    training rows and the parameters, so whatever changes gives another fit."""
+def _tuned(spark, sf, family):
+    """The result of ``M.tune`` and the ready rows: the grid row with the best validation F1, fitted on train and validation
+    rows, and the grid results. Both are kept in the shared folder by the fingerprints of the train and the validation rows
+    and the grid, so whatever changes gives another fit."""
     ready = ready_table(spark, sf)
     train, val, _ = S.splits(ready)
-    both = train.unionByName(val)
-    path = os.path.join(shared_dir(spark), "plumeworks-models", f"{_FORMAT}-{family.name}-{crc32(M.params_text(family.grid[-1]).encode()):08x}-{_fingerprint(both)}")
+    grid = f"{crc32(';'.join(map(M.params_text, family.grid)).encode()):08x}"
+    path = os.path.join(shared_dir(spark), "plumeworks-models", f"{_FORMAT}-{family.name}-{grid}-{_fingerprint(train)}-{_fingerprint(val)}")
     try:
-        return M.load_model(path, spark), ready
+        return M.load_model(path, spark), spark.read.parquet(f"{path}/grid"), ready
     except AnalysisException:
         pass
-    features = drop_all_null(both, feature_columns(both))
-    model = M.fit_estimator(family, family.grid[-1], both, features, exact_medians(both, features).first().asDict(), M.PM25_THRESHOLD)
+    model, results = M.tune(family, train, val)
+    results.coalesce(1).write.mode("overwrite").parquet(f"{path}/grid")
     M.save_model(model, path, spark)
-    return M.load_model(path, spark), ready
+    return M.load_model(path, spark), spark.read.parquet(f"{path}/grid"), ready
+
+
+def _fitted(spark, sf, family):
+    model, _, ready = _tuned(spark, sf, family)
+    return model, ready
 
 
 def _grid_fits(spark, sf, family):
@@ -244,6 +250,18 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "config int, params string, trees int, in_depth boolean, learned boolean")
 
 
+@query("ml_selection", "model:s config:i params:s val_f1:e chosen:b")
+def _(spark, sf):
+    """The validation F1 of every grid row of every family, and which row the fitted model has."""
+    out = None
+    for family in (M.LOGREG, M.FOREST, M.BOOST):
+        model, results, _ = _tuned(spark, sf, family)
+        chosen = F.col("params") == M.params_text(model.params)
+        part = results.select(F.lit(family.name).alias("model"), "config", "params", "val_f1", chosen.alias("chosen"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _rule():
     return (F.col("y_pred") == (F.col("prob") >= 0.5).cast("int")) & F.col("prob").between(0, 1)
 

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plumeworks.checks import score_queries as Q
 from plumeworks.operators import spine as S
+from plumeworks.operators.stats import exact_medians
 from plumeworks.plans import modelling as M
 
 
@@ -86,3 +88,26 @@ def test_forecast(ready, logreg):
     first, last, n, flags = out.agg(F.min("date"), F.max("date"), F.count("pred_pm25"), F.max("smoke_impact_pred")).first()
     end = dt.date(2023, 1, 1) + dt.timedelta(days=399)
     assert (first, last, n) == (end + dt.timedelta(days=1), end + dt.timedelta(days=365), 365) and flags in (0, 1)
+
+
+def test_queries_score_with_the_chosen_grid_row(spark, sf, ready, monkeypatch):
+    """The kept fit is that of the first maximum of the validation F1, not of the last grid row."""
+    monkeypatch.setattr(Q, "ready_table", lambda *_: ready)
+    # heavier penalties up to all-but-no weights: the last row is the worst
+    family = dataclasses.replace(M.LOGREG, grid=[{"C": 1.0}, {"C": 0.1}, {"C": 1e-9}])
+    model, grid, _ = Q._tuned(spark, sf, family)
+    rows = sorted(grid.collect(), key=lambda r: r["config"])
+    best = max(r["val_f1"] for r in rows)
+    first = next(r for r in rows if r["val_f1"] == best)
+    assert M.params_text(model.params) == first["params"] != rows[-1]["params"] and model.val_f1 == best
+    again, kept, _ = Q._tuned(spark, sf, family)
+    assert again.trained_at == model.trained_at and sorted(kept.collect()) == sorted(grid.collect())
+    assert Q._fitted(spark, sf, family)[0].params == model.params
+
+
+def test_kept_boosted_model_fills_with_train_medians(spark, sf, ready, monkeypatch):
+    monkeypatch.setattr(Q, "ready_table", lambda *_: ready)
+    family = dataclasses.replace(M.BOOST, grid=[{"learning_rate": 0.1, "max_depth": 3, "max_iter": 2}])
+    model, _ = Q._fitted(spark, sf, family)
+    train, val, _ = S.splits(ready)
+    assert model.fill == exact_medians(train, model.features).first().asDict() != exact_medians(train.unionByName(val), model.features).first().asDict()
