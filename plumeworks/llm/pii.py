@@ -15,6 +15,7 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
@@ -31,7 +32,8 @@ _LOCAL_RUN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]|[(\[](?:at|dot)[)\]]")
+#: Shapes of words in lower case, capitalised or in upper case.
+_WORDS = frozenset({"a", "Aa", "A"})
 
 
 def luhn(digits: str) -> bool:
@@ -106,8 +108,11 @@ def _near(token: str) -> list[str]:
 _CUES = frozenset({"(at)", "[at]", "(dot)", "[dot]"})
 
 
+@lru_cache(maxsize=1 << 16)
 def is_plain(token: str) -> bool:
-    return not _TRIGGER.search(token)
+    """Whether ``PLAIN_FORMS`` holds a word with the same features: letters only, in a usual case, shorter than 24."""
+    bare = token.strip(".,;:!?\"'")
+    return bare.isalpha() and len(bare) < 24 and (bare.islower() or shape(bare) in _WORDS)
 
 
 def labelled_table(seed: int = 7, rows: int = 450) -> list[list[tuple[str, str]]]:
@@ -176,11 +181,10 @@ def tagger(seed: int = 7) -> Tagger:
 
 def all_spans(texts: list[str | None], model: Tagger) -> list[tuple[list, list]]:
     """(base spans, base and added spans) of each text."""
-    hits = [i for i, t in enumerate(texts) if t and _TRIGGER.search(t)]
-    base: list[list] = [[] for _ in texts]
-    full: list[list] = [[] for _ in texts]
-    for i, extra in zip(hits, model.spans((texts[i], []) for i in hits)):
-        base[i] = base_spans(texts[i])
+    base = [base_spans(t) if t else [] for t in texts]
+    full = [list(b) for b in base]
+    some = [i for i, t in enumerate(texts) if t]
+    for i, extra in zip(some, model.spans((texts[i], []) for i in some)):
         free = [x for x in extra if not any(x[1] < e and s < x[2] for _, s, e in base[i])]
         full[i] = in_order(base[i] + free, KINDS)
     return list(zip(base, full))

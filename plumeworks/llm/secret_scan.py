@@ -77,6 +77,11 @@ def is_plain(token: str) -> bool:
     return not _ODD.search(token) and token.lower() not in CUES and _bare(token.lower()) not in CUES
 
 
+def is_quiet(token: str) -> bool:
+    """Plain, and ``PLAIN_FORMS`` holds a word with the same features: shorter than 24, and without a colon at its end."""
+    return is_plain(token) and len(_bare(token)) < 24 and not token.endswith(":")
+
+
 def file_features(text: str) -> list[str]:
     """Whether the file looks like code or settings, by the share of a few signs in it."""
     signs = sum(text.count(c) for c in "={};")
@@ -139,15 +144,15 @@ def labelled_table(seed: int = 11, rows: int = 450) -> list[list[tuple[str, str]
 
 
 def tagger(seed: int = 11) -> Tagger:
-    return fit_tagger(labelled_table(seed), LABELS, _own, _near, is_plain, file_features, FILES)
+    return fit_tagger(labelled_table(seed), LABELS, _own, _near, is_quiet, file_features, FILES)
 
 
 def all_spans(texts: list[str | None], model: Tagger) -> list[tuple[list, list]]:
     """(base spans, base and added spans) of each text."""
     base = [base_spans(t) if t else [] for t in texts]
     full = [list(b) for b in base]
-    odd = [i for i, t in enumerate(texts) if t and (_ODD.search(t) or model.reach is None)]
-    for i, extra in zip(odd, model.spans((texts[i], file_features(texts[i])) for i in odd)):
+    some = [i for i, t in enumerate(texts) if t]
+    for i, extra in zip(some, model.spans((texts[i], file_features(texts[i])) for i in some)):
         free = [x for x in extra if not any(x[1] < e and s < x[2] for _, s, e in base[i])]
         full[i] = in_order(base[i] + free, KINDS)
     return list(zip(base, full))

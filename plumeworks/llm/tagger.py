@@ -20,7 +20,8 @@ EDGES = ".,;:!?\"'()[]{}<>|"
 NEIGHBOURS = (-2, -1, 1)
 Features = Callable[[str], list[str]]
 
-#: Stand-ins for every kind of plain word: the features only see case and a length class.
+#: Stand-ins for every kind of plain word: the features only see case and a length class. Tokens with features that no
+#: form has must not count as plain.
 PLAIN_FORMS = ["a", "abcd", "abcdefgh", "abcdefghijkl", "abcdefghijklmnopqrst", "A", "Abcd", "Abcdefgh", "Abcdefghijkl", "Abcdefghijklmnopqrst", "ABCD", "ABCDEFGH", "ABCDEFGHIJKL", "ABCDEFGHIJKLMNOPQRST"]
 
 

@@ -10,7 +10,7 @@ import pytest
 
 from plumeworks.llm import pii, secret_scan
 from plumeworks.llm.crf import Crf, decode, train
-from plumeworks.llm.tagger import TOKEN, rows_for
+from plumeworks.llm.tagger import PLAIN_FORMS, TOKEN, _join, rows_for
 
 
 @pytest.fixture(scope="module")
@@ -69,6 +69,41 @@ def test_windows_change_nothing(which, pii_model, secret_model):
         assert (whole == part).all()
 
 
+def decoded_whole(model, text, page):
+    at = [m.span() for m in TOKEN.finditer(text)]
+    tokens = [text[a:b] for a, b in at]
+    path = decode(model.crf, [rows_for(tokens, model.own, model.near, page)])[0]
+    return _join(text, at, [model.crf.labels[k] for k in path])
+
+
+@pytest.mark.parametrize("which", ["pii", "secret"])
+def test_plain_tokens_have_the_features_of_a_form(which, pii_model, secret_model):
+    """Whatever counts as plain has features that the proof has seen."""
+    model = pii_model if which == "pii" else secret_model
+    own, near = ({tuple(f(x)) for x in PLAIN_FORMS} for f in (model.own, model.near))
+    rng = random.Random(4)
+    drawn = ["don't", "first.last", "a/b", "x***", "a" * 23, "a" * 24, "x" * 40, "note:", ":", "...", "\u0663\u0664\u0665", "(AT)", "[Dot]", "\u6f22\u5b57", "iPhone", "\u00fcber", "\u01c5a", ""]
+    drawn += ["".join(rng.choice("abcXYZ\u00e9\u0661-'./:*()[]@_=7") for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    drawn += ["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 30))) + rng.choice(("", ".", ":", "!", "'s")) for _ in range(500)]
+    plain = [t for t in drawn if model.is_plain(t)]
+    assert len(plain) > 200
+    for token in plain:
+        assert tuple(model.own(token)) in own and tuple(model.near(token)) in near, token
+
+
+@pytest.mark.parametrize("which", ["pii", "secret"])
+def test_all_spans_equal_decoding_the_whole_text(which, pii_model, secret_model):
+    module, model = (pii, pii_model) if which == "pii" else (secret_scan, secret_model)
+    texts = [
+        "please write to john (AT) mail (DOT) com now", "JOHN [At] mail [Dot] org", "call \u0663\u0664\u0665-\u0661\u0662\u0663-\u0664\u0665\u0666\u0667 today",
+        "don't first.last a/b x*** " + "z" * 30 + " note: this", "token: abcdef bearer word", "only plain words here", "-- ... ( ) :",
+    ]
+    for text, (base, full) in zip(texts, module.all_spans(texts, model)):
+        page = [] if which == "pii" else secret_scan.file_features(text)
+        free = [x for x in decoded_whole(model, text, page) if not any(x[1] < e and s < x[2] for _, s, e in base)]
+        assert base == module.base_spans(text) and full == pii.in_order(base + free, module.KINDS), text
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
