@@ -33,11 +33,15 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|hidden|style)\b(?:\s*=\s*(
 _WORD = re.compile(r"[a-z]+")
 
 # Fixed values of HTML and of the usual words in class names.
-RAW = frozenset("script style template noscript textarea iframe object svg math select option canvas audio video".split())
+RAW = frozenset("script style template noscript textarea iframe object svg canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split()) | frozenset(
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msup msub msubsup mover munder munderover mmultiscripts mprescripts none mtable mtr mtd mlabeledtr mstyle mpadded mphantom merror menclose mfenced maction semantics annotation annotation-xml".split()
+)
+#: Lists to choose from: what they hold is part of a form, and they may stand inside a paragraph.
+CHOICES = frozenset("select datalist optgroup option".split())
 SECTIONS = frozenset("article main nav header footer aside form section div body html head ul ol dl table figure blockquote dialog menu title button fieldset details address".split())
-CUE_TAGS = {"article": "article", "main": "article", "nav": "menu", "menu": "menu", "header": "head", "footer": "foot", "aside": "side", "form": "form", "button": "form", "head": "meta", "title": "meta", "dialog": "notice", "fieldset": "form"}
+CUE_TAGS = {"article": "article", "main": "article", "nav": "menu", "menu": "menu", "header": "head", "footer": "foot", "aside": "side", "form": "form", "button": "form", "head": "meta", "title": "meta", "dialog": "notice", "fieldset": "form", **dict.fromkeys(CHOICES, "form")}
 CUE_WORDS = {
     "article": "article post entry content story body main text hentry prose".split(),
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs tabs toolbar pagination pager".split(),
@@ -134,7 +138,7 @@ def blocks(html: str) -> list[Block]:
         at = m.end()
         if name in RAW and not closing:
             text.append(" ")
-            if not (name in ("svg", "math") and attributes.rstrip().endswith("/")):
+            if not (name == "svg" and attributes.rstrip().endswith("/")):
                 end = re.compile(rf"</{re.escape(name)}[\s/>]", re.IGNORECASE).search(html, at)
                 stop = n if end is None else html.find(">", end.start())
                 at = n if stop < 0 or end is None else stop + 1
@@ -150,9 +154,11 @@ def blocks(html: str) -> list[Block]:
             if opened.get(name):
                 pop(name)
             continue
-        if name not in INLINE and opened.get("p") and name != "p" or name == "p" and opened.get("p"):
+        if name not in INLINE and name not in CHOICES and opened.get("p") and name != "p" or name == "p" and opened.get("p"):
             pop("p")
-        if name in ("li", "dd", "dt", "td", "th", "tr", "option") and stack and stack[-1][0] == name:
+        if name in ("option", "optgroup") and stack and stack[-1][0] == "option":
+            pop("option")
+        if name in ("li", "dd", "dt", "td", "th", "tr", "optgroup") and stack and stack[-1][0] == name:
             pop(name)
         if attributes.endswith("/") and name not in SECTIONS:
             continue

@@ -118,6 +118,19 @@ def test_broken_pages(page_model):
     assert pages.main_texts(["<div>" * 20000 + "x" + "</div>" * 20000, "<" * 50000, "<!--" * 5000, "<a b='" * 5000], page_model)
 
 
+def test_choices_and_formulas_drop_nothing_else(page_model):
+    """An option needs no end tag, and formulas are text of their paragraph."""
+    story = "<article><h1>A long day at the lake</h1><p>We went out early and saw the whole valley lie in the sun.</p><p>Then the wind came up and we turned back to the old house.</p></article>"
+    want = "A long day at the lake\nWe went out early and saw the whole valley lie in the sun.\nThen the wind came up and we turned back to the old house."
+    search = "<form><input list=q><datalist id=q><option value=a><option value=b></datalist></form>"
+    menu = "<form><select><optgroup label=x><option>Red<option>Green<optgroup label=y><option>Blue</select></form>"
+    formula = story.replace("whole valley", "whole <math><mi>x</mi><mo>+</mo><mn>1</mn></math> valley")
+    got = pages.main_texts([story, search + story, menu + story, search.replace("</datalist>", "") + story, formula], page_model)
+    assert got == [want, want, want, want, want.replace("whole valley", "whole x+1 valley")]
+    found = pages.blocks("<p>pick <select><option>Red<option>Green</select> now</p>")
+    assert [(b.text, b.cues[-1:]) for b in found] == [("pick", ()), ("Red", ("form",)), ("Green", ("form",)), ("now", ())]
+
+
 def test_pages_table(spark, page_model):
     df = spark.createDataFrame([(1, "u", None, 5), (1, "u", None, 5), (None, None, "<article><p>A text that stands alone, with an end.</p></article>", 6)], "page_id long, url string, html string, text int")
     got = sorted((tuple(r) for r in pages.extract(df, page_model).collect()), key=str)
