@@ -1,15 +1,15 @@
 """The corpus pipeline: toxicity, near-duplicate, benchmark and secret stages over documents, then packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. All but the last return the columns
-of ``documents``. Rows are judged one by one where the stage can: a row with a null id or an empty text is clean, has no
-near duplicate, and is packed with length 0. Extra columns, whatever their names, travel along unchanged.
+of ``documents``. Rows are judged by their own text, whatever their id: a row with an empty text is clean, has no near
+duplicate, and is packed with length 0. Extra columns, whatever their names, travel along unchanged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumeworks.llm import contain, jaccard, packing, secret_scan, toxicity
@@ -23,24 +23,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _keyed(docs: DataFrame, label: str) -> DataFrame:
+    """key, row: a number for each row, so that rows with null or repeated ids are judged by their own text."""
+    return materialise(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*docs.columns).alias("row")), label)
+
+
+def _texts(keyed: DataFrame) -> DataFrame:
+    return keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays; of rows that repeat an id, one row."""
-    linked = materialise(jaccard.link(docs), "pipeline-groups")
-    others = linked.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    repeated = linked.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.col("text").asc_nulls_first()))
-    row = kept.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    first = row.where("doc_id IS NOT NULL").withColumn("place", place).where("place = 1").select("row")
-    return first.unionByName(row.where("doc_id IS NULL").select("row")).select("row.*")
+    """Of each group of linked rows the one with the smallest id stays; of rows without words, one per id and text."""
+    keyed = _keyed(docs, "pipeline-rows")
+    linked = jaccard.link(_texts(keyed)).withColumnRenamed("doc_id", "key")
+    own = keyed.select("key", F.col("row.doc_id").cast("long").alias("id"), F.col("row.text").alias("text"))
+    rows = linked.join(own, "key")
+    blank = (F.col("n_shingles") == 0) & F.col("id").isNotNull()
+    groups = rows.groupBy(F.when(~blank, F.col("component_id")), F.when(blank, F.col("id")), F.when(blank, F.col("text")))
+    first = groups.agg(F.min(F.struct(F.col("id").isNull(), "id", F.xxhash64("text"), "key")).getField("key").alias("key"))
+    return keyed.join(first, "key", "left_semi").select("row.*")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold three quarters or more of a test item's shingles go."""
-    found = contain.find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Rows that hold three quarters or more of a test item's shingles go."""
+    keyed = _keyed(docs, "pipeline-rows")
+    found = contain.find_items(_texts(keyed), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return keyed.join(found.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti").select("row.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
