@@ -69,7 +69,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: Trees and taggers can't be said in SQL; the tests hold each stage against a brute-force version.
+#: Trees and taggers can't be said in SQL. The tests hold the near-duplicate and decontamination stages against brute force;
+#: the toxicity, secret and packing stages only through their modules' tests, and ``run`` not at all.
 ORACLE_SQL: str | None = None
 
 
