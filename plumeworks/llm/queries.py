@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, contain, jaccard, packing, pages, pii, secret_scan, suffix, topk, toxicity
+from . import chat, contain, jaccard, packing, pages, pii, secret_scan, suffix, syncmers, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,8 @@ def op10_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op10_jaccard"] = jaccard.ORACLE
+
+
+@query
+def op13_syncmers(spark: SparkSession, sf: str) -> DataFrame:
+    return syncmers.fingerprint_documents(table(spark, sf, "documents"))
