@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contain, jaccard, negatives, packing, pages, pii, secret_scan, suffix, syncmers, topk, toxicity
+from . import chat, contain, jaccard, negatives, packing, pages, pii, secret_scan, suffix, syncmers, topk, toxicity, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,6 +94,14 @@ def op10_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 ORACLES["op10_jaccard"] = jaccard.ORACLE
 
 
+@query
+def op11_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+ORACLES["op11_trie"] = trie.ORACLE
+
+
 @query
 def op12_negatives(spark: SparkSession, sf: str) -> DataFrame:
     label = F.col("label")
