@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import math
 import os
-from concurrent.futures import ThreadPoolExecutor
 from zlib import crc32
 
-from pyspark.errors import AnalysisException
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.names import feature_columns
@@ -17,7 +16,7 @@ from ..operators.patterns import high_days
 from ..operators.stats import drop_all_null, exact_medians
 from ..plans import modelling as M
 from ..session import new_path, shared_dir
-from ..sources.tables import update_table
+from ..sources.tables import is_there, publish, update_table
 from .adapters import feed
 from .registry import query, ready_table
 from .sql import FEATURES, metric_sql
@@ -174,29 +173,26 @@ def _(spark, sf):
 # are scored and the rules that scores obey; each row says whether the fitted model meets them.
 
 
-#: Changes with what a kept fit holds or how it is made.
-_FORMAT = "f3"
-
-
-def _fingerprint(df):
-    return "-".join(str(x) for x in df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns))).first())
+def _journal(spark):
+    return os.path.join(shared_dir(spark), "plumeworks-models")
 
 
 def _tuned(spark, sf, family):
     """The result of ``M.tune`` and the ready rows: the grid row with the best validation F1, fitted on train and validation
-    rows, and the grid results. Both are kept in the shared folder by the fingerprints of the train and the validation rows
-    and the grid, so whatever changes gives another fit."""
+    rows, and the grid results. Fits that have ended are kept one by one, and the result as a whole, in the shared folder by the
+    fingerprints of the train and the validation rows and the grid, so whatever changes gives another fit."""
     ready = ready_table(spark, sf)
     train, val, _ = S.splits(ready)
     grid = f"{crc32(';'.join(map(M.params_text, family.grid)).encode()):08x}"
-    path = os.path.join(shared_dir(spark), "plumeworks-models", f"{_FORMAT}-{family.name}-{grid}-{_fingerprint(train)}-{_fingerprint(val)}")
-    try:
-        return M.load_model(path, spark), spark.read.parquet(f"{path}/grid"), ready
-    except AnalysisException:
-        pass
-    model, results = M.tune(family, train, val)
-    results.coalesce(1).write.mode("overwrite").parquet(f"{path}/grid")
-    M.save_model(model, path, spark)
+    path = os.path.join(_journal(spark), f"{M.FORMAT}-tuned-{family.name}-{grid}-{M.fingerprint(train)}-{M.fingerprint(val)}")
+    if not is_there(spark, path):
+        model, results = M.tune(family, train, val, journal=_journal(spark))
+
+        def write(to):
+            results.coalesce(1).write.parquet(f"{to}/grid")
+            M.save_model(model, to, spark)
+
+        publish(spark, path, write)
     return M.load_model(path, spark), spark.read.parquet(f"{path}/grid"), ready
 
 
@@ -209,9 +205,7 @@ def _grid_fits(spark, sf, family):
     """Every grid row fitted on the train rows: (number, params text, model), and those rows."""
     train = S.splits(ready_table(spark, sf))[0].persist()
     features = drop_all_null(train, feature_columns(train))
-    fill = exact_medians(train, features).first().asDict()
-    with ThreadPoolExecutor(4) as pool:
-        models = list(pool.map(lambda p: M.fit_estimator(family, p, train, features, fill, M.PM25_THRESHOLD), family.grid))
+    models = M.fit_grid(family, family.grid, train, features, exact_medians(train, features).first().asDict(), journal=_journal(spark))
     return [(i, M.params_text(p), m) for i, (p, m) in enumerate(zip(family.grid, models), start=1)], train
 
 
@@ -234,30 +228,63 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "config int, params string, slope double")
 
 
-@query("ml_random_forest", "config:i params:s trees:i in_depth:b learned:b",
-       _grid_sql(M.FOREST, lambda p: f"{p['n_estimators']} AS trees, true AS in_depth, true AS learned"))
-def _(spark, sf):
-    fits, train = _grid_fits(spark, sf, M.FOREST)
-    rows = [(i, text, len(m.model.trees), max(t.depth for t in m.model.trees) <= m.params["max_depth"], _learned(m, train)) for i, text, m in fits]
-    return spark.createDataFrame(rows, "config int, params string, trees int, in_depth boolean, learned boolean")
+def _deepest(model):
+    return max(t.depth for t in model.model.trees)
 
 
-@query("ml_gbt", "config:i params:s trees:i in_depth:b learned:b",
-       _grid_sql(M.BOOST, lambda p: f"{p['max_iter']} AS trees, true AS in_depth, true AS learned"))
+@query("ml_random_forest", "config:i params:s trees:i in_depth:b balanced:b learned:b",
+       _grid_sql(M.FOREST, lambda p: f"{p['n_estimators']} AS trees, true AS in_depth, true AS balanced, true AS learned"))
+def _(spark, sf):
+    """Trees, their depth, whether both classes weigh the same at the root of every tree, whether the model beats the class share."""
+    fits, train = _grid_fits(spark, sf, M.FOREST)
+    even = lambda m: all(abs(a - b) <= 1e-6 * (a + b) for a, b in (t.root for t in m.model.trees))
+    rows = [(i, text, len(m.model.trees), _deepest(m) <= m.params["max_depth"], even(m), _learned(m, train)) for i, text, m in fits]
+    return spark.createDataFrame(rows, "config int, params string, trees int, in_depth boolean, balanced boolean, learned boolean")
+
+
+def _first_leaves_hold(model, train):
+    """Whether the leaves of the first boosted tree are -rate * G / (H + l2), with sums taken by plain aggregation of the rows
+    that reach them."""
+    tree, p = model.model.trees[0], model.params
+    share = 1.0 / (1.0 + math.exp(-model.model.start))
+    cuts = model.model.cuts
+    here = {0: F.lit(True)}
+    for n, f in enumerate(tree.feature):
+        if f >= 0:
+            low = model.prepare(train)[f] <= float(cuts[f][tree.cut[n]])
+            here[int(tree.left[n])], here[int(tree.right[n])] = here[n] & low, here[n] & ~low
+    leaves = [n for n, f in enumerate(tree.feature) if f < 0]
+    y = M.with_label(train)
+    sums = y.agg(*[F.sum(F.when(here[n], F.lit(share) - F.col("y"))).alias(f"g{n}") for n in leaves], *[F.count(F.when(here[n], 1)).alias(f"n{n}") for n in leaves]).first()
+    want = [-p["learning_rate"] * sums[f"g{n}"] / (sums[f"n{n}"] * share * (1 - share) + p["l2_regularization"]) for n in leaves]
+    return all(abs(tree.value[n] - w) <= 1e-6 for n, w in zip(leaves, want))
+
+
+@query("ml_gbt", "config:i params:s trees:i in_depth:b leaves:b learned:b",
+       _grid_sql(M.BOOST, lambda p: f"{p['max_iter']} AS trees, true AS in_depth, true AS leaves, true AS learned"))
 def _(spark, sf):
     fits, train = _grid_fits(spark, sf, M.BOOST)
-    rows = [(i, text, len(m.model.trees), max(t.depth for t in m.model.trees) <= m.params["max_depth"], _learned(m, train)) for i, text, m in fits]
-    return spark.createDataFrame(rows, "config int, params string, trees int, in_depth boolean, learned boolean")
+    rows = [(i, text, len(m.model.trees), _deepest(m) <= m.params["max_depth"], _first_leaves_hold(m, train), _learned(m, train)) for i, text, m in fits]
+    return spark.createDataFrame(rows, "config int, params string, trees int, in_depth boolean, leaves boolean, learned boolean")
+
 
+def _by_rule(results, model):
+    """``results`` with ``chosen`` (the grid row the model has) and ``by_rule``: chosen are exactly the first maxima of val_f1."""
+    whole = W.partitionBy()  # a handful of rows
+    marked = results.withColumn("top", F.max("val_f1").over(whole)).withColumn("first", F.min(F.when(F.col("val_f1") == F.col("top"), F.col("config"))).over(whole))
+    chosen = F.col("params") == M.params_text(model.params)
+    return marked.withColumn("chosen", chosen).withColumn("by_rule", (chosen == (F.col("config") == F.col("first"))) & F.col("val_f1").between(0, 1))
 
-@query("ml_selection", "model:s config:i params:s val_f1:e chosen:b")
+
+@query("ml_selection", "model:s config:i params:s by_rule:b chosen:i", " UNION ALL ".join(
+    f"SELECT '{f.name}' AS model, config, params, true AS by_rule, 1 AS chosen FROM ({_grid_sql(f, lambda p: '0 AS x')})" for f in (M.LOGREG, M.FOREST, M.BOOST)))
 def _(spark, sf):
-    """The validation F1 of every grid row of every family, and which row the fitted model has."""
+    """Every grid row of every family, whether the choice obeys the rule, and how many rows of the family are chosen."""
     out = None
     for family in (M.LOGREG, M.FOREST, M.BOOST):
         model, results, _ = _tuned(spark, sf, family)
-        chosen = F.col("params") == M.params_text(model.params)
-        part = results.select(F.lit(family.name).alias("model"), "config", "params", "val_f1", chosen.alias("chosen"))
+        part = _by_rule(results, model).withColumn("chosen", F.count_if("chosen").over(W.partitionBy()).cast("int"))
+        part = part.select(F.lit(family.name).alias("model"), "config", "params", "by_rule", "chosen")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -272,15 +299,50 @@ def _(spark, sf):
     return M.score_models({M.BOOST.name: model}, S.splits(ready)[2]).select("date", "y", _rule().alias("rule"))
 
 
-@query("metrics_row", "model:s model_version:s pm25_threshold:e best_params:s valid:b",
-       f"SELECT '{M.BOOST.name}' AS model, '{M.BOOST.version}' AS model_version, 25e0 AS pm25_threshold, '{M.params_text(M.BOOST.grid[-1])}' AS best_params, true AS valid")
-def _(spark, sf):
-    model, ready = _fitted(spark, sf, M.BOOST)
-    row = M.metrics_row(model, S.splits(ready)[2])
-    valid = F.lit(True)
+def _plain_metrics(scored, by):
+    """The metrics again, in plain counts and ranks over y and prob, to hold the operators against."""
+    w = W.partitionBy(*by)
+    below = W.partitionBy(*by).orderBy("prob").rangeBetween(W.unboundedPreceding, W.currentRow)
+    above = W.partitionBy(*by).orderBy(F.col("prob").desc()).rangeBetween(W.unboundedPreceding, W.currentRow)
+    ranked = scored.withColumns({
+        "z": (F.col("prob") >= 0.5).cast("int"), "pos": F.sum("y").over(w), "n": F.count("y").over(w),
+        # the mean rank of ties is half of what is not above plus half of what is below, plus a half
+        "rank": (F.count("y").over(below) + F.count("y").over(w) - F.count("y").over(above) + 1) / 2,
+        "precision_here": F.sum("y").over(above) / F.count("y").over(above),
+    })
+    d = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    tp, z, p, n = F.sum(F.col("y") * F.col("z")), F.sum("z"), F.sum("y"), F.count("y")
+    return ranked.groupBy(*by).agg(
+        F.avg((F.col("y") == F.col("z")).cast("double")).alias("accuracy"), d(tp, z).alias("precision"), d(tp, p).alias("recall"), d(2 * tp, z + p).alias("f1"),
+        F.try_divide(F.sum(F.col("y") * F.col("rank")) - p * (p + 1) / 2, (p * (n - p)).cast("double")).alias("roc_auc"),
+        d(F.sum(F.col("y") * F.col("precision_here")), p).alias("pr_auc"),
+    )
+
+
+def _agree(found, again, on):
+    """Whether two metric tables agree: one row for each key, with ``agrees``."""
+    near = F.lit(True)
     for m in SC.METRICS:
-        valid = valid & F.coalesce(F.col(m).between(0, 1), F.lit(m == "roc_auc"))
-    return row.withColumn("valid", valid)
+        near = near & (F.col(f"a.{m}").eqNullSafe(F.col(f"b.{m}")) | F.coalesce(F.abs(F.col(f"a.{m}") - F.col(f"b.{m}")) < 1e-9, F.lit(False)))
+    joined = found.alias("a").join(again.alias("b"), [F.col(f"a.{k}") == F.col(f"b.{k}") for k in on], "left")
+    return joined.select("a.*", F.coalesce(near, F.lit(False)).alias("agrees"))
+
+
+@query("metrics_row", "model:s model_version:s pm25_threshold:e in_grid:b first_maximum:b agrees:b",
+       f"SELECT '{M.BOOST.name}' AS model, '{M.BOOST.version}' AS model_version, 25e0 AS pm25_threshold, true AS in_grid, true AS first_maximum, true AS agrees")
+def _(spark, sf):
+    """The leaderboard row, with whether its parameters are of the grid, are the first maximum of the grid's val_f1 and come
+    with that value, and whether its metrics are those counted again from the predictions."""
+    model, results, ready = _tuned(spark, sf, M.BOOST)
+    test = S.splits(ready)[2]
+    row = M.metrics_row(model, test)
+    again = _plain_metrics(M.score_models({model.family: model}, test), ["model"])
+    rule = _by_rule(results, model).where("chosen").select(F.col("params").alias("best_params"), "val_f1", "by_rule")
+    return (
+        _agree(row, again, ["model"]).join(rule, "best_params", "left")
+        .withColumn("in_grid", F.col("best_params").isin([M.params_text(p) for p in M.BOOST.grid]))
+        .withColumn("first_maximum", F.coalesce(F.col("by_rule") & (F.col("val_f1") == F.col("val_f1_selected")), F.lit(False)))
+    )
 
 
 def _all_models(spark, sf):
@@ -288,22 +350,32 @@ def _all_models(spark, sf):
     return {m.family: m for m, _ in fitted}, fitted[0][1]
 
 
-_FAMILY_ROWS = " UNION ALL ".join(f"SELECT '{f.name}' AS model, true AS valid" for f in (M.LOGREG, M.FOREST, M.BOOST))
+_FAMILY_ROWS = " UNION ALL ".join(f"SELECT '{f.name}' AS model, true AS agrees" for f in (M.LOGREG, M.FOREST, M.BOOST))
 
 
-@query("score_test", "model:s valid:b", _FAMILY_ROWS)
+@query("score_test", "model:s agrees:b", _FAMILY_ROWS)
 def _(spark, sf):
+    """Whether the board's metrics are those counted again from the predictions."""
     models, ready = _all_models(spark, sf)
-    board = M.score_test(models, S.splits(ready)[2])
-    return board.select("model", (F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1)).alias("valid"))
+    test = S.splits(ready)[2]
+    return _agree(M.score_test(models, test), _plain_metrics(M.score_models(models, test), ["model"]), ["model"])
 
 
-@query("cross_validate", "model:s valid:b", _FAMILY_ROWS)
+@query("cross_validate", "model:s agrees:b", _FAMILY_ROWS)
 def _(spark, sf):
+    """Whether means and deviations over the folds are those of metrics counted again from the folds' predictions."""
     models, ready = _all_models(spark, sf)
     train, val, _ = S.splits(ready)
-    cv = M.cross_validate(models, train.unionByName(val))
-    return cv.select("model", (F.col("f1_mean").between(0, 1) & (F.col("f1_std") >= 0)).alias("valid"))
+    both = train.unionByName(val)
+    again = _plain_metrics(M.folded_scores(models, both), ["model", "fold"]).groupBy(F.col("model").alias("m")).agg(
+        *[f(m).alias(f"again_{m}_{k}") for m in SC.METRICS for k, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    )
+    near = F.lit(True)
+    for m in SC.METRICS:
+        for k in ("mean", "std"):
+            near = near & (F.abs(F.col(f"{m}_{k}") - F.col(f"again_{m}_{k}")) < 1e-9)
+    cv = M.cross_validate(models, both)
+    return cv.join(again, cv["model"] == again["m"], "left").select("model", F.coalesce(near, F.lit(False)).alias("agrees"))
 
 
 @query("shared_folds", "rows:i folds:i differing:i",
@@ -324,10 +396,13 @@ def _(spark, sf):
     return cv.select("model", (F.col("f1_mean").between(0, 1) & (F.col("f1_std") >= 0)).alias("valid"))
 
 
-@query("permutation_importance", "feature:s repeats:i", "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) AS feature, 20 AS repeats")
+@query("permutation_importance", "feature:s repeats:i rule:b", "SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) AS feature, 20 AS repeats, true AS rule")
 def _(spark, sf):
+    """Repeats of each feature; a feature that no tree splits on must lose nothing."""
     model, ready = _fitted(spark, sf, M.BOOST)
-    return M.permutation_scores(model, S.splits(ready)[2]).groupBy("feature").agg(F.count("importance").alias("repeats"))
+    used = [f for i, f in enumerate(model.features) if any(t.uses(i) for t in model.model.trees)]
+    rated = M.permutation_scores(model, S.splits(ready)[2]).groupBy("feature").agg(F.count("importance").alias("repeats"), F.max(F.abs("importance")).alias("most"))
+    return rated.withColumn("rule", (F.col("most") <= 1) & (F.col("feature").isin(used) | (F.col("most") == 0)))
 
 
 @query("forecast_next_year", "date:t rule:b",

@@ -1,4 +1,4 @@
-"""Event models on Spark ML: tuning, scoring, permutation importance, forecast.
+"""Event models: tuning, scoring, permutation importance, forecast. Logistic regression is Spark ML's; trees are of ``trees``.
 
 Class probability is always read from the model's probability vector and cut
 explicitly, so every model family shares one rule.
@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Sequence
+import os
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -23,9 +27,11 @@ from pyspark.sql import functions as F
 from ..functions.levels import PM25_THRESHOLD, exceeds, predicted_label
 from ..functions.names import feature_columns
 from ..operators.ordering import shuffled_position
-from ..operators.scoring import METRICS, classification_metrics, cv_summary, importance_summary, label_metrics, stratified_folds
+from ..operators.scoring import METRICS, class_weights, classification_metrics, cv_summary, importance_summary, label_metrics, ratio, stratified_folds, top_row
 from ..operators.spine import future_spine
 from ..operators.stats import drop_all_null, exact_medians, moments
+from ..sources.tables import is_there, publish
+from . import trees
 
 SEED = 42
 
@@ -72,7 +78,7 @@ class EventModel:
     fill: dict[str, float]
     centre: dict[str, float]
     spread: dict[str, float]
-    model: Transformer
+    model: Transformer | trees.Ensemble
     params: dict
     threshold: float = PM25_THRESHOLD
     val_f1: float | None = None
@@ -81,9 +87,13 @@ class EventModel:
 
     def prepare(self, df: DataFrame) -> list[Column]:
         """Feature columns, filled and (if the family asks for it) standardised."""
+        return self.prepare_from("")
+
+    def prepare_from(self, prefix: str) -> list[Column]:
+        """The same for features that stand in a struct."""
         out = []
         for c in self.features:
-            value = F.coalesce(F.col(c).cast("double"), F.lit(self.fill.get(c)))
+            value = F.coalesce(F.col(f"{prefix}{c}").cast("double"), F.lit(self.fill.get(c)))
             if self.spread:
                 value = (value - F.lit(self.centre[c])) / F.lit(self.spread[c] or 1.0)
             out.append(value.alias(c))
@@ -91,10 +101,12 @@ class EventModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """``df`` plus ``prob`` (class 1) and ``y_pred``."""
-        vector = array_to_vector(F.array(*self.prepare(df)))
-        scored = self.model.transform(df.withColumn("_features", vector))
-        prob = vector_to_array("probability")[1]
-        scored = scored.withColumn("prob", prob)
+        values = F.array(*self.prepare(df))
+        if isinstance(self.model, trees.Ensemble):
+            scored = df.withColumn("prob", self.model.probability(values))
+        else:
+            scored = self.model.transform(df.withColumn("_features", array_to_vector(values)))
+            scored = scored.withColumn("prob", vector_to_array("probability")[1])
         return scored.withColumn("y_pred", predicted_label(F.col("prob"))).select(*df.columns, "prob", "y_pred")
 
 
@@ -103,61 +115,101 @@ def _one_row(df: DataFrame) -> dict[str, float]:
     return df.first().asDict()
 
 
-#: Training rows of a partition. Boosting passes over the rows thousands of times, so small tables stay together.
+#: Training rows of a partition of a logistic fit, which passes over the rows thousands of times.
 FIT_ROWS = 20_000
+#: Changes with what a kept fit holds or how it is made.
+FORMAT = "f4"
 
 
-def fit_estimator(family: Family, params: dict, train: DataFrame, features: list[str], fill: dict, threshold: float) -> EventModel:
-    """Fit one grid row in full."""
-    centre: dict[str, float] = {}
-    spread: dict[str, float] = {}
-    filled = train.select(
+def _filled(train: DataFrame, features: list[str], fill: dict, threshold: float) -> DataFrame:
+    return train.select(
         *[F.coalesce(F.col(c).cast("double"), F.lit(fill[c])).alias(c) for c in features],
         exceeds(F.col("pm25"), threshold).alias("label"),
     )
-    if family.scale:
-        m = _one_row(moments(filled, features))
-        centre = {c: m[f"mean_{c}"] for c in features}
-        spread = {c: m[f"std_{c}"] or 1.0 for c in features}
-    shell = EventModel(family.name, features, fill, centre, spread, None, params, threshold, version=family.version)
-    counts = {r["label"]: r["n"] for r in filled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = sum(counts.values())
-    # balanced: both classes weigh the same in total, the weights sum to the row count
+
+
+def _logistic(params: dict, filled: DataFrame, features: list[str], threshold: float, fill: dict) -> EventModel:
+    m = _one_row(moments(filled, features))
+    centre = {c: m[f"mean_{c}"] for c in features}
+    spread = {c: m[f"std_{c}"] or 1.0 for c in features}
+    shell = EventModel(LOGREG.name, features, fill, centre, spread, None, params, threshold, version=LOGREG.version)
+    weights = {r["label"]: (r["rows"], r["weight"]) for r in class_weights(filled, "label").collect()}
+    rows = sum(n for n, _ in weights.values())
     weight = F.lit(1.0)
-    if family.weighted and len(counts) == 2:
-        weight = F.when(F.col("label") == 1, rows / (2.0 * counts[1])).otherwise(rows / (2.0 * counts[0]))
+    for label, (_, w) in weights.items():
+        weight = F.when(F.col("label") == label, w).otherwise(weight)
     vector = F.array(*shell.prepare(filled))
     data = filled.select(array_to_vector(vector).alias("_features"), F.col("label").cast("double"), weight.alias("_w"))
     data = data.coalesce(1) if rows <= FIT_ROWS else data.repartition(-(-rows // FIT_ROWS))
-    shell.model = _estimator(family, params, rows).fit(data)
+    # the intercept is free: Spark has no penalty for it and gives constant columns no weight
+    estimator = LogisticRegression(
+        featuresCol="_features", labelCol="label", weightCol="_w", regParam=1.0 / (params["C"] * rows), elasticNetParam=0.0,
+        maxIter=3000, tol=1e-9, fitIntercept=True, standardization=False,
+    )
+    shell.model = estimator.fit(data)
     return shell
 
 
-def _estimator(family: Family, params: dict, rows: int):
-    common = {"featuresCol": "_features", "labelCol": "label"}
-    if family.name == LOGREG.name:
-        # the intercept is free: Spark has no penalty for it and gives constant columns no weight
-        return LogisticRegression(
-            **common, weightCol="_w", regParam=1.0 / (params["C"] * rows), elasticNetParam=0.0, maxIter=3000, tol=1e-9,
-            fitIntercept=True, standardization=False,
-        )
-    if family.name == FOREST.name:
-        return RandomForestClassifier(
-            **common, weightCol="_w", numTrees=params["n_estimators"], maxDepth=params["max_depth"],
-            minInstancesPerNode=params["min_samples_leaf"], featureSubsetStrategy="sqrt", seed=SEED,
-        )
-    return GBTClassifier(
-        **common, maxIter=params["max_iter"], stepSize=params["learning_rate"],
-        maxDepth=params["max_depth"], minInstancesPerNode=20, maxBins=256, seed=SEED,
-    )
+def fit_estimators(
+    family: Family, grid: Sequence[dict], train: DataFrame, features: list[str], fill: dict, threshold: float, journal: str | None = None
+) -> list[EventModel]:
+    """Fit grid rows in full; trees of all rows grow side by side. ``journal``: a folder for boosting rounds that are done."""
+    filled = _filled(train, features, fill, threshold)
+    if family.scale:
+        with ThreadPoolExecutor(4) as pool:
+            return list(pool.map(lambda p: _logistic(p, filled, features, threshold, fill), grid))
+    kind = "forest" if family.weighted else "boost"
+    fitted = trees.fit_ensembles(kind, grid, filled, features, F.col("label"), F.xxhash64(*filled.columns), SEED, journal=journal)
+    return [EventModel(family.name, features, fill, {}, {}, m, p, threshold, version=family.version) for p, m in zip(grid, fitted)]
+
+
+def fit_estimator(family: Family, params: dict, train: DataFrame, features: list[str], fill: dict, threshold: float) -> EventModel:
+    return fit_estimators(family, [params], train, features, fill, threshold)[0]
+
+
+def fingerprint(df: DataFrame) -> str:
+    """Names a table by its rows."""
+    return "-".join(str(x) for x in df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns))).first())
+
+
+def fit_grid(
+    family: Family, grid: Sequence[dict], train: DataFrame, features: list[str], fill: dict, threshold: float = PM25_THRESHOLD, journal: str | None = None
+) -> list[EventModel]:
+    """Every grid row fitted on ``train``.
+
+    With ``journal``, a shared folder, a fit that has ended is published there by a rename, under the rows, the fill values and
+    the grid row; a later call loads it. So a stopped call loses at most the fits that had not ended, and of boosting
+    over many rows only the rounds since the last kept ones. Small tables fit one grid row per job, so that each is published by itself.
+    """
+    if journal is None:
+        return fit_estimators(family, grid, train, features, fill, threshold)
+    spark = train.sparkSession
+    settled = json.dumps([features, fill, threshold, family.name], sort_keys=True)
+    base = os.path.join(journal, f"{FORMAT}-{family.name}-{fingerprint(train.select(*features, 'pm25'))}-{crc32(settled.encode()):08x}")
+    paths = [f"{base}-{crc32(params_text(p).encode()):08x}" for p in grid]
+    missing = [i for i, p in enumerate(paths) if not is_there(spark, p)]
+    fitted: dict[int, EventModel] = {}
+
+    def fit(rows: list[int]) -> None:
+        models = fit_estimators(family, [grid[i] for i in rows], train, features, fill, threshold, f"{base}-rounds-{len(rows)}-{rows[0]}")
+        for i, model in zip(rows, models):
+            fitted[i] = model
+            publish(spark, paths[i], lambda path, m=model: save_model(m, path, spark))
+
+    if missing and family.name == BOOST.name and train.count() > trees.LOCAL_ROWS:
+        fit(missing)
+    else:
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(lambda i: fit([i]), missing))
+    return [fitted[i] if i in fitted else load_model(p, spark) for i, p in enumerate(paths)]
 
 
 def steepest_slope(model: EventModel, train: DataFrame) -> float:
     """Largest absolute slope of the penalised, class-weighted log loss at a logistic model's coefficients: 0 at the optimum."""
     labelled = train.withColumn("label", exceeds(F.col("pm25"), model.threshold))
-    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = sum(counts.values())
-    weight = F.when(F.col("label") == 1, rows / (2.0 * counts[1])).otherwise(rows / (2.0 * counts[0]))
+    weights = {r["label"]: (r["rows"], r["weight"]) for r in class_weights(labelled, "label").collect()}
+    rows = sum(n for n, _ in weights.values())
+    weight = F.when(F.col("label") == 1, weights[1][1]).otherwise(weights[0][1])
     pull = weight * (F.col("prob") - F.col("label"))
     scored = model.score(labelled)
     sums = scored.agg(F.sum(pull).alias("_free"), *[F.sum(pull * c).alias(n) for n, c in zip(model.features, model.prepare(scored))]).first()
@@ -168,12 +220,12 @@ def steepest_slope(model: EventModel, train: DataFrame) -> float:
 
 def tune(
     family: Family, train: DataFrame, val: DataFrame, keys: Sequence[str] = (), threshold: float = PM25_THRESHOLD,
-    parallelism: int = 4, max_rows_for_plain_median: int | None = None,
+    max_rows_for_plain_median: int | None = None, journal: str | None = None,
 ) -> tuple[EventModel, DataFrame]:
     """Choose the grid row with the best validation F1, then refit on train + validation.
 
-    Returns the model and the grid results. Grid rows are separate job chains,
-    submitted a few at a time; all validation scores are rated in one grouped job.
+    Returns the model and the grid results. All validation scores are rated in one grouped job. With ``journal``, fits
+    that have ended are kept, see :func:`fit_grid`.
     """
     spark = train.sparkSession
     train, val = train.persist(), val.persist()
@@ -183,8 +235,7 @@ def tune(
         return _one_row(exact_medians(df, features, max_group_rows=max_rows_for_plain_median))
 
     fill = medians(train)
-    with ThreadPoolExecutor(parallelism) as pool:
-        fitted = list(pool.map(lambda p: fit_estimator(family, p, train, features, fill, threshold), family.grid))
+    fitted = fit_grid(family, family.grid, train, features, fill, threshold, journal)
     labelled = val.withColumn("y", exceeds(F.col("pm25"), threshold))
     scored = None
     for number, m in enumerate(fitted, start=1):
@@ -194,15 +245,16 @@ def tune(
     results = label_metrics(scored, ["config"]).withColumnRenamed("f1", "val_f1").join(F.broadcast(names), "config")
     # a handful of rows, one per grid row
     rows = sorted(results.collect(), key=lambda r: r["config"])
-    best = max(rows, key=lambda r: (r["val_f1"], -r["config"]))
+    kept = spark.createDataFrame(rows, results.schema)
+    best = top_row(kept).first()
     both = train.unionByName(val)
-    final = fit_estimator(
-        family, family.grid[best["config"] - 1], both, features, medians(both) if family.refit_fill else fill, threshold
-    )
+    final = fit_grid(
+        family, [family.grid[best["config"] - 1]], both, features, medians(both) if family.refit_fill else fill, threshold, journal
+    )[0]
     final.val_f1 = best["val_f1"]
     train.unpersist()
     val.unpersist()
-    return final, spark.createDataFrame(rows, results.schema)
+    return final, kept
 
 
 def params_text(params: dict) -> str:
@@ -271,8 +323,11 @@ def metrics_row(model: EventModel, test: DataFrame) -> DataFrame:
 
 
 def save_model(model: EventModel, path: str, spark: SparkSession) -> None:
-    """The fitted stages as a Spark ML pipeline and one metadata row."""
-    PipelineModel([model.model]).write().overwrite().save(f"{path}/model")
+    """The fitted stage as a Spark ML pipeline, or the trees as rows, and one metadata row."""
+    if isinstance(model.model, trees.Ensemble):
+        spark.createDataFrame(model.model.rows(), "number int, tree string").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+    else:
+        PipelineModel([model.model]).write().overwrite().save(f"{path}/model")
     row = (
         model.family, model.features, model.fill, model.centre, model.spread, json.dumps(model.params),
         model.threshold, model.val_f1, model.version, model.trained_at,
@@ -286,7 +341,10 @@ def save_model(model: EventModel, path: str, spark: SparkSession) -> None:
 
 def load_model(path: str, spark: SparkSession) -> EventModel:
     m = spark.read.parquet(f"{path}/meta").first()
-    stage = PipelineModel.load(f"{path}/model").stages[0]
+    if m["family"] in (FOREST.name, BOOST.name):
+        stage = trees.Ensemble.from_rows([tuple(r) for r in spark.read.parquet(f"{path}/model").collect()])
+    else:
+        stage = PipelineModel.load(f"{path}/model").stages[0]
     return EventModel(
         m["family"], list(m["features"]), dict(m["fill"]), dict(m["centre"]), dict(m["spread"]), stage, json.loads(m["params"]),
         m["threshold"], m["val_f1"], m["version"], m["trained_at"],
@@ -301,7 +359,7 @@ def permutation_scores(
     One shuffle of the rows per repeat serves all features: the row at position i of a
     fixed order is paired (equi-join) with the row at position i of a random order, and
     every feature in turn takes the partner's value. Work is rows x features x repeats,
-    spread over all tasks.
+    spread over all tasks; of an ensemble, only the trees that split on the feature are scored again.
     """
     features = model.features
     labelled = with_label(df, model.threshold)
@@ -312,6 +370,10 @@ def permutation_scores(
     mixed = shuffled_position(rounds, identity, seed + 1, keys=["repeat"])
     partners = mixed.select("repeat", "position", F.col("own").alias("other"))
     paired = fixed.select(*identity, "repeat", "position", "y", "own").join(partners, ["repeat", "position"])
+    if isinstance(model.model, trees.Ensemble):
+        rated = _rescored_trees(model, paired)
+        baseline = label_metrics(model.score(labelled)).select("f1")
+        return rated.select("feature", "repeat", (baseline.scalar() - F.col("f1")).alias("importance"))
     each = paired.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
     shuffled = each.select(
         "feature", "repeat", "y",
@@ -322,6 +384,40 @@ def permutation_scores(
     return rated.select("feature", "repeat", (baseline.scalar() - F.col("f1")).alias("importance"))
 
 
+def _rescored_trees(model: EventModel, paired: DataFrame) -> DataFrame:
+    """feature, repeat, f1 when each feature in turn takes the partner's value.
+
+    The sum over the trees that don't split on a feature stays; per batch and feature only the others are walked again.
+    """
+    ensemble, features = model.model, model.features
+    shared = paired.sparkSession.sparkContext.broadcast(ensemble)
+    sides = [F.array(*model.prepare_from(f"{side}.")).alias(side) for side in ("own", "other")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = shared.value
+        using = [[i for i, t in enumerate(e.trees) if t.uses(f)] for f in range(len(features))]
+        for batch in batches:
+            repeats, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("repeat", "y"))
+            own, other = (e.binned(batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(features))) for c in ("own", "other"))
+            each = [t.value[t.leaves(own)] for t in e.trees]
+            total = np.sum(each, axis=0) if each else np.zeros(len(y))
+            for f, name in enumerate(features):
+                mixed = own.copy()
+                mixed[:, f] = other[:, f]
+                changed = total.copy()
+                for i in using[f]:
+                    changed += e.trees[i].value[e.trees[i].leaves(mixed)] - each[i]
+                chosen = e.probability_of(changed) >= 0.5
+                for r in np.unique(repeats):
+                    on = repeats == r
+                    sums = [int((chosen & (y == 1) & on).sum()), int((chosen & on).sum()), int(((y == 1) & on).sum())]
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([int(r)], pa.int32()), *[pa.array([x], pa.int64()) for x in sums]], ["feature", "repeat", "tp", "z", "p"])
+
+    counted = paired.select("repeat", "y", *sides).mapInArrow(run, "feature string, repeat int, tp long, z long, p long")
+    summed = counted.groupBy("feature", "repeat").agg(*[F.sum(c).alias(c) for c in ("tp", "z", "p")])
+    return summed.select("feature", "repeat", ratio(F.col("tp") * 2, F.col("p") + F.col("z")).alias("f1"))
+
+
 def permutation_importance(model: EventModel, df: DataFrame, identity: Sequence[str] = ("date",), repeats: int = 20) -> DataFrame:
     return importance_summary(permutation_scores(model, df, identity, repeats))
 

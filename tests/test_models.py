@@ -63,7 +63,7 @@ def test_logreg_reaches_the_penalised_optimum(ready):
 
 def test_trees_and_summary(ready, logreg):
     train, val, test = S.splits(ready)
-    small = [{"n_estimators": 3, "max_depth": 4, "min_samples_leaf": 5}], [{"learning_rate": 0.1, "max_depth": 3, "max_iter": 3}]
+    small = [{"n_estimators": 3, "max_depth": 4, "min_samples_leaf": 5}], [{"learning_rate": 0.1, "max_depth": 3, "max_iter": 3, "l2_regularization": 0.5}]
     forest, _ = M.tune(dataclasses.replace(M.FOREST, grid=small[0]), train, val)
     boost, _ = M.tune(dataclasses.replace(M.BOOST, grid=small[1]), train, val)
     assert len(forest.model.trees) == len(boost.model.trees) == 3 and boost.params == small[1][0]
@@ -83,6 +83,48 @@ def test_permutation_importance(ready, logreg):
     assert got["smoke"] > 0.2 and abs(got["noise"]) < 0.1
 
 
+def test_split_paths_equal_full_rescoring(ready, monkeypatch):
+    train, _, test = S.splits(ready)
+    model = M.fit_estimator(M.BOOST, {"learning_rate": 0.2, "max_depth": 2, "max_iter": 6, "l2_regularization": 0.1}, train, ["smoke", "noise"], {"smoke": 5.0, "noise": 0.5}, 25.0)
+    quick = sorted(M.permutation_scores(model, test, repeats=3).collect())
+
+    class Plain:  # the same scores from a model whose trees are not known
+        def __getattr__(self, name):
+            return getattr(model, name)
+
+        model = None
+
+        def score(self, df):
+            return model.score(df)
+
+    full = sorted(M.permutation_scores(Plain(), test, repeats=3).collect())
+    assert [(r["feature"], r["repeat"]) for r in quick] == [(r["feature"], r["repeat"]) for r in full] and len(quick) == 6
+    assert [r["importance"] for r in quick] == pytest.approx([r["importance"] for r in full], abs=1e-12)
+
+
+def test_fits_that_ended_are_kept(spark, ready, tmp_path, monkeypatch):
+    train = S.splits(ready)[0]
+    grid = [{"learning_rate": 0.2, "max_depth": 2, "max_iter": n, "l2_regularization": 0.1} for n in (2, 3)]
+    args = (train, ["smoke", "noise"], {"smoke": 5.0, "noise": 0.5}, 25.0, str(tmp_path / "kept"))
+    fits, real = [], M.fit_estimators
+
+    def stopped(family, rows, *a):
+        fits.append(rows)
+        if rows == [grid[1]]:
+            raise RuntimeError("stopped")
+        return real(family, rows, *a)
+
+    monkeypatch.setattr(M, "fit_estimators", stopped)
+    with pytest.raises(RuntimeError):
+        M.fit_grid(M.BOOST, grid, *args)
+    fits.clear()
+    monkeypatch.setattr(M, "fit_estimators", lambda family, rows, *a: fits.append(rows) or real(family, rows, *a))
+    models = M.fit_grid(M.BOOST, grid, *args)
+    assert fits == [[grid[1]]] and [len(m.model.trees) for m in models] == [2, 3]
+    fits.clear()
+    assert [len(m.model.trees) for m in M.fit_grid(M.BOOST, grid, *args)] == [2, 3] and not fits
+
+
 def test_forecast(ready, logreg):
     out = M.forecast(logreg[0], ready.drop("split"), rounds=2)
     first, last, n, flags = out.agg(F.min("date"), F.max("date"), F.count("pred_pm25"), F.max("smoke_impact_pred")).first()
