@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import (
-    CENTRE_LAT, CENTRE_LON, EARTH_RADIUS_KM, angular_diff_deg, bearing_deg, bounding_box, haversine_km,
+    CENTRE_LAT, CENTRE_LON, angular_diff_deg, bearing_deg, bounding_box, haversine_km,
 )
+from .cells import LEAF_POINTS, in_leaves, quadtree, site_leaves
 from .daily import per_day, total
 from .joins import BROADCAST_ROWS, counted_within, lookup_join
 
@@ -35,70 +35,55 @@ def fires_near(
     )
 
 
-def _grid(radius_km: float) -> tuple[float, int]:
-    """Cell height in degrees and the number of cells around a parallel."""
-    size = max(math.degrees(radius_km / EARTH_RADIUS_KM), 1e-3)
-    around = max(int(360.0 // size), 1)
-    return size, around
-
-
-def _site_cells(sites: DataFrame, radius_km: float) -> DataFrame:
-    """Each site once per grid cell its circle can touch."""
-    size, around = _grid(radius_km)
-    arc = radius_km / EARTH_RADIUS_KM
-    reach = math.degrees(arc) + 1e-6
-    lat, lon = F.col("site_lat"), F.col("site_lon")
-    polar = (lat - reach <= -90) | (lat + reach >= 90) | (F.lit(math.sin(arc)) >= F.cos(F.radians(lat)))
-    half = F.when(polar | F.lit(arc >= math.pi / 2), F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(arc)) / F.cos(F.radians(lat))))) + 1e-6
-    )
-    width = 360.0 / around
-
-    def cell(angle: Column, low: float, step: float) -> Column:
-        return F.floor((angle + low) / step).cast("int")
-
-    rows = F.sequence(cell(lat - reach, 90.0, size), cell(lat + reach, 90.0, size))
-    columns = F.array_distinct(
-        F.transform(
-            F.sequence(cell(lon - half, 180.0, width), cell(lon + half, 180.0, width)),
-            lambda i: F.pmod(i, F.lit(around)),
-        )
-    )
-    return sites.withColumn("_row", F.explode(rows)).withColumn("_column", F.explode(columns))
+def _spread(points: DataFrame) -> DataFrame:
+    """Points dealt to all tasks by their own hash. What follows multiplies rows, so a table of few files must not keep it in
+    as few tasks."""
+    spark = points.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return points.repartition(tasks, F.xxhash64("latitude", "longitude", "datetime"))
 
 
 def fires_near_sites(
     points: DataFrame, sites: DataFrame, keys: Sequence[str] = ("site_id",), radius_km: float = RADIUS_KM,
-    broadcast_rows: int = BROADCAST_ROWS, salts: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS, salts: int | None = None, leaf_points: int = LEAF_POINTS,
 ) -> DataFrame:
-    """The same for many sites (``keys, site_lat, site_lon``): an equi-join on grid cells.
+    """The same for many sites (``keys, site_lat, site_lon``): an equi-join on adaptive cells.
 
-    A point has one cell, a site the few cells its circle touches; the exact
-    distance test follows. The cell table is broadcast when it was counted to be
-    small; else cells are salted, so a region full of fires spans several tasks.
+    A point has one cell, a site the cells its circle touches. Points of cells that lie inside the circle are
+    taken as they are, those of cells at its edge are tested. The cells of the sites are broadcast when they were
+    counted to be few; else cells are salted, so a region full of fires spans several tasks.
     """
-    size, around = _grid(radius_km)
-    width = 360.0 / around
-    celled = points.withColumns(
-        {
-            "_row": F.floor((F.col("latitude") + 90.0) / size).cast("int"),
-            "_column": F.pmod(F.floor((F.col("longitude") + 180.0) / width).cast("int"), F.lit(around)),
-        }
-    )
-    cells = _site_cells(sites.select(*keys, "site_lat", "site_lon"), radius_km)
+    tree = quadtree(points, leaf_points)
+    cells = site_leaves(sites, tree, keys, radius_km)
     small = counted_within(cells, broadcast_rows)
     pairs = lookup_join(
-        celled, cells, ["_row", "_column"], "inner",
+        in_leaves(_spread(points), tree), cells, ["leaf"], "inner",
         max_lookup_rows=broadcast_rows if small else None,
         salt_on=["latitude", "longitude", "datetime"], salts=salts,
-    )
+    ).drop("leaf")
     here, there = (F.col("site_lat"), F.col("site_lon")), (F.col("latitude"), F.col("longitude"))
-    return (
-        pairs.drop("_row", "_column")
-        .withColumn("distance_km", haversine_km(*here, *there))
-        .filter(F.col("distance_km") <= radius_km)
-        .withColumn("bearing_deg", bearing_deg(*here, *there))
-    )
+    # a pair that passes becomes a row with its distance, so the distance is computed once; the outer form keeps Spark from
+    # testing the size of the array, distance and all, before it
+    reached = F.filter(F.array(haversine_km(*here, *there)), lambda km: F.col("inside") | (km <= radius_km))
+    return pairs.withColumn("distance_km", F.explode_outer(reached)).where(F.col("distance_km").isNotNull()).drop("inside").withColumn("bearing_deg", bearing_deg(*here, *there))
+
+
+def site_fire_counts(
+    points: DataFrame, sites: DataFrame, keys: Sequence[str] = ("site_id",), radius_km: float = RADIUS_KM, leaf_points: int = LEAF_POINTS
+) -> DataFrame:
+    """``fire_count, fire_frp_sum`` per site and day, without looking at a distance inside a circle.
+
+    Points are summed by cell and day first; a cell inside a circle gives its sums, only points at the edge meet the site.
+    """
+    tree = quadtree(points, leaf_points)
+    cells = site_leaves(sites, tree, keys, radius_km)
+    located = in_leaves(points, tree)
+    by_cell = located.groupBy("leaf", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("frp").alias("frp"))
+    whole = by_cell.join(cells.where("inside"), "leaf").select(*keys, "date", "n", "frp")
+    edge = lookup_join(located, cells.where("NOT inside"), ["leaf"], "inner", max_lookup_rows=BROADCAST_ROWS if counted_within(cells) else None, salt_on=["latitude", "longitude", "datetime"])
+    apart = haversine_km(F.col("site_lat"), F.col("site_lon"), F.col("latitude"), F.col("longitude"))
+    tested = edge.where(apart <= radius_km).select(*keys, "date", F.lit(1).cast("long").alias("n"), "frp")
+    return whole.unionByName(tested).groupBy(*keys, "date").agg(F.sum("n").alias("fire_count"), F.coalesce(F.sum("frp"), F.lit(0.0)).alias("fire_frp_sum"))
 
 
 def join_wind(
