@@ -8,18 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from .big_json import RANGE_BYTES, SPLIT_BYTES, document_objects, element_schema, has_large, read_objects
 from .feeds import scan_csv, scan_zip_csv, union_all
 
 
+def _feature_rows(feature: DataFrame, inner) -> DataFrame:
+    """Properties and ``geometry_type`` of features that stand in the column ``f``."""
+    names = inner.fieldNames() if isinstance(inner, StructType) else []
+    columns = []
+    if "properties" in names and isinstance(inner["properties"].dataType, StructType):
+        columns = [F.col(f"f.properties.`{p}`").alias(p) for p in inner["properties"].dataType.fieldNames()]
+    has_geometry = "geometry" in names and isinstance(inner["geometry"].dataType, StructType)
+    kind = F.col("f.geometry.type") if has_geometry else F.lit(None).cast("string")
+    return feature.select(*columns, kind.alias("geometry_type"))
+
+
 def scan_geojson(
-    spark: SparkSession, paths: str | list[str], schema: StructType | None = None, multi_line: bool = True
+    spark: SparkSession, paths: str | list[str], schema: StructType | None = None, multi_line: bool = True, split_bytes: int = SPLIT_BYTES,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """Feature collections to one row per feature: its properties and ``geometry_type``.
 
     Other JSON documents give one row each, a JSON list one row per element.
-    A multi-line file is one document parsed by one task; ``multi_line=False`` reads
-    one document per line and splits large files.
+    ``multi_line=False`` reads one document per line and splits large files. Multi-line files are one document each; if one
+    of them is larger than ``split_bytes``, all must be feature collections or lists, and each is read by many tasks.
     """
+    if multi_line and has_large(spark, paths, split_bytes):
+        rows = read_objects(document_objects(spark, paths, range_bytes=range_bytes), element_schema(schema))
+        if "type" in rows.columns and "properties" in rows.columns:
+            return _feature_rows(rows.select(F.struct(*rows.columns).alias("f")), rows.schema)
+        return rows
     reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
@@ -28,14 +46,7 @@ def scan_geojson(
     if not isinstance(fields.get("features"), ArrayType):
         return doc
     feature = doc.filter("type = 'FeatureCollection'").select(F.explode("features").alias("f"))
-    inner = fields["features"].elementType
-    names = inner.fieldNames() if isinstance(inner, StructType) else []
-    columns = []
-    if "properties" in names and isinstance(inner["properties"].dataType, StructType):
-        columns = [F.col(f"f.properties.`{p}`").alias(p) for p in inner["properties"].dataType.fieldNames()]
-    has_geometry = "geometry" in names and isinstance(inner["geometry"].dataType, StructType)
-    kind = F.col("f.geometry.type") if has_geometry else F.lit(None).cast("string")
-    return feature.select(*columns, kind.alias("geometry_type"))
+    return _feature_rows(feature, fields["features"].elementType)
 
 
 def scan_any(spark: SparkSession, path: str, zipped: bool = False) -> DataFrame:

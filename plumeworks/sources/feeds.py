@@ -6,10 +6,12 @@ roll-ups cast what they need.
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +19,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.coerce import day_in, fire_moment, is_text, missing_to_null, number_in, parse_once
 from ..functions.names import clean_columns, clean_name, clean_names, first_existing, require_columns
+from ..session import materialise
 from .files import header_groups, layouts, list_files, open_input, zip_members
 
 FIRE_COLUMNS = ["latitude", "longitude", "acq_date", "acq_time", "frp"]
 _CHUNK_ROWS = 50_000
+#: Unpacked bytes that are parsed at a time.
+ZIP_BLOCK = 4 << 20
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -65,27 +70,88 @@ def scan_weather_dir(spark: SparkSession, directory: str, pattern: str = "weathe
     return scan_csv(spark, directory, pattern=pattern)
 
 
-def _zip_rows(columns: list[str]):
+def _members_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The CSV members of archives, from their directories alone."""
+    for batch in batches:
+        for path in batch["path"]:
+            with open_input(path) as stream, zipfile.ZipFile(stream) as archive:
+                yield pd.DataFrame({"path": path, "member": zip_members(archive)}, dtype=str)
+
+
+def _record_end(data: bytes, after: int = 0) -> int:
+    """Where the last whole record of ``data`` ends (0 if none does): a line break that is not inside quotes."""
+    marks = np.frombuffer(data, dtype=np.uint8)
+    breaks = np.flatnonzero(marks == 10)
+    outside = breaks[np.searchsorted(np.flatnonzero(marks == 34), breaks) % 2 == 0]
+    outside = outside[outside >= after]
+    return int(outside[-1]) + 1 if len(outside) else 0
+
+
+def _member_blocks(path: str, member: str, block_bytes: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(number, header, records) of a member, unpacked as a stream; blocks end where records do."""
+    with open_input(path) as stream, zipfile.ZipFile(stream) as archive, archive.open(member) as body:
+        header, held, number = b"", b"", 0
+        for data in iter(lambda: body.read(block_bytes), b""):
+            held += data
+            if not header:
+                first = next((i + 1 for i, c in enumerate(held) if c == 10 and held.count(b'"', 0, i) % 2 == 0), 0)
+                if not first:
+                    continue
+                header, held = held[:first], held[first:]
+            end = _record_end(held)
+            if end:
+                yield number, header, held[:end]
+                held, number = held[end:], number + 1
+        if held:
+            yield (number, header, held) if header else (number, held, b"")
+
+
+def _parse_block(header: bytes, records: bytes, columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows of a block; only the wanted columns are parsed."""
+    wanted = set(columns)
+    for chunk in pd.read_csv(io.BytesIO(header + records), dtype=str, chunksize=_CHUNK_ROWS, usecols=lambda c: clean_name(c) in wanted):
+        chunk.columns = [clean_name(c) for c in chunk.columns]
+        yield chunk.reindex(columns=columns).astype(object)
+
+
+def _unpack_and_parse(columns: list[str], block_bytes: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path in batch["path"]:
-                with open_input(path) as stream, zipfile.ZipFile(stream) as archive:
-                    for member in zip_members(archive):
-                        with archive.open(member) as body:
-                            for chunk in pd.read_csv(body, dtype=str, chunksize=_CHUNK_ROWS):
-                                chunk.columns = [clean_name(c) for c in chunk.columns]
-                                yield chunk.reindex(columns=columns).astype(object)
+            for path, member in zip(batch["path"], batch["member"]):
+                for _, header, records in _member_blocks(path, member, block_bytes):
+                    yield from _parse_block(header, records, columns)
+
+    return rows
+
+
+def _unpack(block_bytes: int):
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, member in zip(batch["path"], batch["member"]):
+                for number, header, records in _member_blocks(path, member, block_bytes):
+                    yield pd.DataFrame({"path": [path], "member": [member], "number": [number], "header": [header], "records": [records]})
+
+    return blocks
+
+
+def _parse(columns: list[str]):
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for header, records in zip(batch["header"], batch["records"]):
+                yield from _parse_block(header, records, columns)
 
     return rows
 
 
 def scan_zip_csv(
-    spark: SparkSession, paths: str | list[str], columns: list[str] | None = None, pattern: str = "*"
+    spark: SparkSession, paths: str | list[str], columns: list[str] | None = None, pattern: str = "*", block_bytes: int = ZIP_BLOCK
 ) -> DataFrame:
     """CSV inside zip archives (which may be named ``.csv``) as cleaned text columns.
 
-    Archives are unpacked in parallel and streamed chunk by chunk, so a task
-    holds one chunk and never a whole archive. One archive cannot be split.
+    Members are unpacked in parallel, as streams. With at least as many members as tasks, each task parses what it unpacks;
+    with fewer, unpacked text is dealt out in blocks of whole records, so one archive, even one member, is parsed by all
+    tasks (unpacking a member itself can't be divided). A task holds one block and never a whole archive. ``columns``
+    are the only ones parsed.
     """
     files = list_files(spark, paths, pattern)
     if columns is None:
@@ -93,7 +159,13 @@ def scan_zip_csv(
         if not names:
             raise FileNotFoundError(f"no archives in {paths}")
         columns = sorted(names)
-    return files.mapInPandas(_zip_rows(columns), _text_schema(columns))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    members = materialise(files.mapInPandas(_members_of, "path string, member string"), "zip-members")
+    dealt = members.repartition(tasks, "path", "member")
+    if members.count() >= tasks:
+        return dealt.mapInPandas(_unpack_and_parse(columns, block_bytes), _text_schema(columns))
+    blocks = dealt.mapInPandas(_unpack(block_bytes), "path string, member string, number int, header binary, records binary")
+    return blocks.repartition(tasks, "path", "member", "number").mapInPandas(_parse(columns), _text_schema(columns))
 
 
 def scan_fire_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
