@@ -35,6 +35,8 @@ from ..session import materialise
 
 #: Components of a stretch (2 MB), anchors of a chunk, and how many of each meet in a cell.
 STRETCH, CHUNK, STRETCHES, CHUNKS = 1 << 18, 64, 16, 64
+#: Components of a cell, at least.
+LEAST_CELL = 1 << 16
 #: Parts that the hits of an anchor are cut in before they come together.
 PARTS = 16
 #: Clusters, the rows their centres are fitted on, and the rounds of the fit.
@@ -274,7 +276,10 @@ def mine(
     anchors = materialise(_clustered(rows.where(F.col("vec_id") % every == 0)), "negative-anchors")
     near = anchors.repartitionByRange(max(1, tasks // 4), "dim", "cluster", "label", F.xxhash64("vec_id")).sortWithinPartitions("dim", "cluster", "label", "vec_id", "v")
     chunks, n_chunks = _numbered(_packed(near, lambda dim: CHUNK), "negative-chunks")
-    lines, columns = max(1, -(-n_stretches // STRETCHES), min(n_stretches, tasks)), max(1, -(-n_chunks // CHUNKS))
+    # cells of small tables are smaller, but not so small that the best of each cell outnumber the candidates it holds
+    held = stretches.agg(F.sum(F.col("n").cast("long") * F.col("dim"))).first()[0] or 0
+    lines = max(1, -(-held // (STRETCH * STRETCHES)), min(n_stretches, tasks, -(-held // LEAST_CELL)))
+    columns = max(1, -(-n_chunks // CHUNKS))
     cells = _dealt(stretches, "line", lines, "column", columns)
 
     def met(members: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:

@@ -32,6 +32,7 @@ def small(monkeypatch):
     monkeypatch.setattr(negatives, "STRETCHES", 3)
     monkeypatch.setattr(negatives, "CHUNKS", 2)
     monkeypatch.setattr(negatives, "CLUSTERS", 4)
+    monkeypatch.setattr(negatives, "LEAST_CELL", 100)
 
 
 @pytest.mark.parametrize("kind", ["spread", "ties", "clusters"])
