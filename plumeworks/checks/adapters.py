@@ -12,6 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import with_scalars
 from ..session import new_path
 
 START, END = "1995-01-01", "2001-12-31"
@@ -278,3 +279,16 @@ def land_json(df: DataFrame, label: str) -> str:
     path = new_path(df.sparkSession, label)
     df.write.json(path)
     return path
+
+
+@_lands
+def land_one_document(df: DataFrame, label: str) -> str:
+    """The features of all collections as one document in one file."""
+    path = new_path(df.sparkSession, label)
+    lines = df.select(F.to_json("features").alias("j")).selectExpr("1 AS part", "substring(j, 2, length(j) - 2) AS value")
+    first = lines.agg(F.min("value").alias("first"))
+    head = F.col("value") == F.col("_s.first")
+    body = with_scalars(lines, first).select(F.when(head, 1).otherwise(2).alias("part"), F.concat(F.when(head, "").otherwise(","), "value").alias("value"))
+    ends = df.sparkSession.createDataFrame([(0, '{"type": "FeatureCollection", "bbox": [1, 2], "features": ['), (3, "]}")], "part int, value string")
+    body.unionByName(ends).coalesce(1).sortWithinPartitions("part", "value").select("value").write.text(path)
+    return path

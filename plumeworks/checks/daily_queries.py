@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,12 +14,13 @@ from ..operators import patterns as P
 from ..operators import spine as S
 from ..operators.ordering import forward_fill
 from ..operators.stats import drop_all_null, exact_medians, moments, zscore
-from ..plans.pipeline import dataset_profile, master_features, model_ready, run_pipeline, scaled
+from ..plans.pipeline import dataset_profile, master_features, model_ready, preview, run_pipeline, scaled
 from ..plans.report import pattern_report
 from ..session import new_path
+from ..sources.tables import SPLITS, read_table, reload_splits, write_json
 from .adapters import END, START, feed
 from .feed_queries import fire_features
-from .registry import OPTIONS, feeds, master_table, query, ready_table
+from .registry import OPTIONS, feeds, kept_folder, master_table, query, ready_table
 from .sql import FEATURES, FIRE, kind
 
 
@@ -139,13 +141,24 @@ def _(spark, sf):
 
 
 @query("drop_allnull_columns", "kept:s", "SELECT kept FROM (SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) AS kept) WHERE kept IN ("
-       "SELECT unnest([" + ", ".join(f"CASE WHEN (SELECT count({c}) FROM master WHERE pm25 IS NOT NULL AND year(date)=1999)>0 THEN '{c}' END" for c in FEATURES) + "]))")
+       "SELECT unnest([" + ", ".join(f"CASE WHEN (SELECT count({c}) FROM master WHERE date IN (SELECT date FROM ready_split WHERE split='train'))>0 THEN '{c}' END" for c in FEATURES) + "]))")
 def _(spark, sf):
-    train = master_table(spark, sf).filter("pm25 IS NOT NULL AND year(date) = 1999")
-    columns = drop_all_null(train, FEATURES)
+    """Over the whole train split, with two more columns that never hold a value there."""
+    days = ready_table(spark, sf).where("split = 'train'").select("date")
+    train = master_table(spark, sf).join(days, "date", "left_semi")
+    train = train.withColumns({"never": F.lit(None).cast("double"), "never_here": F.when(F.col("pm25").isNull(), 1.0)})
+    columns = drop_all_null(train, [*FEATURES, "never", "never_here"])
     return train.sparkSession.createDataFrame([(c,) for c in columns], "kept string")
 
 
+_SITE_MEDIAN = ["u10", "v10"]
+
+
+@query("site_medians", "site_id:i u10:e v10:e", "SELECT site_id, median(u10) AS u10, median(v10) AS v10 FROM fx_site_era5 GROUP BY 1")
+def _(spark, sf):
+    return exact_medians(feed(spark, sf, "fx_site_era5"), _SITE_MEDIAN, keys=("site_id",))
+
+
 # ---- patterns ----
 
 _PATTERN = ("avg(pm25) AS pm25_mean, stddev_samp(pm25) AS pm25_std, max(pm25) AS pm25_max, "
@@ -215,7 +228,7 @@ def _(spark, sf):
 @query("month_year_heatmap", "month:i " + " ".join(f"{y}:e" for y in range(1995, 2002)),
        "SELECT month(date) AS month, " + ", ".join(f'avg(pm25) FILTER (WHERE year(date)={y}) AS "{y}"' for y in range(1995, 2002)) + " FROM pm25_all GROUP BY 1")
 def _(spark, sf):
-    return P.month_year_grid(_pm25(spark, sf), range(1995, 2002))
+    return P.month_year_grid(_pm25(spark, sf))
 
 
 @query("rolling_30d", "date:t pm25:e pm25_mean_30d:e",
@@ -224,6 +237,14 @@ def _(spark, sf):
     return P.rolling_mean(_pm25(spark, sf))
 
 
+@query("rolling_30d_hourly", "site_id:i valid_time:s u10:e u10_mean:e",
+       "SELECT site_id, valid_time, u10, avg(u10) OVER (PARTITION BY site_id ORDER BY CAST(valid_time AS TIMESTAMP) "
+       "RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW) AS u10_mean FROM fx_site_era5")
+def _(spark, sf):
+    hourly = feed(spark, sf, "fx_site_era5").withColumn("at", F.to_timestamp("valid_time", "yyyy-MM-dd HH:mm"))
+    return P.rolling_mean_by_time(hourly, "u10", "at", 30 * 86_400, keys=("site_id",))
+
+
 def _ruled(spark, sf):
     low_visibility = (F.col("wx_visibility_mean_km") < 8).cast("int")
     return ready_table(spark, sf).select("date", "pm25", exceeds(F.col("pm25")).alias("y"), low_visibility.alias("y_pred"))
@@ -374,7 +395,12 @@ _FRAME = ("event_rank:i date:s day_num:i pm25:e wind_speed:e wind_direction:e is
           "color:s wind_color:s fire:s")
 
 
-@query("event_day_frames", f"{_FRAME} event_date:t peak_pm25:e wind_weight:i", "SELECT * FROM frames")
+# texts round half up, as the formatter does
+_NAMED = ("SELECT f.*, printf('Event #%d - PM2.5 Peak: %.1f ug/m3', CAST(f.event_rank AS INTEGER), round(t.pm25, 1)) AS event_name, "
+          "printf('Wind: %.2f m/s from %.0f°', round(f.wind_speed, 2), round(f.wind_direction, 0)) AS wind_popup FROM frames f JOIN top2 t USING (event_rank)")
+
+
+@query("event_day_frames", f"{_FRAME} event_date:t peak_pm25:e wind_weight:i event_name:s wind_popup:s", _NAMED)
 def _(spark, sf):
     return E.day_frames(_windows(spark, sf))
 
@@ -395,12 +421,54 @@ _COLUMNS = {"pm25_daily": ["date", "pm25", "pm25_station_count"], "master_daily"
             "fire_daily": ["date", *FIRE], "weather_daily": ["date", *FEATURES[1:15]], "era5_daily": ["date", *FEATURES[15:25]]}
 
 
+def _written(spark, sf):
+    """The folder of all tables of the pipeline, written once for a state of the source files."""
+    return kept_folder(spark, sf, "tables", lambda to: run_pipeline(feeds(spark, sf), OPTIONS, to))
+
+
 @query("cleaned_report", "dataset:s rows:i columns:i missing_cells:i", " UNION ALL ".join(
     f"(SELECT '{n}' AS dataset, count(*) AS rows, {len(_COLUMNS[n])} AS columns, " + "+".join(f"count(*)-count({c})" for c in _COLUMNS[n]) + f" AS missing_cells FROM {src})"
     for n, src in _CLEAN.items()))
 def _(spark, sf):
-    tables = run_pipeline(feeds(spark, sf), OPTIONS, new_path(spark, "tables"))
-    return dataset_profile({n: tables[n] for n in _CLEAN})
+    root = _written(spark, sf)
+    return dataset_profile({n: read_table(spark, f"{root}/{n}") for n in _CLEAN})
+
+
+@query("sorted_outputs", "dataset:s rows:i out_of_order:i", " UNION ALL ".join(f"(SELECT '{n}' AS dataset, count(*) AS rows, 0 AS out_of_order FROM {src})" for n, src in _CLEAN.items()))
+def _(spark, sf):
+    """Rows of the written tables that stand before an earlier day in their file."""
+    root, out = _written(spark, sf), None
+    for name in _CLEAN:
+        rows = read_table(spark, f"{root}/{name}").select("date", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+        late = rows.withColumn("late", F.lag("date").over(W.partitionBy("file").orderBy("at")) > F.col("date"))
+        part = late.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"), F.count_if("late").alias("out_of_order"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("reload_splits", "split:s rows:i first:t last:t pm25:e", "SELECT split, count(*) AS rows, min(date) AS first, max(date) AS last, sum(pm25) AS pm25 FROM ready_split GROUP BY 1")
+def _(spark, sf):
+    out = None
+    for name, part in zip(SPLITS, reload_splits(spark, _written(spark, sf))):
+        row = part.agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("rows"), F.min("date").alias("first"), F.max("date").alias("last"), F.sum("pm25").alias("pm25"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("preview", "date:t pm25:e", "SELECT date, pm25 FROM pm25_day ORDER BY date LIMIT 5")
+def _(spark, sf):
+    return preview(read_table(spark, f"{_written(spark, sf)}/pm25_daily"))
+
+
+@query("event_frames_file", _FRAME, "SELECT * FROM frames")
+def _(spark, sf):
+    """The frames, written as JSON lines and read again."""
+    frames, path = E.day_frames(_windows(spark, sf)), new_path(spark, "frames")
+    write_json(E.frames_json(frames), path)
+    fields = StructType([frames.schema[f] for f in E.FRAME_FIELDS])
+    packed = spark.read.schema("event_rank long, frames string").json(path)
+    opened = packed.select("event_rank", F.explode(F.from_json("frames", f"array<{fields.simpleString()}>")).alias("f"))
+    return opened.select("event_rank", "f.*")
 
 
 @query("dataset_profile", "dataset:s rows:i columns:i missing_cells:i", " UNION ALL ".join(

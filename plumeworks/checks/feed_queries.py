@@ -11,11 +11,12 @@ from ..functions.calendar import calendar_parts, season_of
 from ..operators import daily as D
 from ..operators import fire as FI
 from ..operators import spine as S
-from ..session import materialise
+from ..session import materialise, new_path
 from ..sources import air_api, documents, feeds as source
+from ..sources.tables import read_table, write_locations
 from .adapters import (
-    feature_docs, feed, land_csv, land_fire_drift, table, land_json, land_weather_drift, land_weather_years, land_zip, location_docs,
-    measurement_docs,
+    feature_docs, feed, land_csv, land_fire_drift, table, land_json, land_one_document, land_weather_drift, land_weather_years, land_zip,
+    location_docs, measurement_docs,
 )
 from .registry import query
 from .sql import FIRE, LAT, LON, angle_diff, bearing, hav, kind, wrap
@@ -65,6 +66,15 @@ def _(spark, sf):
     return raw.select("valid_time", *[coerce.to_number(c).alias(c) for c in ("u10", "t2m")])
 
 
+@query("scan_zip_single", "valid_time:s u10:d t2m:d tasks:b", "SELECT valid_time, u10, t2m, true AS tasks FROM fx_era5")
+def _(spark, sf):
+    """One archive with one member; ``tasks`` tells whether more than one task parsed it."""
+    path = land_zip(feed(spark, sf, "fx_era5").coalesce(1), "era5-single")
+    raw = source.scan_zip_csv(spark, path, columns=["valid_time", "u10", "t2m"], pattern="part-*.csv", block_bytes=1 << 17)
+    rows = materialise(raw.select("valid_time", *[coerce.to_number(c).alias(c) for c in ("u10", "t2m")], F.spark_partition_id().alias("task")), "single-archive")
+    return rows.withColumn("tasks", F.lit(rows.select("task").distinct().count() > 1))
+
+
 @query("load_events", "event_id:i date:t y:i", "SELECT event_id, CAST(date AS DATE) AS date, y FROM fx_scores")
 def _(spark, sf):
     path = land_csv(feed(spark, sf, "fx_scores").select("event_id", "date", "y"), "events")
@@ -79,6 +89,14 @@ def _(spark, sf):
     return documents.scan_geojson(spark, land_json(feature_docs(spark, sf), "features"), multi_line=False)
 
 
+@query("scan_geojson_split", "name:s segment:s geometry_type:s",
+       "SELECT CASE WHEN c_custkey%10<>0 THEN c_name END AS name, CASE WHEN c_custkey%10<>0 THEN c_mktsegment END AS segment, "
+       "CASE WHEN c_custkey%4=0 THEN NULL WHEN c_custkey%2=0 THEN 'Polygon' ELSE 'Point' END AS geometry_type FROM customer")
+def _(spark, sf):
+    """One document that holds every customer, read in ranges of bytes by many tasks."""
+    return documents.scan_geojson(spark, land_one_document(feature_docs(spark, sf), "one-document"), split_bytes=1 << 10, range_bytes=1 << 16)
+
+
 @query("scan_grouped", "acq_date:s acq_time:s date:s frp:d latitude:d location_name:s longitude:d value:s",
        "SELECT acq_date, acq_time, date, frp, latitude, location_name, longitude, value FROM "
        "(SELECT * FROM fx_fire UNION ALL BY NAME SELECT date, CASE WHEN value='n/a' THEN NULL ELSE value END AS value, location_name FROM fx_pm25)")
@@ -101,6 +119,24 @@ def _(spark, sf):
     return _locations(spark, sf).withColumn("n_sensors", F.size("sensors"))
 
 
+@query("locations_files", "fmt:s location_id:i location_name:s latitude:d longitude:d sensors:i",
+       "SELECT f.fmt, location_id, location_name, latitude, longitude, CASE WHEN f.fmt='parquet' THEN n_sensors END AS sensors "
+       "FROM api_locations, (SELECT unnest(['csv','parquet']) AS fmt) f")
+def _(spark, sf):
+    """Locations written flat and whole, and read again."""
+    locations, out = _locations(spark, sf), None
+    for fmt in ("csv", "parquet"):
+        path = new_path(spark, f"locations-{fmt}")
+        write_locations(locations, path, fmt)
+        read = source.scan_csv(spark, path) if fmt == "csv" else read_table(spark, path)
+        typed = read.select(
+            F.lit(fmt).alias("fmt"), F.col("location_id").cast("bigint").alias("location_id"), "location_name", *[F.col(c).cast("double").alias(c) for c in ("latitude", "longitude")],
+            (F.size("sensors") if fmt == "parquet" else F.lit(None)).cast("bigint").alias("sensors"),
+        )
+        out = typed if out is None else out.unionByName(typed)
+    return out
+
+
 _SENSOR = ("location_id:i location_name:s sensor_id:i parameter_id:i parameter_name:s units:s coverage_datetime_from:s "
            "coverage_datetime_to:s")
 
@@ -456,6 +492,12 @@ def _(spark, sf):
     )
 
 
+@query("site_fire_counts", "site_id:i date:t fire_count:i fire_frp_sum:e",
+       f"SELECT site_id, date, count(*) AS fire_count, coalesce(sum(frp),0e0) AS fire_frp_sum FROM ({_SITE_SQL}) GROUP BY 1,2")
+def _(spark, sf):
+    return FI.site_fire_counts(_points(spark, sf), feed(spark, sf, "fx_sites"))
+
+
 @query("site_fire_features", "site_id:i date:t " + _doubles(FIRE),
        "SELECT site_id, date, count(*) AS fire_count, coalesce(sum(frp),0e0) AS fire_frp_sum, avg(frp) AS fire_frp_mean, "
        "min(distance_km) AS fire_nearest_km, avg(distance_km) AS fire_mean_km, coalesce(sum(frp/(distance_km+1e0)),0e0) AS fire_frp_dist_weighted_sum, "

@@ -64,13 +64,17 @@ def _source_key(spark: SparkSession, sf: str, names: tuple[str, ...]) -> str:
     return f"{crc32(repr(sorted(found)).encode()):08x}"
 
 
-def _kept(spark: SparkSession, sf: str, label: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table that many queries start from: made once for a state of its source files, then read from the shared folder."""
+def kept_folder(spark: SparkSession, sf: str, label: str, write: Callable[[str], object]) -> str:
+    """A folder that many queries start from: written once for a state of its source files, then found in the shared folder."""
     settled = crc32(repr((OPTIONS, KEPT_FORMAT)).encode())
     path = os.path.join(shared_dir(spark), "plumeworks-kept", f"{label}-{_source_key(spark, sf, _FEED_NAMES)}-{settled:08x}")
     if not is_there(spark, path):
-        publish(spark, path, lambda to: make().write.parquet(to))
-    return spark.read.parquet(path)
+        publish(spark, path, write)
+    return path
+
+
+def _kept(spark: SparkSession, sf: str, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    return spark.read.parquet(kept_folder(spark, sf, label, lambda to: make().write.parquet(to)))
 
 
 def master_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -405,6 +405,21 @@ def _(spark, sf):
     return rated.withColumn("rule", (F.col("most") <= 1) & (F.col("feature").isin(used) | (F.col("most") == 0)))
 
 
+@query("model_files", "model:s date:t same:b", " UNION ALL ".join(
+    f"SELECT '{f.name}' AS model, date, true AS same FROM ready_split WHERE split='test'" for f in (M.LOGREG, M.BOOST)))
+def _(spark, sf):
+    """A linear and a tree model, saved and loaded: whether each test day is scored as before."""
+    out = None
+    for family in (M.LOGREG, M.BOOST):
+        model, ready = _fitted(spark, sf, family)
+        path, test = new_path(spark, "model"), S.splits(ready)[2]
+        M.save_model(model, path, spark)
+        again = M.load_model(path, spark).score(test).select("date", F.col("prob").alias("again"))
+        part = model.score(test).join(again, "date").select(F.lit(family.name).alias("model"), "date", (F.col("prob") == F.col("again")).alias("same"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("forecast_next_year", "date:t rule:b",
        "SELECT CAST(unnest(generate_series(hi+INTERVAL 1 DAY, hi+INTERVAL 365 DAY, INTERVAL 1 DAY)) AS DATE) AS date, true AS rule FROM (SELECT max(date) AS hi FROM ready_split)")
 def _(spark, sf):

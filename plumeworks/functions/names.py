@@ -34,11 +34,11 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 def first_existing(df: DataFrame, candidates: Iterable[str]) -> str:
     """The first candidate that is a column of ``df``; the order of candidates decides."""
-    rank = {name: place for place, name in reversed(list(enumerate(candidates)))}
-    known = [c for c in df.columns if c in rank]
-    if not known:
-        raise KeyError(f"the table has no column named {' or '.join(sorted(rank, key=rank.get))}: {df.columns}")
-    return min(known, key=rank.__getitem__)
+    candidates = list(candidates)
+    for name in candidates:
+        if name in df.columns:
+            return name
+    raise KeyError(f"the table has no column named {' or '.join(candidates)}: {df.columns}")
 
 
 def require_columns(df: DataFrame, required: Iterable[str], what: str) -> None:

@@ -122,9 +122,29 @@ def rolling_mean(daily: DataFrame, days: int = 30, keys: Sequence[str] = ()) ->
     return daily.withColumn(f"pm25_mean_{days}d", F.avg("pm25").over(w))
 
 
-def month_year_grid(daily: DataFrame, years: Sequence[int], keys: Sequence[str] = ()) -> DataFrame:
-    """Mean by month (rows) and year (columns). Naming the years avoids an extra job."""
+def rolling_mean_by_time(
+    series: DataFrame, value: str, at: str, span_seconds: int, keys: Sequence[str] = (), out: str | None = None, block_spans: int = 4
+) -> DataFrame:
+    """Mean over the ``span_seconds`` up to each row's own moment, for hourly or finer series.
+
+    A key's rows are cut into blocks of ``block_spans`` spans; each block also gets a halo, the rows of the last span
+    before it, so the window of a long series runs in many tasks. A row is sent at most twice.
+    """
+    keys, size = list(keys), span_seconds * block_spans
+    seconds = F.unix_timestamp(at) if dict(series.dtypes)[at] != "bigint" else F.col(at)
+    timed = series.withColumn("_at", seconds).withColumn("_block", F.floor(F.col("_at") / size))
+    reaches = F.col("_at") >= (F.col("_block") + 1) * size - span_seconds
+    sent = timed.withColumn("_to", F.explode(F.when(reaches, F.array("_block", F.col("_block") + 1)).otherwise(F.array("_block"))))
+    window = W.partitionBy(*keys, "_to").orderBy("_at").rangeBetween(-span_seconds, 0)
+    averaged = sent.withColumn(out or f"{value}_mean", F.avg(value).over(window))
+    return averaged.where(F.col("_to") == F.col("_block")).drop("_at", "_block", "_to")
+
+
+def month_year_grid(daily: DataFrame, years: Sequence[int] | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Mean by month (rows) and year (columns). One small job finds the years; ``years`` picks some of them."""
     parts = daily.select(*keys, "pm25", F.month("date").alias("month"), F.year("date").alias("_year"))
+    if years is None:
+        years = [r[0] for r in parts.select("_year").where(F.col("_year").isNotNull()).distinct().orderBy("_year").collect()]
     return parts.groupBy(*keys, "month").pivot("_year", [int(y) for y in years]).agg(F.avg("pm25"))
 
 

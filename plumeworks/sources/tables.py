@@ -42,12 +42,6 @@ def write_table(
         writer.format(fmt).save(path)
 
 
-def write_outputs(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", keys: tuple[str, ...] = ()) -> None:
-    """Write each named table below ``root``."""
-    for name, df in tables.items():
-        write_table(counts_to_double(df, keep=keys), os.path.join(root, name), fmt)
-
-
 def write_locations(locations: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Locations without the sensor array when the format is flat."""
     write_table(locations.drop("sensors") if fmt == "csv" else locations, path, fmt)
