@@ -83,26 +83,59 @@ def learn_lexicon(sample: DataFrame, share: float = 0.01, most: int = 3000) -> d
     return {g: odds[g] for g in strong[:most]}
 
 
+#: The numbers of a word in lower case that nothing is known about, and of one in the second person.
+PLAIN = (0.0,) * 14
+YOU = (*PLAIN[:6], 1.0, *PLAIN[7:])
+
+
 @dataclass
 class Reader:
-    """Turns texts into feature rows. What depends on a token alone is worked out once per distinct token."""
+    """Turns texts into feature rows. What depends on a token alone is worked out once per distinct token.
+
+    Most tokens share one of a few rows of numbers, so the table holds distinct rows and a token only points to one. Tokens are
+    kept in two generations of ``room`` each: a full one becomes the old one, and tokens met again move on from there.
+    """
 
     lexicon: dict[str, float]
     room: int = 60_000
 
     def __post_init__(self) -> None:
-        self._reset()
-
-    def _reset(self) -> None:
+        # a beginning of the lexicon can only match a word that shares its first letters
+        self.starts = {g[: BEGINNINGS[0]] for g in self.lexicon if not g.startswith("=")}
         self.ids: dict[str, int] = {}
-        self.table = np.zeros((1 << 12, 14))
+        self.old: dict[str, int] = {}
+        self.rows: dict[tuple[float, ...], int] = {}
+        self.table = np.zeros((1 << 8, 14))
+
+    def _row_of(self, token: str) -> int:
+        """The place of a token's numbers in the table."""
+        at = self.old.get(token)
+        if at is None:
+            row = self._token(token)
+            at = self.rows.get(row)
+            if at is None:
+                at = self.rows[row] = len(self.rows)
+                if at >= len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.table[at] = row
+        self.ids[token] = at
+        return at
+
+    def _next_generation(self) -> None:
+        self.old, self.ids = self.ids, {}
+        if len(self.rows) > self.room:
+            self.old, self.rows, self.table = {}, {}, np.zeros((1 << 8, 14))
 
     def _token(self, token: str) -> tuple[float, ...]:
-        names = grams(token)
-        odds = [self.lexicon.get(g, 0.0) for g in names]
-        whole, best = (odds[0] if odds else 0.0), max(odds, default=0.0)
-        word = names[0][1:] if names else ""
+        word = token.strip(PUNCTUATION).lower()
+        whole = best = self.lexicon.get(f"={word}", 0.0) if word else 0.0
+        odds = [whole]
+        if len(word) > BEGINNINGS[0]:
+            odds = [whole, *(self.lexicon.get(word[:k], 0.0) for k in BEGINNINGS if len(word) > k)] if word[: BEGINNINGS[0]] in self.starts else [whole, 0.0]
+            best = max(odds)
         abuse = word in ABUSE
+        if best == whole == 0.0 and not abuse and token.isalpha() and token.islower():
+            return YOU if word in SECOND_PERSON else PLAIN
         common = (float(best > 2.5), float(1.0 < best <= 2.5), best, float(max(odds[1:], default=0.0) > max(2.0, whole)), float(abuse))
         capitals = 0 if token.islower() else sum(map(str.isupper, token))
         if token.isalpha():
@@ -121,19 +154,12 @@ class Reader:
         if not n:
             return [0.0] * len(FEATURES)
         if len(self.ids) > self.room:
-            self._reset()
-        ids, rows = self.ids, []
-        known = len(ids)
-        for t in tokens:
-            if t not in ids:
-                ids[t] = len(ids)
-                rows.append(self._token(t))
-        at = np.array([ids[t] for t in tokens])
-        if rows:
-            while len(self.table) < len(ids):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[known : len(ids)] = rows
-        own = self.table[at]
+            self._next_generation()
+        known = self.ids.get
+        places = [known(t, -1) for t in tokens]
+        if -1 in places:
+            places = [self.ids[t] if t in self.ids else self._row_of(t) for t in tokens]
+        own = self.table[places]
         sums = own.sum(0)
         hit = own[:, 0] + own[:, 4] + own[:, 5] > 0
         near = 0
