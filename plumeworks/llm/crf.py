@@ -27,8 +27,11 @@ class Crf:
     first: np.ndarray  # score of a label at the first position
 
     def emissions(self, rows: np.ndarray) -> np.ndarray:
-        """Positions x features (rows of the table) -> positions x labels."""
-        return self.weights[rows].sum(axis=-2)
+        """Positions x features (rows of the table) -> positions x labels, added up feature by feature to hold no more than that."""
+        out = np.zeros((*rows.shape[:-1], len(self.labels)))
+        for k in range(rows.shape[-1]):
+            out += self.weights[rows[..., k]]
+        return out
 
     def reach(self, margins: np.ndarray, outside: int, most: int = 12) -> int | None:
         """How many quiet positions in a row always hold one that is outside on the best path; None if unproved.
@@ -86,7 +89,13 @@ def _viterbi(crf: Crf, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def decode(crf: Crf, sequences: list[np.ndarray], cells: int = 1 << 18) -> list[np.ndarray]:
-    """The best label of every position. Sequences go in batches of similar length, ``cells`` padded positions each."""
+    """The best label of every position of feature rows."""
+    return decode_scores(crf, [crf.emissions(s) for s in sequences], cells)
+
+
+def decode_scores(crf: Crf, sequences: list[np.ndarray], cells: int = 1 << 16) -> list[np.ndarray]:
+    """The best label of every position of label scores. Sequences go in batches of similar length, ``cells`` padded positions
+    each; a longer one goes alone."""
     out: list[np.ndarray] = [np.zeros(0, dtype=np.int16)] * len(sequences)
     order = sorted((i for i in range(len(sequences)) if len(sequences[i])), key=lambda i: len(sequences[i]))
     at = 0
@@ -95,7 +104,7 @@ def decode(crf: Crf, sequences: list[np.ndarray], cells: int = 1 << 18) -> list[
         while end < len(order) and (end + 1 - at) * len(sequences[order[end]]) <= cells:
             end += 1
         rows, lengths = pad([sequences[i] for i in order[at:end]])
-        for i, path, size in zip(order[at:end], _viterbi(crf, crf.emissions(rows), lengths), lengths):
+        for i, path, size in zip(order[at:end], _viterbi(crf, rows, lengths), lengths):
             out[i] = path[:size]
         at = end
     return out

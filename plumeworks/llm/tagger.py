@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 
-from .crf import Crf, decode, feature_rows, train
+from .crf import Crf, decode_scores, feature_rows, train
 
 TOKEN = re.compile(r"\S+")
 EDGES = ".,;:!?\"'()[]{}<>|"
@@ -27,6 +27,8 @@ PLAIN_FORMS = ["a", "abcd", "abcdefgh", "abcdefghijkl", "abcdefghijklmnopqrst",
 
 def shape(token: str) -> str:
     """Letters become A or a, digits 0, the rest stays; repeats are folded; at most 12 characters."""
+    if token.isalpha() and token.islower():
+        return "a"
     out = []
     for c in token[:64]:
         s = "0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
@@ -56,12 +58,65 @@ def rows_for(tokens: list[str], own: Features, near: Features, page: list[str],
     return np.array(out, dtype=np.int32)
 
 
+class TokenScores:
+    """What a token adds to the label scores: at its own place, and at the places it neighbours.
+
+    Scores are sums over features, so these parts are worked out once for each distinct set of features, of which there are few, and
+    added up by place. Sets of features are looked up by token; at most ``room`` tokens and sets are kept.
+    """
+
+    def __init__(self, crf: Crf, own: Features, near: Features, room: int = 40_000):
+        self.crf, self.own, self.near, self.room = crf, own, near, room
+        self._clear()
+
+    def _clear(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.sets: dict[tuple, int] = {}
+        self.table = np.zeros((1 << 8, 1 + len(NEIGHBOURS), len(self.crf.labels)))
+        self._row((tuple(self.own("a")), ("^",) * len(self.near("a"))))  # row 0: beyond the ends of a text
+
+    def _row(self, features: tuple[tuple[str, ...], tuple[str, ...]]) -> int:
+        at = self.sets.get(features)
+        if at is None:
+            at = self.sets[features] = len(self.sets)
+            if at >= len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            own, near = features
+            groups = [[f"w{k}={v}" for k, v in enumerate(own)], *[[f"{d}.{k}={v}" for k, v in enumerate(near)] for d in NEIGHBOURS]]
+            for part, names in enumerate(groups):
+                self.table[at, part] = self.crf.weights[feature_rows(names)].sum(0)
+        return at
+
+    def _add(self, token: str) -> int:
+        at = self.ids[token] = self._row((tuple(self.own(token)), tuple(self.near(token))))
+        return at
+
+    def scores(self, tokens: list[str], page: list[str], low: int, high: int) -> np.ndarray:
+        """Label scores of the tokens low to high."""
+        if len(self.sets) > self.room:
+            self._clear()
+        elif len(self.ids) > self.room:
+            self.ids = {}
+        first = max(0, low - 2)
+        at = np.zeros(high - low + 3, dtype=np.int64)  # places low - 2 to high; 0 stands for what lies beyond an end
+        for i in range(first, min(len(tokens), high + 1)):
+            token = tokens[i]
+            known = self.ids.get(token)
+            at[i - low + 2] = self._add(token) if known is None else known
+        size = high - low
+        out = self.table[at[2 : 2 + size], 0]
+        for part, d in enumerate(NEIGHBOURS, start=1):
+            out = out + self.table[at[2 + d : 2 + d + size], part]
+        return out + self.crf.weights[feature_rows(page)].sum(0) if page else out
+
+
 class Tagger:
     """A trained model with its features and the rule for plain words."""
 
     def __init__(self, crf: Crf, own: Features, near: Features, is_plain: Callable[[str], bool], pages: list[list[str]]):
         self.crf, self.own, self.near, self.is_plain = crf, own, near, is_plain
         self.reach = crf.reach(margins(crf, own, near, pages), crf.labels.index("O"))
+        self.parts = TokenScores(crf, own, near)
 
     def windows(self, tokens: list[str]) -> list[tuple[int, int]]:
         """Ranges of tokens to decode: unusual ones with enough plain words on both sides."""
@@ -69,8 +124,11 @@ class Tagger:
             return [(0, len(tokens))] if tokens else []
         wide = 2 + 2 * self.reach
         runs: list[list[int]] = []
+        unusual = {t for t in set(tokens) if not self.is_plain(t)}
+        if not unusual:
+            return []
         for i, token in enumerate(tokens):
-            if self.is_plain(token):
+            if token not in unusual:
                 continue
             low, high = max(0, i - wide), min(len(tokens), i + wide + 1)
             if runs and low <= runs[-1][1]:
@@ -84,13 +142,14 @@ class Tagger:
         texts = list(texts)
         jobs, sequences = [], []
         for d, (text, page) in enumerate(texts):
-            at = [m.span() for m in TOKEN.finditer(text)]
-            tokens = [text[s:e] for s, e in at]
-            for low, high in self.windows(tokens):
+            tokens = text.split()
+            windows = self.windows(tokens)
+            at = [m.span() for m in TOKEN.finditer(text)] if windows else []
+            for low, high in windows:
                 jobs.append((d, at[low:high]))
-                sequences.append(rows_for(tokens, self.own, self.near, page, low, high))
+                sequences.append(self.parts.scores(tokens, page, low, high))
         out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-        for (d, run), path in zip(jobs, decode(self.crf, sequences)):
+        for (d, run), path in zip(jobs, decode_scores(self.crf, sequences)):
             out[d] += _join(texts[d][0], run, [self.crf.labels[k] for k in path])
         return out
 

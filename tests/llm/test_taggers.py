@@ -197,3 +197,36 @@ def test_redaction_keeps_rows_and_columns(spark, secret_model):
     assert out.columns == docs.columns and out.dtypes == docs.dtypes
     assert sorted((r[0], r[1], r[2], r[3]) for r in out.collect() if r[1] is not None) == [(1, "a <assign> b", 12, "k"), (3, "", 0, "m")]
     assert [(r[0], r[2]) for r in out.collect() if r[1] is None] == [(2, 7), (2, 7)]
+
+
+def test_token_scores_are_sums_of_features():
+    """The kept parts add up to the scores of the feature rows, whatever is thrown away in between."""
+    from plumeworks.llm import pii, secret_scan
+
+    rng = random.Random(12)
+    words = ["the", "Paris", "a@b.org", "(at)", "[dot]", "12", "+33", "x***", "don't", "", "ÉTÉ", "key:", "sk_live_abc123", "1.2.3.4", "é" * 30, "٣٤"]
+    for module in (pii, secret_scan):
+        model = module.tagger()
+        model.parts.room = 3
+        for _ in range(40):
+            tokens = [w for w in rng.choices(words, k=rng.randint(1, 12)) if w]
+            low = rng.randint(0, len(tokens))
+            high = rng.randint(low, len(tokens))
+            if low < high:
+                want = model.crf.emissions(rows_for(tokens, model.own, model.near, [], low, high))
+                assert np.allclose(model.parts.scores(tokens, [], low, high), want, atol=1e-9)
+
+
+def test_a_long_text_of_unusual_tokens():
+    """Every token is decoded; memory grows with labels x tokens only."""
+    import tracemalloc
+
+    from plumeworks.llm import pii
+
+    model = pii.tagger()
+    text = " ".join(f"x{i}***" for i in range(60_000)) + " mail ann.example@example.org now"
+    tracemalloc.start()
+    ((base, full),) = pii.all_spans([text], model)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [k for k, _, _ in base] == ["email"] and len(full) >= 1 and most < 150e6
