@@ -361,7 +361,7 @@ def _shared_anchors(units: DataFrame, parts: int) -> DataFrame:
                 lists = [np.unique(h[x:y]).tobytes() for x, y in zip(starts, np.append(starts[1:], len(h)))]
                 yield pa.RecordBatch.from_arrays([pa.array(a[starts]), pa.array(b[starts]), pa.array(np.full(len(starts), p, dtype=np.int32)), pa.array(lists, pa.binary())], ["k1", "k2", "part", "hashes"])
 
-    dealt = units.select("k1", "k2", "text").mapInArrow(emit, "part int, data binary").repartition(parts, "part")
+    dealt = units.select("k1", "k2", "text").mapInArrow(emit, "part int, data binary").repartitionById(parts, "part")
     rows = dealt.mapInArrow(shared, "k1 long, k2 long, part int, hashes binary")
     return rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("part", "hashes")).alias("found"))
 
@@ -450,7 +450,7 @@ def _sorted_ranges(dealt: DataFrame, parts: int) -> DataFrame:
                 starts = np.concatenate([_expand(small.start[gone], small.count[gone]), rest.start[owner] + step])
                 yield from _range_rows(k1, k2, parts, *_ranges(units, starts))
 
-    return dealt.repartition(parts, "part").mapInArrow(sort, _ROW_SCHEMA).select("k1", "k2", "data")
+    return dealt.repartitionById(parts, "part").mapInArrow(sort, _ROW_SCHEMA).select("k1", "k2", "data")
 
 
 def _cut(units: DataFrame) -> DataFrame:
