@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumeworks.llm import contain, jaccard, packing, secret_scan, toxicity
+from plumeworks.operators.joins import counted_within, lookup_join
 from plumeworks.session import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,8 +26,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, label: str) -> DataFrame:
-    """key, row: a number for each row, so that rows with null or repeated ids are judged by their own text."""
-    return materialise(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*docs.columns).alias("row")), label)
+    """key, row: a number for each row, so that rows with null or repeated ids are judged by their own text.
+
+    Rows of a written table are numbered by their file and their place in it, which are the same whenever they are read; rows of
+    anything else are written first.
+    """
+    row = F.struct(*docs.columns).alias("row")
+    try:
+        placed = docs.select(row, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    except AnalysisException:
+        return materialise(docs.select(F.monotonically_increasing_id().alias("key"), row), label)
+    if "_metadata" in docs.columns:
+        return materialise(docs.select(F.monotonically_increasing_id().alias("key"), row), label)
+    sizes = placed.groupBy("file").agg(F.max("at").alias("last"))  # a row for each file
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    begins = materialise(sizes.select("file", F.coalesce(F.sum(F.col("last") + 1).over(before), F.lit(0)).alias("begin")), label)
+    files = lookup_join(placed, begins, ["file"], "inner", max_lookup_rows=0 if counted_within(begins) else None, salt_on=["at"])
+    return files.select((F.col("begin") + F.col("at")).alias("key"), "row")
 
 
 def _texts(keyed: DataFrame) -> DataFrame:
@@ -69,8 +86,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: Trees and taggers can't be said in SQL. The tests hold the near-duplicate and decontamination stages against brute force;
-#: the toxicity, secret and packing stages only through their modules' tests, and ``run`` not at all.
+#: Trees and taggers can't be said in SQL. The tests hold each stage, and ``run``, against its module or brute force.
 ORACLE_SQL: str | None = None
 
 

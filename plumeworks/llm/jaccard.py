@@ -178,7 +178,7 @@ def _rare_lists(sketch: DataFrame) -> DataFrame:
                 )
 
     packed = sketch.where("size(rare) > 0").select("doc_id", "n", "rare").mapInArrow(pack, "part int, data binary")
-    return packed.repartition(parts, "part").mapInArrow(repeated, "token long, doc_id long, n long, pos long")
+    return packed.repartitionById(parts, "part").mapInArrow(repeated, "token long, doc_id long, n long, pos long")
 
 
 def _common_lists(sketch: DataFrame) -> DataFrame:
@@ -289,14 +289,20 @@ def link(documents: DataFrame, percent: int = PERCENT, room: int = 1_000_000) ->
     # an id with several texts: every text's set must be found by the id, so each is compared
     tried = materialise(_leader_pairs(lists, percent), "leader-pairs")
     links = materialise(_verify(tried, known, percent), "leader-links")
-    own = members.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     twice = members.groupBy("doc_id").agg(F.count("*").alias("k"), F.min("rep").alias("v"), F.max("rep").alias("u")).where("k > 1").select("u", "v")
-    found = links.unionByName(twice)
-    rest = materialise(_block_pairs(_labelled(lists, components(found)), percent).join(tried, ["u", "v"], "left_anti"), "block-pairs")
-    if not rest.isEmpty():
-        found = found.unionByName(materialise(_verify(rest, known, percent), "block-links"))
-    labels = components(found.unionByName(own))
-    rows = sketch.select("doc_id", F.col("n").alias("n_shingles")).join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    labels = components(links.unionByName(twice))
+    rest = materialise(_block_pairs(_labelled(lists, labels), percent).join(tried, ["u", "v"], "left_anti"), "block-pairs")
+    more = None if rest.isEmpty() else materialise(_verify(rest, known, percent), "block-links")
+    if more is not None and not more.isEmpty():
+        # the links that are left join whole components
+        ends = _labelled(more.select(F.col("u").alias("rep"), "v"), labels).select(F.col("component").alias("u"), F.col("v").alias("rep"))
+        joined = components(_labelled(ends, labels).select("u", F.col("component").alias("v")))
+        top = joined.select(F.col("node").alias("component"), F.col("component").alias("top"))
+        again = top.select(F.col("component").alias("node"), F.col("top").alias("component"))
+        labels = labels.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component")).unionByName(again.join(labels, "node", "left_anti"))
+    # copies follow their class, named by its smallest id; so only classes are nodes of the links
+    named = _labelled(members, labels).groupBy("doc_id").agg(F.min("component").alias("component"))
+    rows = sketch.select("doc_id", F.col("n").alias("n_shingles")).join(named, "doc_id", "left")
     lone = texts.where("doc_id IS NULL")
     # a row without an id still has its set counted
     blank = sketches(lone, (np.zeros(0, np.uint64), np.zeros(0, np.int64)), percent).select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component"))

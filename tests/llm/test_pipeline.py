@@ -2,7 +2,11 @@
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
+from plumeworks.llm import secret_scan, toxicity
 from plumeworks.llm.contain import shingles
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -29,13 +33,23 @@ def groups(rows):
     return group
 
 
-def test_near_duplicates_by_row(spark):
+def table(spark, rows, written, path):
+    """The rows as they are, or read from files of a few rows each, as the stages get them."""
+    df = spark.createDataFrame(rows, SCHEMA)
+    if not written:
+        return df
+    df.repartition(4).write.parquet(f"{path}/docs")
+    return spark.read.parquet(f"{path}/docs")
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_near_duplicates_by_row(spark, written, tmp_path):
     x, y, z = (" ".join(words(k)) for k in (1, 2, 3))
     rows = [
         (7, x, "a"), (7, y, "b"), (8, near(1, 0), "c"), (9, near(2, 39), "d"), (3, z, "e"), (3, z, "f"), (None, near(3, 0), "g"),
         (None, " ".join(words(4)), "h"), (None, near(4, 0), "i"), (5, "", "j"), (5, "", "k"), (5, None, "l"), (6, "", "m"), (None, "", "n"), (None, "", "o"),
     ]
-    got = cp.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    got = cp.drop_near_duplicates(spark, table(spark, rows, written, tmp_path), "").collect()
     best = {}
     for g, (i, t, _) in zip(groups(rows), rows):
         key = (i, t) if not t and i is not None else g
@@ -45,10 +59,66 @@ def test_near_duplicates_by_row(spark):
     assert x in texts and y in texts and texts.count(z) == 1 and [r.asDict().keys() for r in got][0] == {"doc_id", "text", "lang"}
 
 
-def test_leaks_by_row(spark, tmp_path):
+@pytest.mark.parametrize("written", [False, True])
+def test_leaks_by_row(spark, tmp_path, written):
     item = " ".join(words(5))
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     rows = [(1, f"so {item} it is", "a"), (1, "clean words of the same id are here", "b"), (None, f"and {item}", "c"), (None, "clean words without any id", "d"), (2, None, "e")]
-    got = cp.drop_benchmark_leaks(spark, spark.createDataFrame(rows, SCHEMA), str(tmp_path))
+    got = cp.drop_benchmark_leaks(spark, table(spark, rows, written, tmp_path), str(tmp_path))
     want = [r for r in rows if not shingles(item) & shingles(r[1] or "")]
     assert sorted(r["lang"] for r in got.collect()) == [r[2] for r in want] == ["b", "d", "e"]
+
+
+def test_rows_of_files_are_numbered_once_and_alike(spark, tmp_path):
+    rows = [(i % 5 or None, f"text {i}", "x") for i in range(50)]
+    docs = table(spark, rows, True, tmp_path)
+    one, two = (sorted((r["key"], r["row"]["text"]) for r in cp._keyed(d, "rows").collect()) for d in (docs, spark.read.option("mergeSchema", True).parquet(f"{tmp_path}/docs")))
+    assert one == two and [k for k, _ in one] == list(range(50))
+    assert cp._keyed(docs.withColumn("_metadata", F.lit(1)), "rows").select("key").distinct().count() == 50
+
+
+def test_all_stages(spark, sf, tmp_path):
+    """``run`` is the stages one after the other; what each keeps is held against its own module or against plain Python."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    kept = docs
+    names = [n for n, _ in cp.STAGES]
+    assert names == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
+    for name, stage in cp.STAGES:
+        before = {r["doc_id"]: r for r in kept.collect()}
+        out = stage(spark, kept, sf)
+        if name == "packing":
+            rows = out.collect()
+            break
+        out.write.parquet(f"{tmp_path}/{name}")
+        kept = spark.read.parquet(f"{tmp_path}/{name}")
+        assert kept.columns == docs.columns
+        after = {r["doc_id"]: r for r in kept.collect()}
+        if name == "toxicity":
+            predicted = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, labels).collect()}
+            assert set(after) == {i for i, p in predicted.items() if p == 0}
+        elif name == "near_duplicates":
+            rows_before = [(i, r["text"], "") for i, r in sorted(before.items())]
+            best = {}
+            for g, (i, t, _) in zip(groups(rows_before), rows_before):
+                best.setdefault(g if t else ("blank", i), i)
+            assert set(after) == set(best.values())
+        elif name == "decontamination":
+            items = [shingles(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+            leaks = {i for i, r in before.items() if any(4 * len(s & shingles(r["text"] or "")) >= 3 * len(s) for s in items)}
+            assert set(after) == set(before) - leaks
+        else:
+            model = secret_scan.tagger()
+            for i, r in after.items():
+                ((_, spans),) = secret_scan.all_spans([before[i]["text"]], model)
+                assert r["text"] == secret_scan.redact(before[i]["text"], spans) and r["n_chars"] == len(r["text"])
+        if name != "toxicity":
+            assert all(after[i]["lang"] == before[i]["lang"] for i in after)
+    lengths = {r["doc_id"]: len([w for w in (r["text"] or "").split()]) for r in kept.collect()}
+    packed = {}
+    for r in rows:
+        packed[r["doc_id"]] = packed.get(r["doc_id"], 0) + r["n_tokens"]
+        assert r["bin_start"] + r["n_tokens"] <= r["bin_size"]
+    assert set(packed) == set(lengths) and all(packed[i] == n for i, n in lengths.items())
+    columns = sorted(rows[0].asDict())
+    assert sorted(map(tuple, cp.run(spark, sf).select(*columns).collect())) == sorted(tuple(r[c] for c in columns) for r in rows)
