@@ -1,4 +1,4 @@
-"""Event models: tuning, scoring, permutation importance, forecast. Logistic regression is Spark ML's; trees are of ``trees``.
+"""Event models: tuning, scoring, permutation importance, forecast. The fits are those of ``linear`` and ``trees``.
 
 Class probability is always read from the model's probability vector and cut
 explicitly, so every model family shares one rule.
@@ -16,10 +16,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Transformer
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ from ..operators.scoring import METRICS, class_weights, classification_metrics,
 from ..operators.spine import future_spine
 from ..operators.stats import drop_all_null, exact_medians, moments
 from ..sources.tables import is_there, publish
-from . import trees
+from . import linear, trees
 
 SEED = 42
 
@@ -78,7 +78,7 @@ class EventModel:
     fill: dict[str, float]
     centre: dict[str, float]
     spread: dict[str, float]
-    model: Transformer | trees.Ensemble
+    model: linear.LinearModel | trees.Ensemble
     params: dict
     threshold: float = PM25_THRESHOLD
     val_f1: float | None = None
@@ -101,12 +101,8 @@ class EventModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """``df`` plus ``prob`` (class 1) and ``y_pred``."""
-        values = F.array(*self.prepare(df))
-        if isinstance(self.model, trees.Ensemble):
-            scored = df.withColumn("prob", self.model.probability(values))
-        else:
-            scored = self.model.transform(df.withColumn("_features", array_to_vector(values)))
-            scored = scored.withColumn("prob", vector_to_array("probability")[1])
+        values = self.prepare(df)
+        scored = df.withColumn("prob", self.model.probability(F.array(*values) if isinstance(self.model, trees.Ensemble) else values))
         return scored.withColumn("y_pred", predicted_label(F.col("prob"))).select(*df.columns, "prob", "y_pred")
 
 
@@ -115,10 +111,10 @@ def _one_row(df: DataFrame) -> dict[str, float]:
     return df.first().asDict()
 
 
-#: Training rows of a partition of a logistic fit, which passes over the rows thousands of times.
+#: Training rows of a partition of a logistic fit, which passes over the rows about ten times.
 FIT_ROWS = 20_000
 #: Changes with what a kept fit holds or how it is made.
-FORMAT = "f4"
+FORMAT = "f5"
 
 
 def _filled(train: DataFrame, features: list[str], fill: dict, threshold: float) -> DataFrame:
@@ -128,26 +124,21 @@ def _filled(train: DataFrame, features: list[str], fill: dict, threshold: float)
     )
 
 
-def _logistic(params: dict, filled: DataFrame, features: list[str], threshold: float, fill: dict) -> EventModel:
+def _logistic(grid: Sequence[dict], filled: DataFrame, features: list[str], threshold: float, fill: dict) -> list[EventModel]:
     m = _one_row(moments(filled, features))
     centre = {c: m[f"mean_{c}"] for c in features}
     spread = {c: m[f"std_{c}"] or 1.0 for c in features}
-    shell = EventModel(LOGREG.name, features, fill, centre, spread, None, params, threshold, version=LOGREG.version)
-    weights = {r["label"]: (r["rows"], r["weight"]) for r in class_weights(filled, "label").collect()}
-    rows = sum(n for n, _ in weights.values())
+    shells = [EventModel(LOGREG.name, features, fill, centre, spread, None, p, threshold, version=LOGREG.version) for p in grid]
     weight = F.lit(1.0)
-    for label, (_, w) in weights.items():
-        weight = F.when(F.col("label") == label, w).otherwise(weight)
-    vector = F.array(*shell.prepare(filled))
-    data = filled.select(array_to_vector(vector).alias("_features"), F.col("label").cast("double"), weight.alias("_w"))
+    balanced = class_weights(filled, "label").collect()
+    for r in balanced if len(balanced) == 2 else []:
+        weight = F.when(F.col("label") == r["label"], r["weight"]).otherwise(weight)
+    data = filled.select(F.array(*shells[0].prepare(filled)).alias("features"), "label", weight.alias("weight"))
+    rows = sum(r["rows"] for r in balanced)
     data = data.coalesce(1) if rows <= FIT_ROWS else data.repartition(-(-rows // FIT_ROWS))
-    # the intercept is free: Spark has no penalty for it and gives constant columns no weight
-    estimator = LogisticRegression(
-        featuresCol="_features", labelCol="label", weightCol="_w", regParam=1.0 / (params["C"] * rows), elasticNetParam=0.0,
-        maxIter=3000, tol=1e-9, fitIntercept=True, standardization=False,
-    )
-    shell.model = estimator.fit(data)
-    return shell
+    for shell, model in zip(shells, linear.fit_logistic(data, len(features), [1.0 / p["C"] for p in grid])):
+        shell.model = model
+    return shells
 
 
 def fit_estimators(
@@ -156,8 +147,7 @@ def fit_estimators(
     """Fit grid rows in full; trees of all rows grow side by side. ``journal``: a folder for boosting rounds that are done."""
     filled = _filled(train, features, fill, threshold)
     if family.scale:
-        with ThreadPoolExecutor(4) as pool:
-            return list(pool.map(lambda p: _logistic(p, filled, features, threshold, fill), grid))
+        return _logistic(grid, filled, features, threshold, fill)
     kind = "forest" if family.weighted else "boost"
     fitted = trees.fit_ensembles(kind, grid, filled, features, F.col("label"), F.xxhash64(*filled.columns), SEED, journal=journal)
     return [EventModel(family.name, features, fill, {}, {}, m, p, threshold, version=family.version) for p, m in zip(grid, fitted)]
@@ -196,7 +186,7 @@ def fit_grid(
             fitted[i] = model
             publish(spark, paths[i], lambda path, m=model: save_model(m, path, spark))
 
-    if missing and family.name == BOOST.name and train.count() > trees.LOCAL_ROWS:
+    if missing and (family.scale or family.name == BOOST.name and train.count() > trees.LOCAL_ROWS):
         fit(missing)
     else:
         with ThreadPoolExecutor(4) as pool:
@@ -323,11 +313,12 @@ def metrics_row(model: EventModel, test: DataFrame) -> DataFrame:
 
 
 def save_model(model: EventModel, path: str, spark: SparkSession) -> None:
-    """The fitted stage as a Spark ML pipeline, or the trees as rows, and one metadata row."""
+    """Coefficients or trees as rows, and one metadata row."""
     if isinstance(model.model, trees.Ensemble):
         spark.createDataFrame(model.model.rows(), "number int, tree string").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
     else:
-        PipelineModel([model.model]).write().overwrite().save(f"{path}/model")
+        rows = [(model.model.coefficients.toArray().tolist(), model.model.intercept)]
+        spark.createDataFrame(rows, "coefficients array<double>, intercept double").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
     row = (
         model.family, model.features, model.fill, model.centre, model.spread, json.dumps(model.params),
         model.threshold, model.val_f1, model.version, model.trained_at,
@@ -341,10 +332,11 @@ def save_model(model: EventModel, path: str, spark: SparkSession) -> None:
 
 def load_model(path: str, spark: SparkSession) -> EventModel:
     m = spark.read.parquet(f"{path}/meta").first()
+    kept = spark.read.parquet(f"{path}/model").collect()  # a line for each tree, or one
     if m["family"] in (FOREST.name, BOOST.name):
-        stage = trees.Ensemble.from_rows([tuple(r) for r in spark.read.parquet(f"{path}/model").collect()])
+        stage = trees.Ensemble.from_rows([tuple(r) for r in kept])
     else:
-        stage = PipelineModel.load(f"{path}/model").stages[0]
+        stage = linear.LinearModel(DenseVector(kept[0]["coefficients"]), kept[0]["intercept"])
     return EventModel(
         m["family"], list(m["features"]), dict(m["fill"]), dict(m["centre"]), dict(m["spread"]), stage, json.loads(m["params"]),
         m["threshold"], m["val_f1"], m["version"], m["trained_at"],

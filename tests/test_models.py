@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from plumeworks.checks import score_queries as Q
 from plumeworks.operators import spine as S
 from plumeworks.operators.stats import exact_medians
+from plumeworks.plans import linear
 from plumeworks.plans import modelling as M
 
 
@@ -153,3 +154,18 @@ def test_kept_boosted_model_fills_with_train_medians(spark, sf, ready, monkeypat
     model, _ = Q._fitted(spark, sf, family)
     train, val, _ = S.splits(ready)
     assert model.fill == exact_medians(train, model.features).first().asDict() != exact_medians(train.unionByName(val), model.features).first().asDict()
+
+
+def test_logistic_over_many_tasks_and_nearly_separable_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3))
+    x[:, 2] = 0.0  # a constant column gets no weight
+    y = (x[:, 0] > 0).astype(int)
+    df = spark.createDataFrame([([float(v) for v in row], int(t), 1.0 + i % 2) for i, (row, t) in enumerate(zip(x, y))], "features array<double>, label int, weight double")
+    one, many = (linear.fit_logistic(d, 3, [1e-4, 10.0]) for d in (df.coalesce(1), df.repartition(5)))
+    for a, b, penalty in zip(one, many, (1e-4, 10.0)):
+        assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray(), rel=1e-6, abs=1e-9) and a.coefficients[2] == 0.0
+        p = 1 / (1 + np.exp(-(x @ a.coefficients.toArray() + a.intercept)))
+        w = 1.0 + np.arange(300) % 2
+        slope = np.r_[x.T @ (w * (p - y)) + penalty * a.coefficients.toArray(), (w * (p - y)).sum()]
+        assert np.abs(slope).max() < 1e-6
