@@ -429,6 +429,18 @@ def _(spark, sf):
     return out.select("date", (flag & F.col("smoke_prob").between(0, 1) & F.col("pred_pm25").isNotNull()).alias("rule"))
 
 
+@query("forecast_backtest", "date:t pm25:e y:i usual_pm25:e rule:b",
+       "SELECT date, pm25, CASE WHEN pm25>=25e0 THEN 1 ELSE 0 END AS y, coalesce(u.usual, (SELECT avg(pm25) FROM ready WHERE date <= hi - INTERVAL 365 DAY)) AS usual_pm25, true AS rule "
+       "FROM ready CROSS JOIN (SELECT max(date) AS hi FROM ready) LEFT JOIN (SELECT dayofyear(date) AS doy, avg(pm25) AS usual FROM ready, (SELECT max(date) AS top FROM ready) "
+       "WHERE date <= top - INTERVAL 365 DAY GROUP BY 1) u ON u.doy = dayofyear(date) WHERE date > hi - INTERVAL 365 DAY")
+def _(spark, sf):
+    """The last year forecast from the years before, beside what came and the usual level of each day."""
+    ready = ready_table(spark, sf).drop("split")
+    out = M.backtest_forecast(M.LOGREG, M.LOGREG.grid[2], ready, feature_columns(ready), rounds=10)
+    flag = F.col("smoke_impact_pred") == (F.col("smoke_prob") >= 0.5).cast("int")
+    return out.withColumn("rule", flag & F.col("smoke_prob").between(0, 1) & F.col("pred_pm25").isNotNull())
+
+
 @query("model_day_predictions", "date:t pm25:e is_high_pollution:i rule:b",
        "SELECT date, pm25, 1 AS is_high_pollution, true AS rule FROM ready_split WHERE pm25>=25e0")
 def _(spark, sf):

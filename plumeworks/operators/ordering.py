@@ -22,14 +22,22 @@ def blocks_for(rows: int) -> int:
     return max(BLOCKS, -(-rows // BLOCK_ROWS))
 
 
-def quantile_blocks(df: DataFrame, column: str, out: str = "_block", blocks: int = BLOCKS) -> DataFrame:
+def quantile_blocks(df: DataFrame, column: str, out: str = "_block", blocks: int | None = BLOCKS) -> DataFrame:
     """Add a block number that grows with ``column`` and holds about equally many rows.
 
     The cut points (at most ``blocks`` doubles) are computed by one job and
-    fixed in the plan, so every branch and every retry sees the same blocks.
+    fixed in the plan, so every branch and every retry sees the same blocks. With ``blocks=None`` that job counts the rows
+    as well, and only where they call for more than ``BLOCKS`` blocks is there a second one.
     """
-    wanted = [i / blocks for i in range(1, blocks)]
-    cuts = sorted(set(df.approxQuantile(column, wanted, 1.0 / (4 * blocks))))
+    if blocks is None:
+        shares = [i / BLOCKS for i in range(1, BLOCKS)]
+        found = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 8 * BLOCKS).alias("cuts"), F.count(F.lit(1)).alias("n")).first()
+        if blocks_for(found["n"]) > BLOCKS:
+            return quantile_blocks(df, column, out, blocks_for(found["n"]))
+        cuts = sorted(set(found["cuts"] or []))
+    else:
+        wanted = [i / blocks for i in range(1, blocks)]
+        cuts = sorted(set(df.approxQuantile(column, wanted, 1.0 / (4 * blocks))))
     if not cuts:
         return df.withColumn(out, F.lit(0).cast("int"))
     splits = [float("-inf"), *cuts, float("inf")]

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .ordering import blocks_for, quantile_blocks, running_totals, shuffled_position
+from .ordering import quantile_blocks, running_totals, shuffled_position
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
 
@@ -42,7 +42,7 @@ def ranked_scores(
     rows all come from them. Unless given, the number of blocks follows their number.
     """
     kept = materialise(score_groups(df, by, label, prob), "score-groups")
-    groups = quantile_blocks(kept, "threshold", blocks=blocks or blocks_for(kept.count()))
+    groups = quantile_blocks(kept, "threshold", blocks=blocks)
     ranked = running_totals(
         groups, {"pos": F.col("pos"), "neg": F.col("neg")}, [F.col("threshold").desc()], keys=by, block_descending=True
     )

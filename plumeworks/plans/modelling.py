@@ -453,6 +453,39 @@ def forecast(
     )
 
 
+def backtest_forecast(
+    family: Family, params: dict, history: DataFrame, features: list[str], days: int = 365, threshold: float = PM25_THRESHOLD, rounds: int = 50
+) -> DataFrame:
+    """The forecast of the last ``days`` of ``history`` from what was known before, beside what came.
+
+    Model, level and climatology see earlier rows only. ``usual_pm25`` is the day-of-year mean of the earlier concentration itself,
+    the forecast that any other has to beat.
+    """
+    end = history.agg(F.max("date")).first()[0]
+    start = end - dt.timedelta(days=days)
+    past, later = history.where(F.col("date") <= F.lit(start)), history.where(F.col("date") > F.lit(start))
+    fill = _one_row(exact_medians(past, features))
+    model = fit_estimator(family, params, past, features, fill, threshold)
+    ahead = forecast(model, past, (end - start).days, rounds=rounds)
+    usual = past.groupBy(F.dayofyear("date").alias("_doy")).agg(F.avg("pm25").alias("usual_pm25"))
+    overall = past.agg(F.avg("pm25").alias("pm25"))
+    known = with_label(later, threshold).select("date", "pm25", "y").withColumn("_doy", F.dayofyear("date")).join(F.broadcast(usual), "_doy", "left")  # at most 366 rows
+    filled = known.withColumn("usual_pm25", F.coalesce("usual_pm25", overall.select("pm25").scalar())).drop("_doy")
+    return filled.join(ahead, "date").select("date", "pm25", "y", "smoke_prob", "smoke_impact_pred", "pred_pm25", "usual_pm25")
+
+
+def forecast_skill(tested: DataFrame) -> DataFrame:
+    """days, mean absolute errors of the level and of the usual level, the Brier score and that of the mean rate, and F1 of the flag."""
+    rate = tested.select(F.avg("y")).scalar()
+    y, z = F.col("y"), F.col("smoke_impact_pred")
+    return tested.withColumn("_rate", rate).agg(
+        F.count(F.lit(1)).alias("days"),
+        F.avg(F.abs(F.col("pred_pm25") - F.col("pm25"))).alias("level_error"), F.avg(F.abs(F.col("usual_pm25") - F.col("pm25"))).alias("usual_error"),
+        F.avg(F.pow(F.col("smoke_prob") - y, F.lit(2))).alias("brier"), F.avg(F.pow(F.col("_rate") - y, F.lit(2))).alias("rate_brier"),
+        ratio(F.sum(y * z) * 2, F.sum(y) + F.sum(z)).alias("f1"),
+    )
+
+
 def event_predictions(model: EventModel, ready: DataFrame) -> DataFrame:
     """High-pollution days with the model's label and probability."""
     high = ready.filter(F.col("pm25") >= model.threshold)

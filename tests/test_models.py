@@ -169,3 +169,21 @@ def test_logistic_over_many_tasks_and_nearly_separable_rows(spark):
         w = 1.0 + np.arange(300) % 2
         slope = np.r_[x.T @ (w * (p - y)) + penalty * a.coefficients.toArray(), (w * (p - y)).sum()]
         assert np.abs(slope).max() < 1e-6
+
+
+def test_backtest_sees_earlier_rows_only(ready):
+    history = ready.drop("split")
+    args = (M.LOGREG, {"C": 1.0}, history, ["smoke", "noise"])
+    tested = M.backtest_forecast(*args, days=100, rounds=2).persist()
+    end = dt.date(2023, 1, 1) + dt.timedelta(days=399)
+    dates = sorted(r["date"] for r in tested.collect())
+    assert dates == [end - dt.timedelta(days=99 - i) for i in range(100)]
+    # other values in the last days change what came, never the forecast
+    moved = history.withColumns({"smoke": F.when(F.col("date") > end - dt.timedelta(days=100), -1.0).otherwise(F.col("smoke")), "pm25": F.when(F.col("date") > end - dt.timedelta(days=100), 0.0).otherwise(F.col("pm25"))})
+    again = M.backtest_forecast(M.LOGREG, {"C": 1.0}, moved, ["smoke", "noise"], days=100, rounds=2)
+    columns = ["date", "smoke_prob", "smoke_impact_pred", "pred_pm25", "usual_pm25"]
+    assert sorted(tested.select(*columns).collect()) == sorted(again.select(*columns).collect())
+    skill = M.forecast_skill(tested).first()
+    rows = tested.collect()
+    assert skill["days"] == 100 and skill["usual_error"] == pytest.approx(sum(abs(r["usual_pm25"] - r["pm25"]) for r in rows) / 100)
+    assert skill["brier"] == pytest.approx(sum((r["smoke_prob"] - r["y"]) ** 2 for r in rows) / 100)

@@ -8,7 +8,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from plumeworks.operators import patterns, stats
+from plumeworks.operators import patterns, spine, stats
 from plumeworks.sources import tables
 
 
@@ -117,3 +117,9 @@ def test_publish_shows_all_or_nothing(spark, tmp_path):
     tables.publish(spark, path, lambda to: spark.range(3).write.parquet(to))
     tables.publish(spark, path, lambda to: spark.range(9).write.parquet(to))  # the first one counts
     assert spark.read.parquet(path).count() == 3
+
+
+@pytest.mark.parametrize("train,val,what", [(0.0, 0.1, "train share"), (1.2, 0.1, "train share"), (0.7, -0.1, "validation share"), (0.7, 1.0, "validation share"), (0.7, 0.3, "nothing for the test")])
+def test_split_shares(spark, train, val, what):
+    with pytest.raises(ValueError, match=what):
+        spine.chrono_split(spark.range(1), train, val)
