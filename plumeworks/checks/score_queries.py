@@ -173,8 +173,12 @@ def _(spark, sf):
 # are scored and the rules that scores obey; each row says whether the fitted model meets them.
 
 
+#: Whether fits that ended are found by later calls. A timing of fits turns this off.
+KEEP_FITS = True
+
+
 def _journal(spark):
-    return os.path.join(shared_dir(spark), "plumeworks-models")
+    return os.path.join(shared_dir(spark), "plumeworks-models") if KEEP_FITS else new_path(spark, "models")
 
 
 def _tuned(spark, sf, family):
@@ -184,9 +188,10 @@ def _tuned(spark, sf, family):
     ready = ready_table(spark, sf)
     train, val, _ = S.splits(ready)
     grid = f"{crc32(';'.join(map(M.params_text, family.grid)).encode()):08x}"
-    path = os.path.join(_journal(spark), f"{M.FORMAT}-tuned-{family.name}-{grid}-{M.fingerprint(train)}-{M.fingerprint(val)}")
+    journal = _journal(spark)
+    path = os.path.join(journal, f"{M.FORMAT}-tuned-{family.name}-{grid}-{M.fingerprint(train)}-{M.fingerprint(val)}")
     if not is_there(spark, path):
-        model, results = M.tune(family, train, val, journal=_journal(spark))
+        model, results = M.tune(family, train, val, journal=journal)
 
         def write(to):
             results.coalesce(1).write.parquet(f"{to}/grid")
