@@ -123,7 +123,7 @@ def likeness(a: Column, b: Column) -> Column:
 def written(found: Column) -> Column:
     """A fingerprint as text."""
     gap = lambda a, i: F.shiftright(a, 32) - F.shiftright(F.coalesce(F.get(found, i - 1), F.lit(0).cast("long")), 32)
-    return F.array_join(F.transform(found, lambda a, i: F.concat(gap(a, i).cast("string"), F.lit(":"), F.lower(F.lpad(F.hex(a.bitwiseAND(F.lit(LOW))), 8, "0")))), ",")
+    return F.lower(F.array_join(F.transform(found, lambda a, i: F.concat(gap(a, i).cast("string"), F.lit(":"), F.lpad(F.hex(a.bitwiseAND(F.lit(LOW))), 8, "0"))), ","))
 
 
 def _blocks(rows: DataFrame, hot: int) -> DataFrame:
@@ -143,7 +143,7 @@ def _blocks(rows: DataFrame, hot: int) -> DataFrame:
 
 
 def with_next(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """doc_id, text, found (anchors), next_text, next_found: every row with the row after it."""
+    """doc_id, text, found (anchors), own (steps), next_text, next_own: every row with the row after it."""
     own_id, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     place = F.struct(own_id.isNotNull().alias("known"), F.coalesce(own_id, F.lit(0)).alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
     rows = _blocks(documents.select(place.alias("place"), text.alias("text")), hot)
@@ -154,11 +154,11 @@ def with_next(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     also = F.when(F.col("previous").isNotNull(), F.array(F.struct(F.col("previous").alias("to"), F.lit(True).alias("extra")))).otherwise(F.array())
     sent = marked.select("place", "text", F.inline(F.concat(F.array(F.struct(F.col("block").alias("to"), F.lit(False).alias("extra"))), also)))
     # anchors are computed after the shuffle, so only texts cross the network
-    read = sent.repartition("to").withColumn("found", anchors(F.col("text")))
+    read = sent.repartition("to").withColumn("found", anchors(F.col("text"))).withColumn("own", steps(F.col("found")))
     order = Window.partitionBy("to").orderBy("extra", "place")
     paired = read.select(
-        "extra", F.when(F.col("place.known"), F.col("place.id")).alias("doc_id"), "text", "found",
-        F.lead("text").over(order).alias("next_text"), F.lead("found").over(order).alias("next_found"),
+        "extra", F.when(F.col("place.known"), F.col("place.id")).alias("doc_id"), "text", "found", "own",
+        F.lead("text").over(order).alias("next_text"), F.lead("own").over(order).alias("next_own"),
     )
     return paired.where(~F.col("extra")).drop("extra")
 
@@ -173,9 +173,9 @@ def fingerprint_documents(documents: DataFrame, id_col: str = "doc_id", text_col
     rows = rows.withColumn("kept", F.col("n_chars") - F.col("quarter"))
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("kept")), F.substring("next_text", F.lit(1), F.col("quarter"))))
     rows = rows.withColumn("edited_found", edited_anchors(F.col("found"), F.col("text"), F.col("kept"), F.col("edited")))
-    rows = rows.withColumns({"own": steps(F.col("found")), "other": steps(F.col("edited_found")), "next": steps(F.col("next_found"))})
+    rows = rows.withColumn("other", steps(F.col("edited_found")))
     return rows.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         written(F.col("found")).alias("fingerprint"), written(F.col("edited_found")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"),
+        likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )
