@@ -27,13 +27,14 @@ from .texts import per_text
 
 LABELS = ("other", "main")
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+#: A quote opens a string only at the begin of a value; elsewhere, as in ``data-x=don't``, it is a character like any other.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)?+)*+)>")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 
 # Fixed values of HTML and of the usual words in class names.
-RAW = frozenset("script style template noscript textarea iframe object svg canvas audio video".split())
+RAW = frozenset("script style template textarea iframe object svg canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img input".split()) | frozenset(
     "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msup msub msubsup mover munder munderover mmultiscripts mprescripts none mtable mtr mtd mlabeledtr mstyle mpadded mphantom merror menclose mfenced maction semantics annotation annotation-xml".split()
@@ -54,6 +55,10 @@ CUE_WORDS = {
     "comment": "comment comments commentlist disqus reply replies discussion respond responses".split(),
     "share": "share social sharing follow tags byline meta author".split(),
 }
+#: Words that say nothing about what an element holds.
+GENERIC = frozenset("site page wrap wrapper container box list area section block inner outer item items group panel bar holder module region zone unit slot left right top global primary secondary".split())
+#: Elements that hold text themselves: a class on them mostly says how it looks.
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre td th dd dt figcaption".split())
 _CUE_OF = {w: cue for cue, words in CUE_WORDS.items() for w in words}
 
 
@@ -66,15 +71,28 @@ class Block:
     letters: int
 
 
-def _cues(name: str, attributes: str) -> list[str]:
+def _class_cues(name: str, value: str) -> list[str]:
+    """Cues of class words, with a question mark where a class says more than the cue, or more than one thing about a text."""
+    found = []
+    for token in value.split():
+        words = _WORD.findall(token)
+        own = dict.fromkeys(_CUE_OF[w] for w in words if w in _CUE_OF)
+        vague = any(w not in _CUE_OF and w not in GENERIC for w in words) or name in TEXTUAL and len(own) > 1
+        found += [f"{c}?" if vague and c != "article" else c for c in own]
+    return found
+
+
+def _cues(name: str, attributes: str, above: tuple[str, ...]) -> list[str]:
     found = [CUE_TAGS[name]] if name in CUE_TAGS else []
+    if name == "header" and "article" in above:
+        found = ["heading"]  # the head of the article itself
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             value = (m[2] or m[3] or m[4] or "").lower()
             if m[1].lower() == "hidden" or m[1].lower() == "style" and "display:none" in value.replace(" ", ""):
                 found.append("hidden")
             elif m[1].lower() != "style":
-                found += [_CUE_OF[w] for w in _WORD.findall(value) if w in _CUE_OF]
+                found += _class_cues(name, value)
     return found
 
 
@@ -163,7 +181,7 @@ def blocks(html: str) -> list[Block]:
         if attributes.endswith("/") and name not in SECTIONS:
             continue
         above = stack[-1][1] if stack else ()
-        fresh = [c for c in _cues(name, attributes)]
+        fresh = _cues(name, attributes, above)
         # the last twelve cues, innermost last, each once
         own = above if not fresh else (*[c for c in above if c not in fresh], *dict.fromkeys(fresh))[-12:]
         stack.append((name, own))
@@ -246,9 +264,11 @@ def labelled_pages(seed: int = 5, pages: int = 260) -> list[tuple[list[Block], l
 
     def side() -> str:
         body = rng.choice((f"<h3>{words(1, 3)}</h3><ul>{links(2, 6)}</ul>", f"<p>{prose(False, 4, 40)}</p>"))
-        return rng.choice((f"<aside>{body}</aside>", f'<div class="sidebar">{body}</div>', f'<div class="related">{body}</div>', f'<div class="widget">{body}</div>'))
+        return rng.choice((f"<aside>{body}</aside>", f'<div class="sidebar">{body}</div>', f'<div class="related">{body}</div>', f'<div class="widget">{body}</div>', f'<div class="{vague()}"><ul>{links(2, 6)}</ul></div>'))
 
     def notice() -> str:
+        if rng.random() < 0.1:
+            return f"<noscript>{rng.choice((prose(False, 4, 20), f'<p>{prose(False, 4, 20)}</p>'))}</noscript>"
         return f'<div class="{rng.choice(("notice", "cookie", "alert", "consent", "modal"))}">{rng.choice((prose(False, 4, 30), f"<p>{prose(False, 4, 30)}</p><button>{words(1, 2)}</button>"))}</div>'
 
     def form() -> str:
@@ -268,21 +288,30 @@ def labelled_pages(seed: int = 5, pages: int = 260) -> list[tuple[list[Block], l
     def article() -> str:
         title = words(1, 10)
         marks.add(title)
-        parts = [f"<h1>{title}</h1>"]
+        parts = [rng.choice((f"<h1>{title}</h1>", f"<h1>{title}</h1>", f"<header><h1>{title}</h1></header>", f"<header><h1>{title}</h1><p>{prose(True)}</p></header>"))]
         for _ in range(rng.randint(1, 9)):
             parts.append(rng.choice((
                 lambda: f"<p>{prose(True)}</p>", lambda: f"<p>{prose(True)}", lambda: f"<p><b>{prose(True)}<br>", lambda: f"<p>{prose(True)}</p>", lambda: f"<h2>{main_words(1, 6)}</h2>",
                 lambda: "<ul>" + "".join(f"<li>{prose(True, 2, 14)}</li>" for _ in range(rng.randint(2, 4))) + "</ul>", lambda: f"<blockquote>{prose(True)}</blockquote>",
-                lambda: f"<p>{prose(True, 1, 3)}</p>", lambda: f"<table><tr><td>{main_words(1, 3)}</td><td>{main_words(1, 2)}</td></tr></table>", lambda: f"<pre>{prose(True)}</pre>",
+                lambda: f'<{(t := rng.choice(("p", "p", "div", "h2", "blockquote")))} class="{vague()}">{prose(True)}</{t}>', lambda: f"<noscript><p>{prose(True)}</p></noscript>",
+                lambda: f'<div class="{vague()}"><p>{prose(True)}</p><p>{prose(True)}</p></div>', lambda: f"<p>{prose(True, 1, 3)}</p>", lambda: f"<table><tr><td>{main_words(1, 3)}</td><td>{main_words(1, 2)}</td></tr></table>", lambda: f"<pre>{prose(True)}</pre>",
                 lambda: rng.choice((ad, side, form, notice))(),
             ))())
         body = "".join(parts)
+        if rng.random() < 0.12:
+            body += f"<footer>{rng.choice((prose(False, 3, 12), f'<p>{prose(False, 3, 30)}</p>', f'<ul>{links(1, 4)}</ul>'))}</footer>"
         if rng.random() < 0.15:
             body += f'<div class="share"><a href=x>{words(1, 2)}</a> <a href=x>{words(1, 2)}</a></div>'
         if rng.random() < 0.2:
             body += comments()
         return rng.choice((f"<article>{body}</article>", f"<article>{body}</article>", f"<main>{body}</main>", f'<div class="content">{body}</div>', f'<div id="post">{body}</div>', f"<main><article>{body}</article></main>", f"<div>{body}</div>", body))
 
+    def vague() -> str:
+        """A class that holds a cue but says something else, as ``popular-science`` does."""
+        cue = rng.choice([w for c, ws in CUE_WORDS.items() if c != "article" for w in ws])
+        other = rng.choice(("science", "history", "color", "grid", "story", "figure", "large", "intro", "lead"))
+        return rng.choice((f"{cue}-{other}", f"{other}-{cue}", f"{cue}_{other} wide"))
+
     def main_words(low: int, high: int) -> str:
         text = words(low, high)
         marks.add(text)

@@ -107,6 +107,30 @@ def test_held_out_pages(page_model):
     assert right / sum(len(y) for _, y in test) > 0.97
 
 
+KEPT = [
+    ("<p data-x=don't>It's a fine day for all of them today.</p>", "It's a fine day for all of them today."),
+    ("<p title=\"a > b\" data-y='x'>A quoted sign ends no tag in here.</p>", "A quoted sign ends no tag in here."),
+    ("<noscript><p>The figures of the last year are given below.</p></noscript>", "The figures of the last year are given below."),
+    ("<div class='popular-science'><p>Stars are born in clouds of dust and gas, far away.</p></div>", "Stars are born in clouds of dust and gas, far away."),
+    ("<p class='body-search'>The search for water on other worlds goes on for years.</p>", "The search for water on other worlds goes on for years."),
+    ("<div class=\"warning-signs\"><p>Doctors name five signs that one should not overlook.</p></div>", "Doctors name five signs that one should not overlook."),
+]
+
+
+@pytest.mark.parametrize("part,text", KEPT)
+def test_article_text_is_not_lost(page_model, part, text):
+    first, last = "The council met on Monday to speak about the new bridge.", "It will meet again when the plans of the engineers are ready."
+    page = f"<html><body><nav><ul><li><a href=x>Home</a></li><li><a href=x>World news</a></li></ul></nav><article><h1>The new bridge</h1><p>{first}</p>{part}<p>{last}</p></article><footer><p>&copy; 2024 example.org. All rights kept.</p></footer></body></html>"
+    assert pages.main_texts([page], page_model) == ["\n".join(["The new bridge", first, text, last])]
+
+
+def test_heads_and_feet_of_an_article(page_model):
+    body = "<p>The council met on Monday to speak about the new bridge.</p><p>It will meet again when the plans of the engineers are ready.</p>"
+    page = f"<header class='site-header'><h2>Daily paper</h2></header><nav><ul><li><a href=x>Home</a></li></ul></nav><article><header><h1>The new bridge</h1></header>{body}<footer><p>Printed by the town.</p></footer></article>"
+    (text,) = pages.main_texts([page], page_model)
+    assert text.split("\n") == ["The new bridge", "The council met on Monday to speak about the new bridge.", "It will meet again when the plans of the engineers are ready."]
+
+
 def test_broken_pages(page_model):
     cases = {
         None: "", "": "", "<p>": "", "<article><p>One &amp; two&nbsp;words here, said once.<p>Next  \n one follows on, and ends.</article><footer>&copy; x</footer>": "One & two words here, said once.\nNext one follows on, and ends.",
