@@ -32,7 +32,7 @@ class LinearModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
 
 
-def _sums(rows: DataFrame, places: np.ndarray) -> np.ndarray:
+def _sums(rows: DataFrame, places: np.ndarray, one_task: bool) -> np.ndarray:
     """For each row of coefficients (the intercept last): loss, slope and curvature, in one line of numbers."""
     count, width = places.shape
 
@@ -53,16 +53,18 @@ def _sums(rows: DataFrame, places: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(count), size), pa.int32()), pa.array(np.tile(np.arange(size), count), pa.int32()), pa.array(total.ravel())], ["row", "place", "value"])
 
     out = np.zeros((count, 1 + width + width * width))
-    # numbers for each penalty, not for each row of the table
-    for r in rows.mapInArrow(run, "row int, place int, value double").groupBy("row", "place").agg(F.sum("value").alias("value")).collect():
-        out[r["row"], r["place"]] = r["value"]
+    parts = rows.mapInArrow(run, "row int, place int, value double")
+    if not one_task:
+        parts = parts.groupBy("row", "place").agg(F.sum("value").alias("value"))
+    found = parts.toArrow()  # numbers for each penalty, not for each row of the table
+    np.add.at(out, (found["row"].to_numpy(), found["place"].to_numpy()), found["value"].to_numpy())
     return out
 
 
-def fit_logistic(rows: DataFrame, features: int, penalties: Sequence[float]) -> list[LinearModel]:
+def fit_logistic(rows: DataFrame, features: int, penalties: Sequence[float], one_task: bool = False) -> list[LinearModel]:
     """One model for each penalty p: the least of the weighted log loss plus p / 2 times the squared coefficients.
 
-    ``rows``: features (an array of double), label (0 or 1), weight.
+    ``rows``: features (an array of double), label (0 or 1), weight. ``one_task``: they are one partition, whose sums need no shuffle.
     """
     data = rows.select(F.col("features"), F.col("label").cast("double"), F.col("weight").cast("double")).persist()
     width = features + 1
@@ -74,7 +76,7 @@ def fit_logistic(rows: DataFrame, features: int, penalties: Sequence[float]) ->
     open_ = list(range(len(penalties)))
     for _ in range(PASSES):
         tried = kept + scale[:, None] * step
-        sums = _sums(data, tried[open_])
+        sums = _sums(data, tried[open_], one_task)
         after = []
         for k, line in zip(open_, sums):
             loss = line[0] + 0.5 * float(ridge[k] @ tried[k] ** 2)

@@ -135,8 +135,9 @@ def _logistic(grid: Sequence[dict], filled: DataFrame, features: list[str], thre
         weight = F.when(F.col("label") == r["label"], r["weight"]).otherwise(weight)
     data = filled.select(F.array(*shells[0].prepare(filled)).alias("features"), "label", weight.alias("weight"))
     rows = sum(r["rows"] for r in balanced)
-    data = data.coalesce(1) if rows <= FIT_ROWS else data.repartition(-(-rows // FIT_ROWS))
-    for shell, model in zip(shells, linear.fit_logistic(data, len(features), [1.0 / p["C"] for p in grid])):
+    few = rows <= FIT_ROWS
+    data = data.coalesce(1) if few else data.repartition(-(-rows // FIT_ROWS))
+    for shell, model in zip(shells, linear.fit_logistic(data, len(features), [1.0 / p["C"] for p in grid], few)):
         shell.model = model
     return shells
 

@@ -162,7 +162,7 @@ def test_logistic_over_many_tasks_and_nearly_separable_rows(spark):
     x[:, 2] = 0.0  # a constant column gets no weight
     y = (x[:, 0] > 0).astype(int)
     df = spark.createDataFrame([([float(v) for v in row], int(t), 1.0 + i % 2) for i, (row, t) in enumerate(zip(x, y))], "features array<double>, label int, weight double")
-    one, many = (linear.fit_logistic(d, 3, [1e-4, 10.0]) for d in (df.coalesce(1), df.repartition(5)))
+    one, many = linear.fit_logistic(df.coalesce(1), 3, [1e-4, 10.0], one_task=True), linear.fit_logistic(df.repartition(5), 3, [1e-4, 10.0])
     for a, b, penalty in zip(one, many, (1e-4, 10.0)):
         assert a.coefficients.toArray() == pytest.approx(b.coefficients.toArray(), rel=1e-6, abs=1e-9) and a.coefficients[2] == 0.0
         p = 1 / (1 + np.exp(-(x @ a.coefficients.toArray() + a.intercept)))
