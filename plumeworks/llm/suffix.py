@@ -34,8 +34,8 @@ from .texts import PIECE, mix, piece_hash, prefix_sums
 
 WIDTH, GRAM = 50, 26
 _SPAN = WIDTH - GRAM + 1
-#: Anchors of a partition; texts, and stretches around anchors, that a task works on at a time.
-PART, TEXTS, STEP = 1_000_000, 512, 4_000
+#: Anchors of a part, of which a task holds one at a time; texts, and stretches around anchors, that a task works on at a time.
+PART, TEXTS, STEP = 200_000, 512, 4_000
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -303,6 +303,25 @@ _ROW = ["part", "k1", "k2", "data"]
 _ROW_SCHEMA = "part int, k1 long, k2 long, data binary"
 
 
+def _by_part(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows of a part stand together, part after part, in as many tasks as the session shuffles to."""
+    tasks = min(parts, max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return rows.repartitionById(tasks, F.pmod("part", F.lit(tasks)).cast("int")).sortWithinPartitions("part")
+
+
+def _parts(rows: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, list[bytes]]]:
+    """(part, data of its rows), holding one part."""
+    part, held = -1, []
+    for p, data in rows:
+        if p != part and held:
+            yield part, held
+            held = []
+        part = p
+        held.append(data)
+    if held:
+        yield part, held
+
+
 def _range_rows(k1: np.ndarray, k2: np.ndarray, parts: int, unit: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows that carry finished ranges; they pass through the sort's partitions as they are."""
     first = _groups(unit)
@@ -339,12 +358,9 @@ def _shared_anchors(units: DataFrame, parts: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "data"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for p, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(p, []).append(data)
-        for p in sorted(held):
-            k1, k2, counts, short = (np.concatenate(x) for x in zip(*(_unbundle(d, "<i8", "<i8", "<i4", "<u4") for d in held.pop(p))))
+        rows = ((p.as_py(), d.as_py()) for batch in batches for p, d in zip(batch.column(0), batch.column(1)))
+        for p, held in _parts(rows):
+            k1, k2, counts, short = (np.concatenate(x) for x in zip(*(_unbundle(d, "<i8", "<i8", "<i4", "<u4") for d in held)))
             unit = np.repeat(np.arange(len(k1), dtype=np.int32), counts)
             order = np.argsort(short, kind="stable").astype(np.int32)
             first = _groups(short[order])
@@ -361,8 +377,8 @@ def _shared_anchors(units: DataFrame, parts: int) -> DataFrame:
                 lists = [np.unique(h[x:y]).tobytes() for x, y in zip(starts, np.append(starts[1:], len(h)))]
                 yield pa.RecordBatch.from_arrays([pa.array(a[starts]), pa.array(b[starts]), pa.array(np.full(len(starts), p, dtype=np.int32)), pa.array(lists, pa.binary())], ["k1", "k2", "part", "hashes"])
 
-    dealt = units.select("k1", "k2", "text").mapInArrow(emit, "part int, data binary").repartitionById(parts, "part")
-    rows = dealt.mapInArrow(shared, "k1 long, k2 long, part int, hashes binary")
+    dealt = units.select("k1", "k2", "text").mapInArrow(emit, "part int, data binary")
+    rows = _by_part(dealt, parts).mapInArrow(shared, "k1 long, k2 long, part int, hashes binary")
     return rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("part", "hashes")).alias("found"))
 
 
@@ -414,16 +430,20 @@ def _sorted_ranges(dealt: DataFrame, parts: int) -> DataFrame:
     """k1, k2, data: ranges of removed bytes. Each partition sorts the suffixes of its anchors."""
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
-        for batch in batches:
-            done = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
-            if done.any():
-                yield batch.filter(pa.array(done))
-            for p, data, d in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), done):
-                if not d:
-                    held.setdefault(p, []).append(data)
-        for p in sorted(held):
-            pieces = [_unbundle(d, *_KINDS) for d in held.pop(p)]
+        finished: list[pa.RecordBatch] = []
+
+        def open_rows() -> Iterator[tuple[int, bytes]]:
+            for batch in batches:
+                done = batch.column(1).is_valid()
+                finished.append(batch.filter(done))
+                for p, data, d in zip(batch.column(0), batch.column(3), done.to_pylist()):
+                    if not d:
+                        yield p.as_py(), data.as_py()
+
+        for p, held in _parts(open_rows()):
+            while finished:
+                yield finished.pop()
+            pieces = [_unbundle(d, *_KINDS) for d in held]
             shift = np.cumsum([0, *(len(x[0]) for x in pieces)])
             k1, k2, doc = (np.concatenate([x[i] for x in pieces]) for i in range(3))
             unit = np.concatenate([x[3].astype(np.int64) + d for x, d in zip(pieces, shift)])
@@ -449,8 +469,9 @@ def _sorted_ranges(dealt: DataFrame, parts: int) -> DataFrame:
                 units = np.concatenate([np.repeat(small.unit[gone], small.count[gone]), rest.unit[owner]])
                 starts = np.concatenate([_expand(small.start[gone], small.count[gone]), rest.start[owner] + step])
                 yield from _range_rows(k1, k2, parts, *_ranges(units, starts))
+        yield from finished
 
-    return dealt.repartitionById(parts, "part").mapInArrow(sort, _ROW_SCHEMA).select("k1", "k2", "data")
+    return _by_part(dealt, parts).mapInArrow(sort, _ROW_SCHEMA).select("k1", "k2", "data")
 
 
 def _cut(units: DataFrame) -> DataFrame:
