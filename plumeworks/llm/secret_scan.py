@@ -119,6 +119,11 @@ def labelled_table(seed: int = 11, rows: int = 450) -> list[list[tuple[str, str]
             lambda: [("pwd", "O"), ("=", "O"), (random_key(6, 12), one)],
             lambda: [("eyJ" + random_key(40, 60) + "." + random_key(40, 60), one)],
             lambda: [("token", "O"), ("=", "O"), (f"\"{pick(digit + 'abcdef', 40, 40)}\"", one)],
+            lambda: [(f"xox{rng.choice('bpars')}-{pick(digit, 10, 13)}-{random_key(10, 20)}", one)],
+            lambda: [("AIza" + pick(lower + upper + digit + "-_", 35, 35), one)],
+            lambda: [(f"{pick(lower, 2, 6)}_{pick(lower, 3, 7)}_{rng.choice(('key', 'secret', 'token'))}", "O"), ("=", "O"), (pick(lower + upper + digit + "/+", 40, 40), one)],
+            lambda: [(rng.choice(("secret", "key", "credential")), "O"), (pick(lower + upper + digit + "/+", 40, 40), one)],
+            lambda: [(f"{pick(lower, 3, 6)}{rng.choice('-_')}{random_key(20, 36)}", one)],
         ))()
 
     def decoy() -> list[str]:
@@ -128,6 +133,8 @@ def labelled_table(seed: int = 11, rows: int = 450) -> list[list[tuple[str, str]
             lambda: ["+1", f"({pick(digit, 3, 3)})", f"{pick(digit, 3, 3)}-{pick(digit, 4, 4)}"], lambda: [f"https://{pick(lower, 4, 9)}.com/{pick(lower, 3, 9)}"],
             lambda: ["key", word()], lambda: ["token", word()], lambda: ["the", "secret", word()], lambda: [f"{pick(lower, 3, 9)}_{pick(lower, 3, 9)}", "=", pick(digit, 1, 4)],
             lambda: [f"{pick(digit, 4, 4)}-{pick(digit, 2, 2)}-{pick(digit, 2, 2)}"], lambda: [f"{pick(lower, 2, 6)}{pick(upper, 1, 1)}{pick(lower, 2, 6)}"], lambda: [f"a={pick(digit, 1, 2)};"],
+            lambda: ["/" + "/".join(pick(lower, 2, 9) for _ in range(rng.randint(2, 6)))], lambda: [f"{pick(lower, 3, 9)}{pick(upper, 1, 1)}{pick(lower, 2, 9)}{pick(upper, 1, 1)}{pick(lower, 2, 9)}"],
+            lambda: ["-".join((pick(lower, 3, 9), pick(lower, 3, 9), pick(lower, 3, 9)))], lambda: [f"{pick(lower, 3, 9)}-{pick(digit, 1, 2)}.{pick(digit, 1, 2)}.{pick(digit, 1, 1)}"],
         ))()
 
     out = []
