@@ -6,9 +6,9 @@ whole hash, with its length, is a proper prefix of another is dropped by an anti
 with the smallest id stays. The rest is rendered.
 
 Turns are first put into stretches of ``STRETCH`` turn numbers. Positions and prefix hashes are window results within
-a stretch plus what the stretches before it add up to, and rendering gives one row per stretch, so no conversation, however
-long, comes together in one task. A rendered conversation is its parts joined in order; up to ``STRETCH`` turn numbers
-there is one part.
+a stretch plus what the stretches before it add up to, and rendering gives one row per stretch, so a long conversation
+does not come together in one task; only turns whose numbers lie in one stretch, or are all null, do. A rendered conversation is
+its parts joined in order; up to ``STRETCH`` turn numbers there is one part.
 
 Defined results: turns are ordered by turn number (null first), then role, then text; repeated identical rows count once;
 a null role or text is a value of its own when compared and is rendered empty; rows with a null conversation id are
