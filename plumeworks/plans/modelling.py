@@ -136,7 +136,8 @@ def _logistic(grid: Sequence[dict], filled: DataFrame, features: list[str], thre
     data = filled.select(F.array(*shells[0].prepare(filled)).alias("features"), "label", weight.alias("weight"))
     rows = sum(r["rows"] for r in balanced)
     few = rows <= FIT_ROWS
-    data = data.coalesce(1) if few else data.repartition(-(-rows // FIT_ROWS))
+    # few rows are shuffled into one task: a coalesce would run every partition's windows and sorts in it and hold all their pages
+    data = data.repartition(1 if few else -(-rows // FIT_ROWS))
     for shell, model in zip(shells, linear.fit_logistic(data, len(features), [1.0 / p["C"] for p in grid], few)):
         shell.model = model
     return shells

@@ -187,3 +187,14 @@ def test_backtest_sees_earlier_rows_only(ready):
     rows = tested.collect()
     assert skill["days"] == 100 and skill["usual_error"] == pytest.approx(sum(abs(r["usual_pm25"] - r["pm25"]) for r in rows) / 100)
     assert skill["brier"] == pytest.approx(sum((r["smoke_prob"] - r["y"]) ** 2 for r in rows) / 100)
+
+
+def test_few_rows_reach_the_one_task_of_a_fit_by_a_shuffle(ready, monkeypatch):
+    seen = []
+    monkeypatch.setattr(linear, "fit_logistic", lambda rows, n, penalties, one_task=False: seen.append((rows, one_task)) or [None] * len(penalties))
+    train = S.splits(ready)[0]
+    M.fit_estimators(M.LOGREG, M.LOGREG.grid[:1], train, ["smoke", "noise"], {"smoke": 0.0, "noise": 0.0}, 25.0)
+    rows, one_task = seen[0]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # a coalesce would run the windows of all partitions in that task
+    assert one_task and rows.rdd.getNumPartitions() == 1 and "Repartition 1, true" in plan and "Repartition 1, false" not in plan
