@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gzip
+import shutil
+import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyarrow import csv as pa_csv
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import with_scalars
-from ..session import new_path
+from ..session import materialise, new_path
 
 START, END = "1995-01-01", "2001-12-31"
 
@@ -184,30 +190,86 @@ def land_weather_years(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def _csv_text(batch: pa.RecordBatch, names: list[str]) -> bytes:
+    sink = pa.BufferOutputStream()
+    pa_csv.write_csv(batch.select(names), sink, pa_csv.WriteOptions(include_header=False))
+    return sink.getvalue().to_pybytes()
+
+
+def _make_folder(path: str) -> tuple[fs.FileSystem, str]:
+    filesystem, inner = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "", 1))
+    filesystem.create_dir(inner, recursive=True)
+    return filesystem, inner
+
+
+def _write_members(sink, batches: Iterator[pa.RecordBatch], parts: list[list[str]]) -> int:
+    """One zip with a CSV for each list of columns; how many rows. Rows stream through and are not held: the first member
+    goes to the archive, the others wait as packed text in a temp folder."""
+    rows = 0
+    with contextlib.ExitStack() as open_files:
+        archive = open_files.enter_context(zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED))
+        waiting = [open_files.enter_context(tempfile.TemporaryFile()) for _ in parts[1:]]
+        with contextlib.ExitStack() as writers:
+            bodies = [writers.enter_context(archive.open("data0.csv", "w", force_zip64=True))]
+            bodies += [writers.enter_context(gzip.GzipFile(fileobj=f, mode="wb", compresslevel=1)) for f in waiting]
+            for body, names in zip(bodies, parts):
+                body.write((",".join(names) + "\n").encode())
+            for batch in batches:
+                rows += batch.num_rows
+                for body, names in zip(bodies, parts):
+                    body.write(_csv_text(batch, names))
+        for number, file in enumerate(waiting, start=1):
+            file.seek(0)
+            with gzip.GzipFile(fileobj=file) as text, archive.open(f"data{number}.csv", "w", force_zip64=True) as body:
+                shutil.copyfileobj(text, body, 1 << 20)
+    return rows
+
+
 @_lands
 def land_zip(df: DataFrame, label: str, members: tuple[tuple[str, ...], ...] = ()) -> str:
     """Each task writes its rows into one zip that is named ``.csv``: one CSV, or one for each list of columns."""
     path = new_path(df.sparkSession, label)
     parts = [list(m) for m in members] or [df.columns]
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part = TaskContext.get().partitionId()
-        filesystem, inner = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "", 1))
-        filesystem.create_dir(inner, recursive=True)
-        rows = 0
-        with filesystem.open_output_stream(f"{inner}/part-{part:05d}.csv") as sink:
-            # one member is streamed; several need the rows again for each
-            held = batches if len(parts) == 1 else list(batches)
-            with zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as archive:
-                for number, names in enumerate(parts):
-                    with archive.open(f"data{number}.csv", "w") as body:
-                        body.write((",".join(names) + "\n").encode())
-                        for batch in held:
-                            rows += len(batch)
-                            body.write(batch[names].to_csv(index=False, header=False).encode())
-        yield pd.DataFrame({"rows": [rows]})
-
-    df.mapInPandas(write, "rows bigint").agg(F.sum("rows")).collect()
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, inner = _make_folder(path)
+        with filesystem.open_output_stream(f"{inner}/part-{TaskContext.get().partitionId():05d}.csv") as sink:
+            rows = _write_members(sink, batches, parts)
+        yield pa.RecordBatch.from_pydict({"rows": pa.array([rows], pa.int64())})
+
+    df.mapInArrow(write, "rows bigint").agg(F.sum("rows")).collect()
+    return path
+
+
+@_lands
+def land_zip_single(df: DataFrame, label: str) -> str:
+    """All rows in one zip with one CSV. Its tasks turn rows into packed text, one task streams the texts into the archive."""
+    path = new_path(df.sparkSession, label)
+    texts, names = f"{path}-texts", df.columns
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, inner = _make_folder(texts)
+        # a task that is tried again has a name of its own, only the one that ended is listed
+        name = f"{inner}/{uuid.uuid4().hex}.gz"
+        with filesystem.open_output_stream(name, compression=None) as sink, gzip.GzipFile(fileobj=sink, mode="wb", compresslevel=1) as body:
+            for batch in batches:
+                body.write(_csv_text(batch, names))
+        yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, inner = _make_folder(path)
+        with filesystem.open_output_stream(f"{inner}/part-00000.csv") as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
+            with archive.open("data0.csv", "w", force_zip64=True) as body:
+                body.write((",".join(names) + "\n").encode())
+                for batch in batches:
+                    for name in batch.column("name").to_pylist():
+                        with filesystem.open_input_stream(name, compression=None) as packed, gzip.GzipFile(fileobj=packed) as text:
+                            shutil.copyfileobj(text, body, 1 << 20)
+        yield pa.RecordBatch.from_pydict({"rows": pa.array([0], pa.int64())})
+
+    # the names are written, so that the archive is not begun before every text is whole
+    written = materialise(df.mapInArrow(pack, "name string"), f"{label}-names")
+    written.repartition(1).mapInArrow(join, "rows bigint").collect()
     return path
 
 

@@ -3,12 +3,15 @@
 import io
 import json
 import random
+import weakref
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from plumeworks.checks import adapters
 from plumeworks.sources import big_json, documents, feeds
 
 
@@ -93,3 +96,24 @@ def test_transitions_compose():
         state, depth = big_json._transition(data[:cut], big_json.OUTSIDE)
         end, change = big_json._transition(data[cut:], state)
         assert (end, depth + change) == (big_json.OUTSIDE, 0)
+
+
+def test_rows_landed_in_several_members_are_not_held():
+    seen = []
+
+    def batches():
+        for i in range(30):
+            seen.append(None)
+            batch = pa.RecordBatch.from_pydict({"a": [f"{i}"] * 5, "b": [float(i)] * 5, "c": [None, "x,y", 'q"', "", "z"]})
+            seen[-1] = weakref.ref(batch)
+            yield batch
+            del batch
+            assert sum(r() is not None for r in seen) <= 2
+
+    sink = io.BytesIO()
+    assert adapters._write_members(sink, batches(), [["a", "b"], ["a", "c"], ["b"]]) == 150
+    with zipfile.ZipFile(sink) as z:
+        read = [pd.read_csv(z.open(n)) for n in sorted(z.namelist())]
+    assert [list(r.columns) for r in read] == [["a", "b"], ["a", "c"], ["b"]] and [len(r) for r in read] == [150] * 3
+    assert read[0]["a"].tolist() == read[0]["b"].tolist() == read[1]["a"].tolist() == [i for i in range(30) for _ in range(5)]
+    assert read[1]["c"].fillna("").tolist() == ["", "x,y", 'q"', "", "z"] * 30
