@@ -15,7 +15,7 @@ from ..session import materialise, new_path
 from ..sources import air_api, documents, feeds as source
 from ..sources.tables import read_table, write_locations
 from .adapters import (
-    feature_docs, feed, land_csv, land_fire_drift, table, land_json, land_one_document, land_weather_drift, land_weather_years, land_zip,
+    feature_docs, feed, land_csv, land_fire_drift, table, land_json, land_one_document, land_weather_drift, land_weather_years, land_zip, land_zip_single,
     location_docs, measurement_docs,
 )
 from .registry import query
@@ -69,7 +69,7 @@ def _(spark, sf):
 @query("scan_zip_single", "valid_time:s u10:d t2m:d tasks:b", "SELECT valid_time, u10, t2m, true AS tasks FROM fx_era5")
 def _(spark, sf):
     """One archive with one member; ``tasks`` tells whether more than one task parsed it."""
-    path = land_zip(feed(spark, sf, "fx_era5").coalesce(1), "era5-single")
+    path = land_zip_single(feed(spark, sf, "fx_era5"), "era5-single")
     raw = source.scan_zip_csv(spark, path, columns=["valid_time", "u10", "t2m"], pattern="part-*.csv", block_bytes=1 << 17)
     rows = materialise(raw.select("valid_time", *[coerce.to_number(c).alias(c) for c in ("u10", "t2m")], F.spark_partition_id().alias("task")), "single-archive")
     return rows.withColumn("tasks", F.lit(rows.select("task").distinct().count() > 1))

@@ -6,6 +6,7 @@ roll-ups cast what they need.
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -13,11 +14,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import csv as pa_csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.coerce import day_in, fire_moment, is_text, missing_to_null, number_in, parse_once
+from ..functions.coerce import MISSING_TOKENS, day_in, fire_moment, is_text, missing_to_null, number_in, parse_once
 from ..functions.names import clean_columns, clean_name, clean_names, first_existing, require_columns
 from ..session import materialise
 from .files import header_groups, layouts, list_files, open_input, zip_members
@@ -106,18 +109,37 @@ def _member_blocks(path: str, member: str, block_bytes: int) -> Iterator[tuple[i
             yield (number, header, held) if header else (number, held, b"")
 
 
-def _parse_block(header: bytes, records: bytes, columns: list[str]) -> Iterator[pd.DataFrame]:
+def _parse_block(header: bytes, records: bytes, columns: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows of a block; only the wanted columns are parsed."""
-    wanted = set(columns)
-    for chunk in pd.read_csv(io.BytesIO(header + records), dtype=str, chunksize=_CHUNK_ROWS, usecols=lambda c: clean_name(c) in wanted):
+    wanted, data, schema = set(columns), header + records, pa.schema([(c, pa.string()) for c in columns])
+    names = next(csv.reader(io.StringIO(header.decode("utf-8-sig"), newline="")), [])
+    cleaned = {clean_name(n): n for n in names}
+    if records and len(names) > 1 and len(cleaned) == len(names) and all(names):
+        found = [c for c in columns if c in cleaned]
+        try:
+            table = pa_csv.read_csv(
+                pa.py_buffer(data), pa_csv.ReadOptions(use_threads=False, block_size=len(data) + 1), pa_csv.ParseOptions(newlines_in_values=True),
+                pa_csv.ConvertOptions(
+                    include_columns=[cleaned[c] for c in found], column_types={cleaned[c]: pa.string() for c in found},
+                    null_values=MISSING_TOKENS, strings_can_be_null=True,
+                ),
+            )
+            rows = dict(zip(found, table.columns)) if found else None
+        except pa.ArrowInvalid:  # lines of unequal length and the like are for the more tolerant reader
+            rows = None
+        if rows is not None:
+            whole = pa.table([rows.get(c, pa.nulls(table.num_rows, pa.string())) for c in columns], schema=schema)
+            yield from whole.to_batches(max_chunksize=_CHUNK_ROWS)
+            return
+    for chunk in pd.read_csv(io.BytesIO(data), dtype=str, chunksize=_CHUNK_ROWS, usecols=lambda c: clean_name(c) in wanted):
         chunk.columns = [clean_name(c) for c in chunk.columns]
-        yield chunk.reindex(columns=columns).astype(object)
+        yield pa.RecordBatch.from_pandas(chunk.reindex(columns=columns).astype(object), schema, preserve_index=False)
 
 
 def _unpack_and_parse(columns: list[str], block_bytes: int):
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, member in zip(batch["path"], batch["member"]):
+            for path, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist()):
                 for _, header, records in _member_blocks(path, member, block_bytes):
                     yield from _parse_block(header, records, columns)
 
@@ -125,20 +147,23 @@ def _unpack_and_parse(columns: list[str], block_bytes: int):
 
 
 def _unpack(block_bytes: int):
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, member in zip(batch["path"], batch["member"]):
+            for path, member in zip(batch.column("path").to_pylist(), batch.column("member").to_pylist()):
                 for number, header, records in _member_blocks(path, member, block_bytes):
-                    yield pd.DataFrame({"path": [path], "member": [member], "number": [number], "header": [header], "records": [records]})
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path]), pa.array([member]), pa.array([number], pa.int32()), pa.array([header], pa.binary()), pa.array([records], pa.binary())],
+                        ["path", "member", "number", "header", "records"],
+                    )
 
     return blocks
 
 
 def _parse(columns: list[str]):
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for header, records in zip(batch["header"], batch["records"]):
-                yield from _parse_block(header, records, columns)
+            for header, records in zip(batch.column("header"), batch.column("records")):
+                yield from _parse_block(header.as_py(), records.as_py(), columns)
 
     return rows
 
@@ -163,9 +188,9 @@ def scan_zip_csv(
     members = materialise(files.mapInPandas(_members_of, "path string, member string"), "zip-members")
     dealt = members.repartition(tasks, "path", "member")
     if members.count() >= tasks:
-        return dealt.mapInPandas(_unpack_and_parse(columns, block_bytes), _text_schema(columns))
-    blocks = dealt.mapInPandas(_unpack(block_bytes), "path string, member string, number int, header binary, records binary")
-    return blocks.repartition(tasks, "path", "member", "number").mapInPandas(_parse(columns), _text_schema(columns))
+        return dealt.mapInArrow(_unpack_and_parse(columns, block_bytes), _text_schema(columns))
+    blocks = dealt.mapInArrow(_unpack(block_bytes), "path string, member string, number int, header binary, records binary")
+    return blocks.repartition(tasks, "path", "member", "number").mapInArrow(_parse(columns), _text_schema(columns))
 
 
 def scan_fire_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:

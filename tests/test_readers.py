@@ -117,3 +117,29 @@ def test_rows_landed_in_several_members_are_not_held():
     assert [list(r.columns) for r in read] == [["a", "b"], ["a", "c"], ["b"]] and [len(r) for r in read] == [150] * 3
     assert read[0]["a"].tolist() == read[0]["b"].tolist() == read[1]["a"].tolist() == [i for i in range(30) for _ in range(5)]
     assert read[1]["c"].fillna("").tolist() == ["", "x,y", 'q"', "", "z"] * 30
+
+
+def test_one_archive_is_landed_by_many_tasks(spark):
+    df = spark.range(0, 500, 1, 5).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") / 7).alias("x"))
+    path = adapters.land_zip_single(df, "single-test")
+    texts = spark.read.format("binaryFile").load(f"{path}-texts")
+    assert texts.count() == 5  # one task for each partition made text
+    files = spark.read.format("binaryFile").load(path)
+    assert files.count() == 1
+    read = feeds.scan_zip_csv(spark, path, columns=["k", "x"]).select("k", F.col("x").cast("double"))
+    assert rows_of(read) == rows_of(df)
+
+
+@pytest.mark.parametrize("text", [
+    "a,b,c\n1,2\n3,4,5\n", "a,a,c\n1,2,3\n", "a,b,c\n1,2,3\n\n  \n4,NA,\"null\"\n", "a,b\n1,2,3\n4,5,6\n", "a\n  \nx\n", 'a,"b ""q"""\n"l1\nl2","x, ""y"""\n,\n',
+    "a,b,c\r\n1, 2 ,-nan\r\n", "a,,c\n1,2,3\n",
+])
+def test_blocks_are_parsed_as_by_the_plain_reader(text):
+    end = text.index("\n") + 1
+    header, records = text[:end].encode(), text[end:].encode()
+    names = ["a", "b", "c", "b_q", "none"]
+    plain = pd.read_csv(io.StringIO(text), dtype=str, usecols=lambda c: feeds.clean_name(c) in names)
+    plain.columns = [feeds.clean_name(c) for c in plain.columns]
+    plain = plain.reindex(columns=names).astype(object)
+    got = [r for b in feeds._parse_block(header, records, names) for r in b.to_pylist()]
+    assert got == plain.where(plain.notna(), None).to_dict("records")
