@@ -108,9 +108,16 @@ def is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, StringType)
 
 
+def _dashed(text: Column) -> Column:
+    """Whether the cast reads the text as :func:`_readable` gives it, if it reads it at all: a year of four digits and a dash, no
+    white space at the end. No pattern is run, and most feeds look like this."""
+    return (F.substring(text, 5, 1) == "-") & (F.substring(text, -1, 1) > " ")
+
+
 def to_local_timestamp(c: Column | str) -> Column:
     """Text to a zone-less timestamp; an offset in the text is ignored, the wall clock kept."""
-    return _readable(_col(c).cast("string")).try_cast("timestamp_ntz")
+    text = _col(c).cast("string")
+    return F.coalesce(F.when(_dashed(text), text.try_cast("timestamp_ntz")), _readable(text).try_cast("timestamp_ntz"))
 
 
 def to_day(c: Column | str) -> Column:

@@ -33,6 +33,18 @@ def test_numbers(spark):
     assert [r[0] for r in values(typed, coerce.number_in(typed, "x"))] == [None, 1.0, None]
 
 
+def test_dashed_days_need_no_pattern(spark):
+    texts = ["2024-05-01", "2024-5-1 3:04", "2024-05-01 99:00", "2024-05-01\n", "2024-05-01\n\n", "2024-05-01 \r", "12024-05-01", "+2024-05-01", "2024-05", "2024",
+             " 2024-05-01", "2024-05-01 05:30Z", "2024-05-01T05:30:00.5-06:00", "2024-05-01T", "202-5-01", "-2024-05-01", "2024-05-01x", "20240501", "01 May 2024"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.to_date(coerce._readable(F.col("t")).try_cast("timestamp_ntz"))
+    got = values(df, coerce.to_day("t"), plain)
+    assert [a for a, _ in got] == [b for _, b in got] and sum(a is None for a, _ in got) >= 6
+    # the fast way alone reads the usual forms
+    fast = values(df, F.when(coerce._dashed(F.col("t")), F.to_date(F.col("t").try_cast("timestamp_ntz"))))
+    assert [r[0] for r in fast[:2]] == [dt.date(2024, 5, 1)] * 2
+
+
 def test_days(spark):
     texts = ["2024-05-01", "2024-05-01 23:59", "2024-13-01", "bad", None, "1500-01-01", "2300-01-01", "20240-01-01",
              "2024-05-01T23:30:00-06:00"]
