@@ -80,7 +80,7 @@ def frequent_shingles(texts: DataFrame, room: int, percent: int) -> tuple[np.nda
                 keys, n = keys[first], np.diff(np.append(first, len(keys)))
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(keys[n > 1])), pa.array(n[n > 1])], ["token", "n"])
 
-    counts = materialise(texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "shingle-counts")
+    counts = materialise(texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "shingle-counts", 2 * ROWS)
     steps = [2**j for j in range(1, 40)]
     above = counts.agg(*[F.count(F.when(F.col("n") >= s, 1)).alias(str(s)) for s in steps]).first()
     least = next((s for s in steps if above[str(s)] <= room), steps[-1])
@@ -279,7 +279,7 @@ def link(documents: DataFrame, percent: int = PERCENT, room: int = 1_000_000) ->
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = texts.where("doc_id IS NOT NULL")
-    sketch = materialise(sketches(known, frequent_shingles(known, room, percent), percent), "shingle-sketches")
+    sketch = materialise(sketches(known, frequent_shingles(known, room, percent), percent), "shingle-sketches", ROWS)
     sets = sketch.where("n > 0")
     classes = sets.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
     members = materialise(sets.select("doc_id", "f1", "f2", "n").join(classes, ["f1", "f2", "n"]).select("doc_id", "rep", "n").distinct(), "shingle-classes")
@@ -288,11 +288,11 @@ def link(documents: DataFrame, percent: int = PERCENT, room: int = 1_000_000) ->
     lists = materialise(entries.join(members, ["doc_id", "n"]).select("token", "rep", "n", "pos").distinct(), "shingle-lists")
     # an id with several texts: every text's set must be found by the id, so each is compared
     tried = materialise(_leader_pairs(lists, percent), "leader-pairs")
-    links = materialise(_verify(tried, known, percent), "leader-links")
+    links = materialise(_verify(tried, known, percent), "leader-links", ROWS)
     twice = members.groupBy("doc_id").agg(F.count("*").alias("k"), F.min("rep").alias("v"), F.max("rep").alias("u")).where("k > 1").select("u", "v")
     labels = components(links.unionByName(twice))
     rest = materialise(_block_pairs(_labelled(lists, labels), percent).join(tried, ["u", "v"], "left_anti"), "block-pairs")
-    more = None if rest.isEmpty() else materialise(_verify(rest, known, percent), "block-links")
+    more = None if rest.isEmpty() else materialise(_verify(rest, known, percent), "block-links", ROWS)
     if more is not None and not more.isEmpty():
         # the links that are left join whole components
         ends = _labelled(more.select(F.col("u").alias("rep"), "v"), labels).select(F.col("component").alias("u"), F.col("v").alias("rep"))

@@ -16,17 +16,21 @@ SLICE = 512
 
 
 def per_text(documents: DataFrame, rows: Callable[[list[str | None]], list[tuple]], made: str, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
-    """One output row per input row: the key as long, ``also`` as they are, then the columns ``made`` of the texts."""
-    given = documents.select(F.col(key).cast("long").alias(key), *also, F.col(text).cast("string").alias(text))
-    schema = StructType(given.schema.fields[:-1] + StructType.fromDDL(made).fields)
-    arrow = to_arrow_schema(schema)
+    """One output row per input row: the key as long, ``also`` as they are, then the columns ``made`` of the texts.
+
+    ``also`` may name the text itself, if it is a string; it is then sent once.
+    """
+    given = documents.select(F.col(key).cast("long").alias(key), *also, *([] if text in also else [F.col(text).cast("string").alias(text)]))
     kept = len(also) + 1
+    schema = StructType(given.schema.fields[:kept] + StructType.fromDDL(made).fields)
+    arrow = to_arrow_schema(schema)
+    own = given.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
-                found = rows(batch.column(kept).to_pylist())
+                found = rows(batch.column(own).to_pylist())
                 columns = [batch.column(k) for k in range(kept)]
                 columns += [pa.array([r[k] for r in found], arrow.field(kept + k).type) for k in range(len(arrow) - kept)]
                 yield pa.RecordBatch.from_arrays(columns, names=arrow.names)

@@ -29,6 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..session import materialise
 from .texts import per_text
@@ -242,6 +243,8 @@ def score(documents: DataFrame, labels: DataFrame, bound: int = 20_000, trees: i
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, bound: int = 20_000) -> DataFrame:
-    """The rows of ``documents`` that are not predicted toxic, with the same columns. The row travels as one column."""
-    rows = scored(documents.select("doc_id", "text", F.struct(*documents.columns).alias("row")), labels, ("row",), bound)
-    return rows.where("score < 0.5").select("row.*")
+    """The rows of ``documents`` that are not predicted toxic, with the same columns. What is not the text travels as one column."""
+    apart = documents.schema["text"].dataType == StringType()  # another kind is scored as a string and kept as it is
+    row = F.struct(*[c for c in documents.columns if not (apart and c == "text")]).alias("row")
+    rows = scored(documents.select("doc_id", "text", row), labels, ("row", "text") if apart else ("row",), bound).where("score < 0.5")
+    return rows.select("row.*", "text").select(*documents.columns) if apart else rows.select("row.*")

@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def build_session(app: str = "plumeworks", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on.
@@ -53,12 +55,24 @@ def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "plumeworks", f"{label}-{uuid.uuid4().hex}")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, arrow_rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage and pins the rows: used where two branches of a plan must
     see exactly the same rows, or where a result feeds several jobs.
+    ``arrow_rows``: the most rows that a Python task is handed at once meanwhile;
+    a smaller setting of the session stays. Rows of long texts then take less
+    memory on both sides.
     """
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    before = spark.conf.get(ARROW_ROWS)
+    fewer = arrow_rows is not None and not 0 < int(before) <= arrow_rows
+    try:
+        if fewer:
+            spark.conf.set(ARROW_ROWS, str(arrow_rows))
+        df.write.parquet(path)
+    finally:
+        if fewer:
+            spark.conf.set(ARROW_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from plumeworks.llm import secret_scan, toxicity
+from plumeworks import session
+from plumeworks.llm import jaccard, secret_scan, texts, toxicity
 from plumeworks.llm.contain import shingles
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -122,3 +123,32 @@ def test_all_stages(spark, sf, tmp_path):
     assert set(packed) == set(lengths) and all(packed[i] == n for i, n in lengths.items())
     columns = sorted(rows[0].asDict())
     assert sorted(map(tuple, cp.run(spark, sf).select(*columns).collect())) == sorted(tuple(r[c] for c in columns) for r in rows)
+
+
+def test_texts_reach_python_few_and_once(spark, monkeypatch):
+    seen = []
+
+    def note(df, label, arrow_rows=None):
+        out = session.materialise(df, label, arrow_rows)
+        seen.append((label, arrow_rows))
+        return out
+
+    before = spark.conf.get(session.ARROW_ROWS)
+    monkeypatch.setattr(jaccard, "materialise", note)
+    df = spark.createDataFrame([(i, " ".join(words(i // 2)), "x") for i in range(6)], SCHEMA)
+    assert cp.drop_near_duplicates(spark, df, "").count() == 3
+    assert dict(seen)["shingle-sketches"] == dict(seen)["leader-links"] == jaccard.ROWS and spark.conf.get(session.ARROW_ROWS) == before
+    sent = []
+    monkeypatch.setattr(toxicity, "per_text", lambda documents, rows, made, also=(): sent.append((documents.schema["row"].dataType.names, also)) if "row" in also else texts.per_text(documents, rows, made, also=also))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, ("you idiot " if i % 2 else "kind words ") * 4, "x") for i in range(40)], SCHEMA)
+    with pytest.raises(AttributeError):  # nothing comes back from the stub
+        toxicity.without_toxic(docs, labels)
+    assert sent == [(["doc_id", "lang"], ("row", "text"))]
+
+
+def test_kept_rows_are_as_they_came(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([("a", ("you idiot " if i % 2 else "kind words ") * 4, i, i / 2) for i in range(40)], "lang string, text string, doc_id int, score double")
+    kept = toxicity.without_toxic(docs, labels)
+    assert kept.dtypes == docs.dtypes and kept.count() and kept.exceptAll(docs).count() == 0
