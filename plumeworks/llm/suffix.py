@@ -36,6 +36,8 @@ WIDTH, GRAM = 50, 26
 _SPAN = WIDTH - GRAM + 1
 #: Anchors of a part, of which a task holds one at a time; texts, and stretches around anchors, that a task works on at a time.
 PART, TEXTS, STEP = 200_000, 512, 4_000
+#: Rows that leave a task at a time.
+ROWS = 50_000
 _LOW = np.uint64((1 << 24) - 1)
 
 
@@ -323,7 +325,7 @@ def _parts(rows: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, list[bytes]
 
 
 def _range_rows(k1: np.ndarray, k2: np.ndarray, parts: int, unit: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows that carry finished ranges; they pass through the sort's partitions as they are."""
+    """Rows that carry finished ranges; they pass by the sort."""
     first = _groups(unit)
     ends = np.append(first[1:], len(unit))
     some = unit[first]
@@ -332,8 +334,22 @@ def _range_rows(k1: np.ndarray, k2: np.ndarray, parts: int, unit: np.ndarray, lo
         yield pa.RecordBatch.from_arrays([pa.array((np.abs(k1[some] % parts)).astype(np.int32)), pa.array(k1[some]), pa.array(k2[some]), pa.array(data, pa.binary())], _ROW)
 
 
+def _row_batches(names: list[str], *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + ROWS]) for c in columns], names)
+
+
+def _span(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A range as one number."""
+    return (low.astype(np.int64) << 32) | high.astype(np.int64)
+
+
 def _shared_anchors(units: DataFrame, parts: int) -> DataFrame:
-    """k1, k2, found: for each unit the anchors that other units have too, as (part, hashes) rows of a list."""
+    """k1, k2, found: for each unit the names of the anchors that other units have too.
+
+    A task gives a row for each anchor of a unit, not for each unit and part: there are more parts in a larger table, and rows for
+    each would grow with units times parts.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
@@ -370,16 +386,13 @@ def _shared_anchors(units: DataFrame, parts: int) -> DataFrame:
             turn = np.lexsort((short[hit], k2[unit[hit]], k1[unit[hit]]))
             hit = hit[turn]
             a, b, h = k1[unit[hit]], k2[unit[hit]], short[hit]
-            fresh = np.ones(len(h), dtype=bool)
-            fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            starts = np.flatnonzero(fresh)
-            if len(starts):
-                lists = [np.unique(h[x:y]).tobytes() for x, y in zip(starts, np.append(starts[1:], len(h)))]
-                yield pa.RecordBatch.from_arrays([pa.array(a[starts]), pa.array(b[starts]), pa.array(np.full(len(starts), p, dtype=np.int32)), pa.array(lists, pa.binary())], ["k1", "k2", "part", "hashes"])
+            fresh = np.ones(len(h), dtype=bool)  # copies of a text in several batches are one unit
+            fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (h[1:] != h[:-1])
+            yield from _row_batches(["k1", "k2", "name"], a[fresh], b[fresh], (p << 32) | h[fresh].astype(np.int64))
 
     dealt = units.select("k1", "k2", "text").mapInArrow(emit, "part int, data binary")
-    rows = _by_part(dealt, parts).mapInArrow(shared, "k1 long, k2 long, part int, hashes binary")
-    return rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("part", "hashes")).alias("found"))
+    rows = _by_part(dealt, parts).mapInArrow(shared, "k1 long, k2 long, name long")
+    return rows.groupBy("k1", "k2").agg(F.collect_list("name").alias("found"))
 
 
 def _stretch_rows(units: DataFrame, parts: int) -> DataFrame:
@@ -391,9 +404,9 @@ def _stretch_rows(units: DataFrame, parts: int) -> DataFrame:
                 batch = whole.slice(low, TEXTS)
                 k1, k2, doc = (batch.column(i).to_numpy() for i in range(3))
                 texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(3).to_pylist()]
-                known = [np.concatenate([(np.uint64(f["part"]) << np.uint64(32)) | np.frombuffer(f["hashes"], dtype="<u4") for f in row]) for row in batch.column(4).to_pylist()]
+                known = [row.values.to_numpy() for row in batch.column(4)]
                 found = anchors(texts)
-                names = (_part_of(found.hash, parts).astype(np.uint64) << np.uint64(32)) | _short(found.hash)
+                names = (_part_of(found.hash, parts) << 32) | _short(found.hash).astype(np.int64)
                 shared = np.zeros(len(names), dtype=bool)
                 for i, (a, b) in enumerate(zip(np.searchsorted(found.text, np.arange(len(texts))), np.searchsorted(found.text, np.arange(len(texts)), "right"))):
                     shared[a:b] = np.isin(names[a:b], known[i])
@@ -427,7 +440,16 @@ _KINDS = ("<i8", "<i8", "<i8", "<i4", "<i4", "u1", "u1", "<u8", "u1")
 
 
 def _sorted_ranges(dealt: DataFrame, parts: int) -> DataFrame:
-    """k1, k2, data: ranges of removed bytes. Each partition sorts the suffixes of its anchors."""
+    """k1, k2, span: a row for each range of removed bytes. Each partition sorts the suffixes of its anchors."""
+    names = ["k1", "k2", "span"]
+
+    def single(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """The ranges of finished rows."""
+        held = [_unbundle(d.as_py(), "<i4", "<i4") for d in rows.column(3)]
+        if held:
+            sizes = np.array([len(low) for low, _ in held])
+            k1, k2 = (np.repeat(rows.column(i).to_numpy(), sizes) for i in (1, 2))
+            yield from _row_batches(names, k1, k2, _span(*(np.concatenate(x) for x in zip(*held))))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finished: list[pa.RecordBatch] = []
@@ -442,7 +464,7 @@ def _sorted_ranges(dealt: DataFrame, parts: int) -> DataFrame:
 
         for p, held in _parts(open_rows()):
             while finished:
-                yield finished.pop()
+                yield from single(finished.pop())
             pieces = [_unbundle(d, *_KINDS) for d in held]
             shift = np.cumsum([0, *(len(x[0]) for x in pieces)])
             k1, k2, doc = (np.concatenate([x[i] for x in pieces]) for i in range(3))
@@ -468,10 +490,12 @@ def _sorted_ranges(dealt: DataFrame, parts: int) -> DataFrame:
                 owner, step = repeated_strings(rest, prefix)
                 units = np.concatenate([np.repeat(small.unit[gone], small.count[gone]), rest.unit[owner]])
                 starts = np.concatenate([_expand(small.start[gone], small.count[gone]), rest.start[owner] + step])
-                yield from _range_rows(k1, k2, parts, *_ranges(units, starts))
-        yield from finished
+                found, low, high = _ranges(units, starts)
+                yield from _row_batches(names, k1[found], k2[found], _span(low, high))
+        while finished:
+            yield from single(finished.pop())
 
-    return _by_part(dealt, parts).mapInArrow(sort, _ROW_SCHEMA).select("k1", "k2", "data")
+    return _by_part(dealt, parts).mapInArrow(sort, "k1 long, k2 long, span long")
 
 
 def _cut(units: DataFrame) -> DataFrame:
@@ -480,13 +504,12 @@ def _cut(units: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
             rows = []
-            for text, ranges in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+            for text, ranges in zip(batch.column(3).to_pylist(), batch.column(4)):
                 raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
                 step = np.zeros(len(raw) + 1, dtype=np.int32)
-                for data in ranges:
-                    low, high = _unbundle(data, "<i4", "<i4")
-                    np.add.at(step, low, 1)
-                    np.add.at(step, high, -1)
+                spans = ranges.values.to_numpy()
+                np.add.at(step, spans >> 32, 1)
+                np.add.at(step, spans & 0xFFFFFFFF, -1)
                 gone = np.cumsum(step[:-1]) > 0
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 rows.append((int(gone.sum()), spans, hashlib.sha256(raw[~gone].tobytes()).hexdigest()))
@@ -516,7 +539,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     # one text a unit; copies meet in the map tasks before they travel
     units = long_ones.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"), F.any_value("text").alias("text"))
     ranges = _sorted_ranges(_stretch_rows(units.join(found, ["k1", "k2"]), parts), parts)
-    cut = _cut(units.join(ranges.groupBy("k1", "k2").agg(F.collect_list("data").alias("ranges")), ["k1", "k2"]))
+    cut = _cut(units.join(ranges.groupBy("k1", "k2").agg(F.collect_list("span").alias("ranges")), ["k1", "k2"]))
     outcome = materialise(cut, "repeats")
     firsts = named.where("doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"))
     rows = named.select("doc_id", "n_bytes", "sha", "k1", "k2").join(firsts, ["k1", "k2"], "left").join(outcome, ["k1", "k2"], "left")

@@ -49,6 +49,15 @@ def test_repeated_strings(spark, monkeypatch, seed, alphabet, piece):
     assert sorted((tuple(r) for r in suffix.remove_repeats(df).collect()), key=str) == brute_repeats(rows)
 
 
+def test_shared_anchors_do_not_grow_with_the_parts(spark):
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    df = spark.createDataFrame([(i, i + 100, f"{i}{passage}{i}" * 2) for i in range(5)], "k1 long, k2 long, text string").repartition(2)
+    few, many = ({r["k1"]: sorted(r["found"]) for r in suffix._shared_anchors(df, parts).collect()} for parts in (1, 400))
+    assert len(few) == 5 and {k: len(v) for k, v in few.items()} == {k: len(v) for k, v in many.items()}
+    assert all(len(set(v)) == len(v) > 20 for v in many.values())
+
+
 def test_repeats_of_an_empty_table(spark):
     assert suffix.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
