@@ -5,6 +5,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from plumeworks.llm import syncmers as s
 
@@ -112,3 +113,31 @@ def test_no_python_worker_and_one_shuffle_of_texts(spark):
     plan = s.fingerprint_documents(df)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
     assert plan.count("hashpartitioning(to") == 1
+
+
+def test_block_borders_and_a_long_text(spark):
+    rng = random.Random(7)
+    sizes = [m * s.BLOCK + d for m in (1, 2, 3) for d in (-1, 0, 1, s.K - 2, s.K - 1, s.K)]
+    made = ["".join(rng.choice("ab é😀\n") for _ in range(n)) for n in [*sizes, 60_000]]
+    made += [t[: len(t) - len(t) // 4] + "z" * 40 for t in made[:6]] + ["", "ab" * 400, "short", None]
+    rows = [(i, t) for i, t in enumerate(made)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(df) == brute(rows)
+
+
+def test_steps_keep_their_first_anchor_apart(spark):
+    pairs = [([5 << 32 | s.LOW, 9 << 32], s.NONE), ([5 << 32 | s.LOW, 9 << 32], 0), ([4 << 32 | s.LOW, 9 << 32], s.NONE), ([], s.NONE)]
+    df = spark.createDataFrame(pairs, "found array<long>, before long")
+    first, zero, moved, none = [r[0] for r in df.select(s.steps(F.col("found"), F.col("before"))).collect()]
+    assert first[0] != zero[0] != moved[0] != first[0] and first[1] == zero[1] != moved[1] and none == []
+
+
+def test_inner_substrings_are_compared_by_columns(spark):
+    # interpreted functions of array elements took most of the time; they are left to texts of less than two k-mers
+    text = "".join(random.Random(8).choice("abc é😀") for _ in range(s.BLOCK + s.K - 1))
+    df = s.with_anchors(spark.createDataFrame([(1, 0, text), (2, 1000, text), (3, 0, text[: s.K - 1])], "key int, at long, piece string"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and "lambda" not in plan
+    got = {r["key"]: [(a >> 32, a & s.LOW) for a in r["found"]] for r in df.collect()}
+    want = brute_anchors(text)
+    assert want and got == {1: want, 2: [(i + 1000, h) for i, h in want], 3: []}
