@@ -161,7 +161,9 @@ def with_found(rows: DataFrame) -> DataFrame:
         F.when(long_edited, _blocks_of(rest, F.col("start"), True)).otherwise(none),
     )
     short = F.when(~long_text, _short(F.col("text"))), F.when(~long_edited, _short(F.col("edited")))
-    parted = rows.select("to", "row", F.struct("about", "start", short[0].alias("text"), short[1].alias("edited")).alias("_of"), F.posexplode_outer(parts).alias("_i", "_part"))
+    # a selection of its own: beside the explode, Spark would carry whole texts into the rows of their blocks
+    cut = rows.select("to", "row", F.struct("about", "start", short[0].alias("text"), short[1].alias("edited")).alias("_of"), parts.alias("_parts"))
+    parted = cut.select("to", "row", "_of", F.posexplode_outer("_parts").alias("_i", "_part"))
     once = F.when(F.coalesce(F.col("_i"), F.lit(0)) == 0, F.col("_of"))  # what is known of a text goes with its first block
     anchored = with_anchors(parted.select("to", "row", once.alias("_of"), "_part.*"))
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 import xxhash
@@ -141,3 +142,10 @@ def test_inner_substrings_are_compared_by_columns(spark):
     got = {r["key"]: [(a >> 32, a & s.LOW) for a in r["found"]] for r in df.collect()}
     want = brute_anchors(text)
     assert want and got == {1: want, 2: [(i + 1000, h) for i, h in want], 3: []}
+
+
+def test_blocks_do_not_carry_their_text(spark):
+    df = spark.createDataFrame([(i, f"text {i} " * 30) for i in range(5)], "doc_id long, text string")
+    plan = s.fingerprint_documents(df)._jdf.queryExecution().executedPlan().toString()
+    made = [line for line in plan.splitlines() if "Generate posexplode" in line]
+    assert made and not any(re.search("text#|edited#", line) for line in made)
